@@ -16,6 +16,7 @@ from shelfprice.functions.numbers import (
 )
 from shelfprice.functions.text import (
     clean_title_case,
+    clean_title_cases,
     clean_with_pattern,
     handle_not_applicable,
     map_store_region,
@@ -27,6 +28,7 @@ __all__ = [
     "UNMATCHED",
     "UNMATCHED_INT",
     "clean_title_case",
+    "clean_title_cases",
     "clean_with_pattern",
     "date_key",
     "fill_outlier_with_avg",

@@ -32,26 +32,38 @@ def title(c: Column) -> Column:
 
 def clean_title_case(c: Column) -> Column:
     """Title-cased text; blank becomes NULL."""
-    return F.when(F.trim(c) != "", title(c))
+    return F.nullif(title(c), F.lit(""))
 
 
-def clean_with_pattern(c: Column, pattern: str = BRANCH_PATTERN) -> Column:
+def clean_with_pattern(c: Column, pattern: str = BRANCH_PATTERN, titled: Column | None = None) -> Column:
     """Title-cased text when the trimmed value matches ``pattern``, else NULL."""
-    return F.when(F.trim(c).rlike(pattern), title(c))
+    return F.when(F.trim(c).rlike(pattern), title(c) if titled is None else titled)
 
 
-def validate_allowed_values(c: Column, allowed: Sequence[str]) -> Column:
+def validate_allowed_values(c: Column, allowed: Sequence[str], titled: Column | None = None) -> Column:
     """Title-cased text when the value is allowed (any case), else NULL."""
-    return F.when(F.upper(F.trim(c)).isin([v.upper() for v in allowed]), title(c))
+    known = F.upper(F.trim(c)).isin([v.upper() for v in allowed])
+    return F.when(known, title(c) if titled is None else titled)
 
 
-def map_store_region(city: Column, region: Column) -> Column:
+def map_store_region(city: Column, region: Column, titled: Column | None = None) -> Column:
     """Region of a known city; otherwise the cleaned region text."""
     name = F.upper(F.trim(city))
     mapped = F.lit(None).cast("string")
     for target, cities in REGION_CITIES.items():
-        mapped = F.coalesce(mapped, F.when(name.isin(cities), F.lit(target)))
-    return F.coalesce(mapped, clean_title_case(region))
+        mapped = F.when(name.isin(cities), F.lit(target)).otherwise(mapped)
+    return F.coalesce(mapped, clean_title_case(region) if titled is None else titled)
+
+
+def clean_title_cases(*columns: Column) -> Column:
+    """``clean_title_case`` of many columns at once, as an array.
+
+    A wide cleaning projection with the expression spelled out per column
+    generates a method too large for the JVM to compile; mapped over an array
+    it appears once. The ``titled`` argument of the functions above takes an
+    element of this array.
+    """
+    return F.transform(F.array(*columns), clean_title_case)
 
 
 def handle_not_applicable(c: Column, replacement: str = "Non-Product Expense") -> Column:

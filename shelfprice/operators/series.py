@@ -82,16 +82,23 @@ def fill_weeks(
 ) -> DataFrame:
     """One row per member and week from ``first_week`` to ``last_week``.
 
-    ``carried`` columns keep the last observed value (NULL before the first
-    one); ``counted`` columns are 0 in weeks without observation. Works on the
-    sparse observations: each one covers the weeks up to the next, and the
-    dense rows are produced at the very end by exploding those ranges, so the
-    dense grid itself is never shuffled, sorted or joined. A key has one row
-    per observed week, so its window is bounded by the calendar.
+    ``carried`` columns come from the last week in which the first of them was
+    known (NULL before that); ``counted`` columns are 0 in weeks without
+    observation. Works on the sparse observations: each one covers the weeks
+    up to the next, and the dense rows are produced at the very end by
+    exploding those ranges, so the dense grid is never shuffled, sorted or
+    joined here. A key has one row per observed week, so its window is bounded
+    by the calendar.
     """
     by_key = Window.partitionBy(*keys).orderBy(week)
     ranges = (
-        observed.filter((F.col(week) >= first_week) & (F.col(week) <= last_week))
+        forward_fill(
+            observed.filter((F.col(week) >= first_week) & (F.col(week) <= last_week)),
+            keys,
+            week,
+            F.col(carried[0]).isNotNull(),
+            carried,
+        )
         .withColumn("_next", F.lead(week).over(by_key))
         .withColumn("_opens", F.lag(week).over(by_key).isNull())
         .withColumnRenamed(week, "_observed")
@@ -113,7 +120,7 @@ def fill_weeks(
 
 
 def forward_fill(df: DataFrame, keys: Sequence[str], order_by: str, flag: Column, columns: Sequence[str]) -> DataFrame:
-    """Carry ``columns`` from the last row where ``flag`` held, on an already dense series.
+    """Carry ``columns`` from the last row where ``flag`` held.
 
     The columns travel as one struct guarded by the flag: a struct of NULLs is
     itself not NULL and would otherwise stop the carry.

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfprice.functions import (
     clean_title_case,
+    clean_title_cases,
     clean_with_pattern,
     date_key,
     fill_outlier_with_avg,
@@ -30,6 +31,10 @@ COMPANY_COLUMNS = [
     "Product_Name", "Category", "Sub_Category", "Quantity", "Unit_Cost", "Unit_Retail", "Expense_Type",
     "Expense_Amount",
 ]
+_COMPANY_TEXTS = {
+    "Record_Type", "Transaction_ID", "Store_Name", "Store_City", "Store_Region", "Product_Name", "Category",
+    "Sub_Category", "Expense_Type",
+}
 COMPETITOR_COLUMNS = ["Scraped_At", "Competitor_Name", "Product_ID", "Product_Name", "Competitor_Price"]
 COMPANY_KEYS = ["Store_Name", "Transaction_ID", "Store_ID"]
 COMPETITOR_KEYS = ["Scraped_At", "Competitor_Name", "Product_ID"]
@@ -41,24 +46,31 @@ NO_EXPENSE = "Direct Sale"
 
 
 def silver_company(raw: DataFrame, as_of: dt.date | str | None = None, date_format: str = ISO_DATE) -> DataFrame:
-    """Typed and cleaned transactions; rows with a NULL in any raw column are dropped."""
+    """Typed and cleaned transactions; rows with a NULL in any raw column are dropped.
+
+    All texts are title-cased in a first projection, as one array; the second
+    looks at each of them as often as it needs without repeating that work.
+    """
     c = F.col
-    return raw.na.drop("any").select(
-        validate_allowed_values(c("Record_Type"), RECORD_TYPES).alias("record_type"),
-        clean_with_pattern(c("Transaction_ID"), TRANSACTION_PATTERN).alias("transaction_id"),
+    texts = [n for n in COMPANY_COLUMNS if n in _COMPANY_TEXTS]
+    cleaned = raw.na.drop("any").withColumn("_titled", clean_title_cases(*texts))
+    titled = {n: c("_titled")[i] for i, n in enumerate(texts)}
+    return cleaned.select(
+        validate_allowed_values(c("Record_Type"), RECORD_TYPES, titled["Record_Type"]).alias("record_type"),
+        clean_with_pattern(c("Transaction_ID"), TRANSACTION_PATTERN, titled["Transaction_ID"]).alias("transaction_id"),
         guarded_date(c("Date"), date_format, as_of).alias("transaction_date"),
         guarded_int(c("Store_ID")).alias("store_id"),
-        clean_with_pattern(c("Store_Name"), STORE_PATTERN).alias("store_name"),
-        clean_title_case(c("Store_City")).alias("store_city"),
-        map_store_region(c("Store_City"), c("Store_Region")).alias("store_region"),
+        clean_with_pattern(c("Store_Name"), STORE_PATTERN, titled["Store_Name"]).alias("store_name"),
+        titled["Store_City"].alias("store_city"),
+        map_store_region(c("Store_City"), c("Store_Region"), titled["Store_Region"]).alias("store_region"),
         handle_not_applicable(guarded_int(c("Product_ID"))).alias("product_id"),
-        handle_not_applicable(clean_title_case(c("Product_Name"))).alias("product_name"),
-        handle_not_applicable(clean_title_case(c("Category"))).alias("category"),
-        handle_not_applicable(clean_title_case(c("Sub_Category"))).alias("sub_category"),
+        handle_not_applicable(titled["Product_Name"]).alias("product_name"),
+        handle_not_applicable(titled["Category"]).alias("category"),
+        handle_not_applicable(titled["Sub_Category"]).alias("sub_category"),
         guarded_int(c("Quantity")).alias("quantity"),
         guarded_double(c("Unit_Cost")).alias("unit_cost"),
         guarded_double(c("Unit_Retail")).alias("unit_retail"),
-        handle_not_applicable(clean_title_case(c("Expense_Type")), NO_EXPENSE).alias("expense_type"),
+        handle_not_applicable(titled["Expense_Type"], NO_EXPENSE).alias("expense_type"),
         guarded_double(c("Expense_Amount")).alias("expense_amount"),
     )
 
@@ -106,22 +118,26 @@ def silver_competitor(
 ) -> DataFrame:
     """Cleaned scrapes; a price far from our own average for the product is replaced by it."""
     c = F.col
-    product_id = guarded_int(c("Product_ID"))
-    scraped_at = guarded_date(c("Scraped_At"), date_format, as_of)
-    competitor = clean_title_case(c("Competitor_Name"))
-    cleaned = raw.na.drop("any").select(
-        surrogate_key(competitor).alias("competitor_key"),
-        surrogate_key(product_id).alias("product_key"),
-        date_key(scraped_at).alias("date_key"),
-        scraped_at.alias("scraped_at"),
-        competitor.alias("competitor_name"),
-        product_id.alias("product_id"),
+    typed = raw.na.drop("any").select(
+        guarded_date(c("Scraped_At"), date_format, as_of).alias("scraped_at"),
+        clean_title_case(c("Competitor_Name")).alias("competitor_name"),
+        guarded_int(c("Product_ID")).alias("product_id"),
         clean_with_pattern(c("Product_Name"), PRODUCT_PATTERN).alias("product_name"),
-        c("Competitor_Price"),
-        product_id.cast("string").alias("_product"),
+        c("Competitor_Price").try_cast("double").alias("_price"),
+    )
+    cleaned = typed.select(
+        surrogate_key(c("competitor_name")).alias("competitor_key"),
+        surrogate_key(c("product_id")).alias("product_key"),
+        date_key(c("scraped_at")).alias("date_key"),
+        "scraped_at",
+        "competitor_name",
+        "product_id",
+        "product_name",
+        "_price",
+        c("product_id").cast("string").alias("_product"),
     )
     own = own_prices.withColumnRenamed("product_id", "_product")
-    price = fill_outlier_with_avg(c("Competitor_Price"), c("our_unit_retail"))
+    price = fill_outlier_with_avg(c("_price"), c("our_unit_retail"))
     return lookup_join(cleaned, own, ["_product"]).select(
-        *[n for n in cleaned.columns if n not in ("Competitor_Price", "_product")], price.alias("competitor_price")
+        *[n for n in cleaned.columns if not n.startswith("_")], price.alias("competitor_price")
     )
