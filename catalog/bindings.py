@@ -24,8 +24,8 @@ BASE = {
     "pid": "89 + CAST(substr(p_brand, 7) AS INT)",
     "b": "CAST(substr(p_brand, 7) AS INT) + year(l_shipdate)",
     "q": "CAST(CAST(l_quantity AS INT) AS STRING)",
-    "uc": "CAST(round(l_extendedprice * 100) AS BIGINT) {div} CAST(l_quantity AS BIGINT)",
-    "expense": "CAST(round(l_extendedprice * 100) AS BIGINT) * CAST(round(l_tax * 100) AS BIGINT) {div} 100",
+    "uc": "CAST(floor(l_extendedprice * 100 + 0.5) AS BIGINT) {div} CAST(l_quantity AS BIGINT)",
+    "expense": "CAST(floor(l_extendedprice * 100 + 0.5) AS BIGINT) * CAST(floor(l_tax * 100 + 0.5) AS BIGINT) {div} 100",
     "d": "CAST(CAST(l_shipdate AS DATE) AS STRING)",
     "l_returnflag": "l_returnflag",
     "l_suppkey": "l_suppkey",
@@ -87,7 +87,9 @@ def line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items over all cores: a small table is a single row group, that is a single task."""
     lines = table(spark, sf_dir, "lineitem")
     cores = spark.sparkContext.defaultParallelism
-    return lines.repartition(cores) if lines.rdd.getNumPartitions() < cores else lines
+    if lines.rdd.getNumPartitions() >= cores:
+        return lines
+    return lines.repartition(cores, "l_orderkey", "l_linenumber", "l_partkey")
 
 
 def _exprs(columns: dict[str, str]) -> list[str]:

@@ -9,6 +9,7 @@ from catalog.bindings import AS_OF, line_items, raw_company, table
 from catalog.layers import warehouse
 from catalog.spec import query
 from shelfprice.operators import anomalies, checks
+from shelfprice.operators.joins import lookup_join
 from shelfprice.plans import facts, silver
 
 _CITIES = ["Alexandria", "Cairo", "Giza", "Mansoura", "Tanta"]
@@ -89,7 +90,8 @@ def check_price_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Unit prices before any cleaning, against the mean list price of the brand."""
     parts = table(spark, sf_dir, "part").selectExpr("p_partkey AS l_partkey", "p_brand AS product_id", "p_retailprice")
     price = F.floor(F.col("l_extendedprice") / F.col("l_quantity")).cast("double").alias("price")
-    prices = line_items(spark, sf_dir).join(parts, "l_partkey").select("product_id", price)
+    brands = parts.select("l_partkey", "product_id")
+    prices = lookup_join(line_items(spark, sf_dir), brands, ["l_partkey"], "inner").select("product_id", price)
     return checks.price_bounds(prices, "price", parts, "product_id", "p_retailprice")
 
 

@@ -16,6 +16,8 @@ REGION_CITIES = {
     "Delta": ["TANTA", "MANSOURA"],
 }
 
+# ASCII punctuation and control characters; a plain character class is the cheapest to match.
+_PUNCTUATION = r"([\x00-\x1f!-/:-@\[-`{-\x7f])"
 # A private-use character marks the word breaks that initcap does not know about.
 _BREAK = "\ue000 "
 
@@ -26,13 +28,13 @@ def title(c: Column) -> Column:
     ``initcap`` alone breaks words at blanks only; underscore, dash and other
     punctuation must break them too (``STORE_EXPENSE`` -> ``Store_Expense``).
     """
-    marked = F.regexp_replace(F.trim(c), r"([^\p{L}\p{N} ])", "$1" + _BREAK)
+    marked = F.regexp_replace(F.trim(c), _PUNCTUATION, "$1" + _BREAK)
     return F.replace(F.initcap(marked), F.lit(_BREAK), F.lit(""))
 
 
 def clean_title_case(c: Column) -> Column:
     """Title-cased text; blank becomes NULL."""
-    return F.nullif(title(c), F.lit(""))
+    return F.when(F.trim(c) != "", title(c))
 
 
 def clean_with_pattern(c: Column, pattern: str = BRANCH_PATTERN, titled: Column | None = None) -> Column:

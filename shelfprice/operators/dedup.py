@@ -15,11 +15,13 @@ def keep_latest(df: DataFrame, keys: Sequence[str], order_by: str, date_format:
     pick does not depend on row order. Written as ``max`` of a struct rather
     than ``row_number``: the maximum is taken per map task before the shuffle,
     so a key that owns a third of all rows sends one row per task, not all.
+    The hash in front of the keys lets the sort compare numbers, not texts.
     """
     stamp = F.col(order_by)
     parsed = F.try_to_timestamp(stamp, F.lit(date_format)) if date_format else stamp.try_cast("timestamp")
     others = [c for c in df.columns if c not in keys]
-    newest = df.groupBy(*keys).agg(F.max(F.struct(parsed.alias("_at"), *others)).alias("_newest"))
+    grouped = df.groupBy(F.xxhash64(*keys).alias("_hash"), *keys)
+    newest = grouped.agg(F.max(F.struct(parsed.alias("_at"), *others)).alias("_newest"))
     return newest.select(*[c if c in keys else F.col("_newest")[c].alias(c) for c in df.columns])
 
 

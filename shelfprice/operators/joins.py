@@ -84,13 +84,17 @@ def _join(left: DataFrame, right: DataFrame, on: list[str], how: str, residual:
     return left.join(renamed, condition, how).drop(*[f"_r_{c}" for c in on])
 
 
-def not_in(df: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``df`` whose key is absent from ``existing``.
+def not_in(df: DataFrame, existing: DataFrame, keys: Sequence[str], hot_keys: bool = False) -> DataFrame:
+    """Rows of ``df`` whose key is absent from ``existing``; a NULL key is always absent.
 
-    Both sides are reduced where it helps: existing keys are made distinct
-    before the shuffle, so copies of one key never pile up in a task.
+    Existing keys are made distinct before the shuffle, so copies of one key
+    never pile up in a task. With ``hot_keys`` the same holds for ``df``: its
+    rows without a key or with a frequent one are spread over many tasks.
     """
-    return df.join(existing.select(*keys).distinct(), list(keys), "left_anti")
+    present = existing.select(*keys).distinct()
+    if hot_keys:
+        return split_hot_join(df, present, keys, "left_anti")
+    return df.join(present, list(keys), "left_anti")
 
 
 def all_new(df: DataFrame, existing: DataFrame, keys: Sequence[str]) -> bool:

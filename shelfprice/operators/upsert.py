@@ -100,7 +100,7 @@ def incremental_merge(
 
 def append_missing(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``batch`` to append: those whose key the target lacks."""
-    return not_in(batch, target, keys)
+    return not_in(batch, target, keys, hot_keys=True)
 
 
 def merge_dimension(target: DataFrame, members: DataFrame, key: str) -> DataFrame:

@@ -69,6 +69,8 @@ def test_hot_keys_are_spread(rows):
 def test_anti_joins(rows):
     batch, loaded = rows([(1,), (2,), (None,)], "k int"), rows([(1,), (1,)], "k int")
     assert values(not_in(batch, loaded, ["k"])) == [(None,), (2,)]
+    many = rows([(i % 3 if i % 2 else None, i) for i in range(300)], "k int, v int")
+    assert values(not_in(many, loaded, ["k"], hot_keys=True)) == values(not_in(many, loaded, ["k"]))
     assert all_new(batch, loaded, ["k"])
     assert not all_new(loaded, loaded, ["k"])
 
