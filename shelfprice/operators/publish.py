@@ -42,7 +42,10 @@ class StagedTable:
 def _entries(spark: SparkSession, root: str) -> DataFrame | None:
     try:
         return spark.read.schema(MANIFEST_SCHEMA).json(f"{root}/_manifest")
-    except AnalysisException:
+    except AnalysisException as error:
+        # only a missing manifest means "nothing published"; any other failure must surface
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
 
 
