@@ -167,7 +167,8 @@ def merge_above_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
         WHERE NOT EXISTS (SELECT 1 FROM target f WHERE f.transaction_id = s.transaction_id)""",
 )
 def append_new_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fact = warehouse(spark, sf_dir).sales_fact
+    w = warehouse(spark, sf_dir)
+    fact = w.save(w.sales_fact, "fact-sales")
     return append_missing(fact.filter(F.col("quantity") < 25), fact, ["transaction_id"])
 
 
@@ -177,7 +178,8 @@ def append_new_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         WHERE NOT EXISTS (SELECT 1 FROM target f WHERE f.expense_key = s.expense_key)""",
 )
 def append_new_expenses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fact = warehouse(spark, sf_dir).expenses_fact
+    w = warehouse(spark, sf_dir)
+    fact = w.save(w.expenses_fact, "fact-expenses")
     return append_missing(fact.filter(F.col("month_date_key") < 200001), fact, ["expense_key"])
 
 
@@ -187,7 +189,8 @@ def append_new_expenses(spark: SparkSession, sf_dir: str) -> DataFrame:
         WHERE scraped_at > (SELECT max(scraped_at) FROM fact_competitor_prices WHERE scraped_at < {_CUT})""",
 )
 def append_new_scrapes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fact = warehouse(spark, sf_dir).competitor_fact
+    w = warehouse(spark, sf_dir)
+    fact = w.save(w.competitor_fact, "fact-competitor")
     loaded = fact.filter(F.col("scraped_at") < F.lit("2000-01-01").cast("date"))
     return above_watermark(fact, loaded, "scraped_at")
 
