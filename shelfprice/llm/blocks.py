@@ -61,3 +61,54 @@ def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
 def parts(bucket: np.ndarray, buckets: int) -> list[slice]:
     at = np.searchsorted(bucket, np.arange(buckets + 1))
     return [slice(a, b) for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+
+
+ASK = "bucket int, block int, keys binary, counts binary, state binary"
+ANSWER = "block int, bucket int, totals binary, first binary, n long, distinct_keys long, state binary"
+
+
+def ask(block: int, keys: np.ndarray, counts: np.ndarray, buckets: int, state: bytes = b"", everywhere: bool = False) -> pa.Table:
+    """Rows that carry a block's sorted distinct keys and their counts to the buckets.
+
+    Bucket 0 also carries ``state``, which comes back with its answer. ``everywhere``: buckets without a key too.
+    """
+    out = [
+        {"bucket": b, "block": block, "keys": keys[at].tobytes(), "counts": squeezed(counts[at].astype(np.uint32)), "state": state if b == 0 else b""}
+        for b, at in enumerate(parts(bucket_of(keys, buckets), buckets))
+        if everywhere or b == 0 or at.start < at.stop
+    ]
+    schema = pa.schema([("bucket", pa.int32()), ("block", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary()), ("state", pa.binary())])
+    return pa.Table.from_pylist(out, schema)
+
+
+def count_keys(table: pa.Table) -> pa.Table:
+    """Answers a bucket's blocks: for each key its count over all blocks, and whether the block is the first to have it.
+
+    ``n`` and ``distinct_keys``: the sum of all counts in this bucket, and the number of keys whose count is not 0.
+    """
+    rows = sorted(table.to_pylist(), key=lambda r: r["block"])
+    keys = np.concatenate([np.frombuffer(r["keys"], np.uint64) for r in rows])
+    counts = np.concatenate([expanded(r["counts"], np.uint32) for r in rows]).astype(np.int64)
+    order = np.argsort(keys, kind="stable")
+    new = np.append(True, keys[order[1:]] != keys[order[:-1]])[: keys.size]
+    sums = np.add.reduceat(counts[order], np.flatnonzero(new)) if keys.size else counts
+    totals = np.empty(keys.size, np.uint32)
+    totals[order] = np.minimum(sums, 2**32 - 1)[np.cumsum(new) - 1] if keys.size else 0
+    first = np.empty(keys.size, bool)
+    first[order] = new
+    out, at, n, distinct = [], 0, int(counts.sum()), int((sums > 0).sum())
+    for r in rows:
+        own = slice(at, at := at + len(r["keys"]) // 8)
+        out.append({"block": r["block"], "bucket": r["bucket"], "totals": squeezed(totals[own]), "first": np.packbits(first[own]).tobytes(), "n": n, "distinct_keys": distinct, "state": r["state"]})
+    schema = pa.schema([("block", pa.int32()), ("bucket", pa.int32()), ("totals", pa.binary()), ("first", pa.binary()), ("n", pa.int64()), ("distinct_keys", pa.int64()), ("state", pa.binary())])
+    return pa.Table.from_pylist(out, schema)
+
+
+def answered(table: pa.Table, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(totals, first) of a block's sorted keys, from the answers of all buckets."""
+    rows = sorted(table.select(["bucket", "totals", "first"]).to_pylist(), key=lambda r: r["bucket"])
+    totals = [expanded(r["totals"], np.uint32) for r in rows]
+    first = [np.unpackbits(np.frombuffer(r["first"], np.uint8), count=t.size).astype(bool) for r, t in zip(rows, totals, strict=True)]
+    totals, first = np.concatenate([np.zeros(0, np.uint32), *totals]), np.concatenate([np.zeros(0, bool), *first])
+    assert totals.size == size
+    return totals, first
