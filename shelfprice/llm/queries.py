@@ -6,16 +6,31 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from shelfprice.llm.decontaminate import find_items
+from shelfprice.llm.jaccard_join import similar_documents
+from shelfprice.llm.language import identify_languages
+from shelfprice.llm.lm_score import score_documents
+from shelfprice.llm.packing import pack
+from shelfprice.llm.pii import report
+from shelfprice.llm.quality_model import score_quality
+from shelfprice.llm.quality_rules import judge
 from shelfprice.llm.substring_dedup import remove_repeated_passages
+from shelfprice.llm.suffix_dedup import remove_repeated_bytes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def query(name: str, sql: str | None = None):
     def register(build):
         QUERIES[name] = build
@@ -26,6 +41,52 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op1_pii")
+def pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report(table(spark, sf_dir, "documents"))
+
+
+@query("op2_decontamination")
+def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op3_packing")
+def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), tokenizer())
+
+
 @query("op4_substring_dedup")
 def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return remove_repeated_passages(_table(spark, sf_dir, "documents"))
+    return remove_repeated_passages(table(spark, sf_dir, "documents"))
+
+
+@query("op5_quality_classifier")
+def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op6_suffix_dedup")
+def suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeated_bytes(table(spark, sf_dir, "documents"))
+
+
+@query("op7_quality_rules")
+def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@query("op8_language_id")
+def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_languages(table(spark, sf_dir, "documents"))
+
+
+@query("op9_jaccard_join")
+def jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_documents(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_copies", "n_links")
+
+
+@query("op10_lm_score")
+def lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(table(spark, sf_dir, "documents"))
