@@ -266,22 +266,8 @@ def _doc(doc_id: Column, text: Column) -> Column:
     return F.md5(F.concat_ws(":", doc_id.cast("long"), text).cast("binary"))
 
 
-def similar_documents(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", width: int = 5, threshold: float = 0.8, bands: int = 28, tolerance: float = 1e-6, chunk: int = 512, group: int = 16_384) -> DataFrame:
-    """Per document: (doc_id, doc, class_id, n_copies, n_links).
-
-    Two texts are linked if the Jaccard similarity of their sets of ``width``-word shingles is at least ``threshold``.
-    ``n_copies`` is the number of documents with the same set (this one included), ``n_links`` the number of other
-    sets linked with it; ``class_id`` is the smallest id of the connected component. Words are runs of other characters
-    than the six ASCII blanks; a text with fewer words than ``width`` has one shingle, of all its words.
-
-    A pair at the threshold misses all bands of four values with probability (1 - threshold**4)**bands, 4e-7 as set,
-    and one that meets is dropped by pruning with about ``tolerance``. ``chunk`` classes a side make a tile, about
-    ``group`` rows of tiles a task's share; neither changes the result.
-
-    A null or empty text, or one of blanks, is alike to none, not even to another one: its class is its own id. Rows
-    with a repeated id are documents of their own; a class whose ids are all null has a null id. ``doc`` is a digest
-    of id and text. Further columns are ignored. An empty table gives none.
-    """
+def _grouped(docs: DataFrame, doc_id: str, text: str, width: int, threshold: float, bands: int, tolerance: float, chunk: int, group: int) -> DataFrame:
+    """(doc_id, doc, label, n_copies, n_links); the label of a text without words is null."""
     values = bands * ROWS
     own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), _doc(F.col(doc_id), F.col(text)).alias("doc"), F.col(text).alias("text"))
     sketches = write_through(own.mapInArrow(lambda b: _sketch(width, values, b), _SKETCH), "sketches")
@@ -307,25 +293,46 @@ def similar_documents(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "t
     links = verified.groupBy("node").agg(F.sum("links").alias("n_links"))
     groups_of = classes.select("node", "n_copies").join(links, "node", "left").join(components(verified), "node", "left")
     groups_of = groups_of.select("node", "n_copies", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("label", "node").alias("label"))
-    rows = write_through(sketches.select("doc_id", "doc", "node").join(groups_of, "node", "left"), "membership")
+    rows = sketches.select("doc_id", "doc", "node").join(groups_of, "node", "left")
+    return rows.select("doc_id", "doc", "label", F.coalesce("n_copies", F.lit(1)).cast("long").alias("n_copies"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+
+
+def similar_documents(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", width: int = 5, threshold: float = 0.8, bands: int = 28, tolerance: float = 1e-6, chunk: int = 512, group: int = 16_384) -> DataFrame:
+    """Per document: (doc_id, doc, class_id, n_copies, n_links).
+
+    Two texts are linked if the Jaccard similarity of their sets of ``width``-word shingles is at least ``threshold``.
+    ``n_copies`` is the number of documents with the same set (this one included), ``n_links`` the number of other
+    sets linked with it; ``class_id`` is the smallest id of the connected component. Words are runs of other characters
+    than the six ASCII blanks; a text with fewer words than ``width`` has one shingle, of all its words.
+
+    A pair at the threshold misses all bands of four values with probability (1 - threshold**4)**bands, 4e-7 as set,
+    and one that meets is dropped by pruning with about ``tolerance``. ``chunk`` classes a side make a tile, about
+    ``group`` rows of tiles a task's share; neither changes the result.
+
+    A null or empty text, or one of blanks, is alike to none, not even to another one: its class is its own id. Rows
+    with a repeated id are documents of their own; a class whose ids are all null has a null id. ``doc`` is a digest
+    of id and text. Further columns are ignored. An empty table gives none.
+    """
+    rows = write_through(_grouped(docs, doc_id, text, width, threshold, bands, tolerance, chunk, group), "membership")
     first = rows.filter("label is not null").groupBy("label").agg(F.min("doc_id").alias("class_id"))
     return rows.join(first, "label", "left").select(
         "doc_id",
         "doc",
         F.when(F.col("label").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
-        F.coalesce("n_copies", F.lit(1)).cast("long").alias("n_copies"),
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+        "n_copies",
+        "n_links",
     )
 
 
-def first_of_each(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+def first_of_each(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", width: int = 5, threshold: float = 0.8, bands: int = 28, tolerance: float = 1e-6, chunk: int = 512, group: int = 16_384) -> DataFrame:
     """One document of each group: the one with the smallest id (the smallest digest breaks ties, a null id is last).
 
-    Documents without words all stay. Of rows that agree in id and text one stays.
+    Documents without words all stay. Of rows that agree in id and text one stays. For the options and the groups see
+    similar_documents.
     """
-    found = similar_documents(docs, doc_id=doc_id, text=text, **options)
+    found = _grouped(docs, doc_id, text, width, threshold, bands, tolerance, chunk, group)
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "doc")
-    group = F.coalesce(F.concat(F.lit("class:"), F.col("class_id")), F.concat(F.lit("doc:"), F.col("doc")))
-    keep = found.groupBy(group.alias("group")).agg(F.min(order).alias("first")).select(F.struct(F.col("first.doc").alias("doc")).alias("_kept"))
-    joined = docs.withColumn("_doc_key", _doc(F.col(doc_id), F.col(text))).join(keep, F.col("_doc_key") == F.col("_kept.doc"))
-    return joined.dropDuplicates(["_doc_key"]).select(*(F.col(f"`{c}`") for c in docs.columns))
+    name = F.coalesce(F.hex("label"), F.concat(F.lit("alone:"), F.col("doc")))
+    keep = found.groupBy(name.alias("name")).agg(F.min(order).alias("first")).select(F.col("first.doc").alias("doc"))
+    whole = docs.select(F.struct("*").alias("row"), _doc(F.col(doc_id), F.col(text)).alias("doc"))
+    return whole.join(keep, "doc").dropDuplicates(["doc"]).select("row.*")

@@ -122,22 +122,18 @@ def _disclosing(found: DataFrame, docs: DataFrame, documents: int, alpha: float,
     return candidates.join(terms, "term").filter(pmi >= F.lit(alpha) * information).select("entity", "term")
 
 
-def find_personal_data(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", reach: int = 40, alpha: float = 0.95, support: int = 3) -> DataFrame:
-    """Per document: (doc_id, doc, spans); ``spans`` holds kind, start, end (code points, end exclusive) and value.
+def _based(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    return own.select("doc_id", _doc(F.col("doc_id"), F.col("text")).alias("doc"), "text", base_spans(F.col("text")).alias("spans"))
 
-    Kinds are email, ip, card and phone, which are protected entities, and term: a word within ``reach`` characters
-    of an entity that discloses it. Words count in lower case, from three letters or digits on; a pair must occur in
-    ``support`` different contexts, so that copies of a document prove nothing. ``doc`` is a digest of id and text.
 
-    A null text is empty. Rows with a null or repeated id are documents of their own. Further columns are ignored. An
-    empty table gives none.
-    """
-    own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    based = own.select("doc_id", _doc(F.col("doc_id"), F.col("text")).alias("doc"), "text", base_spans(F.col("text")).alias("spans"))
+def _found(docs: DataFrame, doc_id: str, text: str, reach: int, alpha: float, support: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, doc, spans) with the base spans of every document; (doc, terms) with the disclosing words of some."""
+    based = _based(docs, doc_id, text)
     near = F.when(F.size("spans") > 0, _neighbours(F.col("text"), F.col("spans"), reach))
     found = write_through(based.select("doc_id", "doc", "spans", near.alias("near")), "pii-base")
     entities = found.filter(F.size("spans") > 0)
-    pairs = _disclosing(entities, own, max(1, found.count()), alpha, support)
+    pairs = _disclosing(entities, docs.select(F.col(text).alias("text")), max(1, found.count()), alpha, support)
     words = entities.select("doc", F.explode("near").alias("w")).select("doc", "w.entity", "w.term", "w.start", "w.end")
     more = (
         words.join(pairs, ["entity", "term"], "left_semi")
@@ -145,8 +141,25 @@ def find_personal_data(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "
         .agg(F.sort_array(F.collect_set(F.struct("start", "end", "term"))).alias("terms"))
         .select("doc", F.transform("terms", lambda w: F.struct(F.lit("term").alias("kind"), w["start"].alias("start"), w["end"].alias("end"), w["term"].alias("value"))).alias("terms"))
     )
-    spans = F.concat("spans", F.coalesce(F.col("terms"), F.array().cast(_SPANS)))
-    return found.join(more, "doc", "left").select("doc_id", "doc", spans.alias("spans"))
+    return found, more
+
+
+def _all(terms: Column, spans: Column) -> Column:
+    return F.concat(spans, F.coalesce(terms, F.array().cast(_SPANS)))
+
+
+def find_personal_data(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", reach: int = 40, alpha: float = 0.95, support: int = 3) -> DataFrame:
+    """Per document: (doc_id, doc, spans); ``spans`` holds kind, start, end (code points, end exclusive) and value.
+
+    Kinds are email, ip, card and phone, which are protected entities, and term: a word within ``reach`` characters
+    of an entity that discloses it. Words count in lower case, from three letters or digits on; a pair must occur in
+    ``support`` different contexts, so that copies of a document prove nothing. ``doc`` is a digest of id and text.
+
+    A null text is empty. Rows with a null or repeated id are documents of their own. Further columns are ignored. An
+    empty table gives none.
+    """
+    found, more = _found(docs, doc_id, text, reach, alpha, support)
+    return found.join(more, "doc", "left").select("doc_id", "doc", _all(F.col("terms"), F.col("spans")).alias("spans"))
 
 
 def listed(spans: Column) -> Column:
@@ -180,10 +193,16 @@ def redacted(text: Column, spans: Column) -> Column:
     return F.when(F.size(spans) > 0, done).otherwise(text)
 
 
-def redact(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The documents, all columns as they are but for the text. A null text stays null."""
-    spans = find_personal_data(docs, doc_id=doc_id, text=text, **options).filter(F.size("spans") > 0).groupBy("doc").agg(F.first("spans").alias("spans"))
-    key, found = _doc(F.col(doc_id).cast("long"), F.coalesce(F.col(text), F.lit(""))), spans.select(F.struct("doc", "spans").alias("_found_spans"))
-    joined = docs.join(found, key == F.col("_found_spans.doc"), "left")
-    clean = F.when(F.col("_found_spans").isNull(), F.col(text)).otherwise(redacted(F.col(text), F.col("_found_spans.spans")))
-    return joined.select(*(clean.alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns))
+def redact(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", reach: int = 40, alpha: float = 0.95, support: int = 3) -> DataFrame:
+    """The documents, all columns as they are but for the text; see find_personal_data. A null text stays null.
+
+    Only documents with an entity are joined with the disclosing words; all others are passed on in place.
+    """
+    _, more = _found(docs, doc_id, text, reach, alpha, support)
+    touched = F.size(base_spans(F.coalesce(F.col(text), F.lit("")))) > 0
+    row = F.col("row")
+    body = F.coalesce(row[text], F.lit(""))
+    whole = docs.filter(touched).select(F.struct("*").alias("row")).withColumn("doc", _doc(row[doc_id].cast("long"), body))
+    clean = redacted(body, _all(F.col("terms"), base_spans(body)))
+    fields = [clean.alias(c) if c == text else row[c].alias(c) for c in docs.columns]
+    return whole.join(more, "doc", "left").select(*fields).unionByName(docs.filter(~touched))

@@ -7,13 +7,16 @@ as one Spark conditional expression over the columns of document statistics.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from shelfprice.llm.doc_stats import STATS, checkpointed, document_stats
+from shelfprice.llm.doc_stats import STATS, checkpointed, document_stats, text_stats
 
 #: Shares that conditions may test: numerator and denominator, both statistics.
 SHARES = {
@@ -30,9 +33,9 @@ SHARES = {
 }
 
 
-def share(name: str) -> Column:
+def share(name: str, at: str = "") -> Column:
     above, below = SHARES[name]
-    return F.col(above) / F.greatest(F.col(below), F.lit(1))
+    return F.col(at + above) / F.greatest(F.col(at + below), F.lit(1))
 
 
 def measured(stats: dict[str, np.ndarray]) -> np.ndarray:
@@ -50,8 +53,8 @@ class Condition:
         v = x[:, list(SHARES).index(self.name)]
         return v >= self.threshold if self.above else v <= self.threshold
 
-    def column(self) -> Column:
-        return share(self.name) >= self.threshold if self.above else share(self.name) <= self.threshold
+    def column(self, at: str = "") -> Column:
+        return share(self.name, at) >= self.threshold if self.above else share(self.name, at) <= self.threshold
 
     def __str__(self) -> str:
         return f"{self.name} {'>=' if self.above else '<='} {self.threshold:g}"
@@ -70,12 +73,13 @@ class DecisionList:
     def rejects(self, x: np.ndarray) -> np.ndarray:
         return np.logical_or.reduce([_holds(r, x) for r in self.rules]) if self.rules else np.zeros(len(x), bool)
 
-    def kept(self) -> Column:
+    def kept(self, at: str = "") -> Column:
+        """The list as a conditional expression; ``at`` stands before the names of the statistics."""
         verdict = None
         for rule in self.rules:
-            met = rule[0].column()
+            met = rule[0].column(at)
             for c in rule[1:]:
-                met = met & c.column()
+                met = met & c.column(at)
             verdict = F.when(met, F.lit(False)) if verdict is None else verdict.when(met, F.lit(False))
         return F.lit(True) if verdict is None else verdict.otherwise(F.lit(True))
 
@@ -149,8 +153,18 @@ def rules_from_labels(stats: DataFrame, labels: DataFrame, *, sample: int = 50_0
     return learn_rules(measured({n: rows[n].to_numpy() for n in STATS}), rows["label"].to_numpy() == 0)
 
 
-def base_failed() -> Column:
-    return (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+def base_failed(at: str = "") -> Column:
+    n_words, n_repeat = F.col(f"{at}n_words"), F.col(f"{at}n_repeat_words")
+    return (n_words < 50) | (100 * n_repeat > 50 * n_words)
+
+
+def verdict(rules: DecisionList, at: str = "") -> Column:
+    return F.when(base_failed(at), F.lit(False)).otherwise(rules.kept(at))
+
+
+def _learned(stats: DataFrame, labels: DataFrame, doc_id: str, label: str) -> DecisionList:
+    known = labels.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(label).cast("int").alias("label"))
+    return rules_from_labels(stats.filter(~base_failed()), known)
 
 
 def judge(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", label: str = "quality") -> DataFrame:
@@ -163,6 +177,22 @@ def judge(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: s
     gives none.
     """
     stats = checkpointed(document_stats(docs, doc_id=doc_id, text=text))
-    known = labels.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(label).cast("int").alias("label"))
-    rules = rules_from_labels(stats.filter(~base_failed()), known)
-    return stats.withColumn("base_failed", base_failed()).withColumn("kept", F.when(F.col("base_failed"), F.lit(False)).otherwise(rules.kept()))
+    rules = _learned(stats, labels, doc_id, label)
+    return stats.withColumn("base_failed", base_failed()).withColumn("kept", verdict(rules))
+
+
+def _with_stats(column: str, name: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        stats = text_stats(b.column(b.schema.get_field_index(column)))
+        packed = pa.StructArray.from_arrays([pa.array(stats[n], pa.int64()) for n in STATS], names=STATS)
+        yield pa.RecordBatch.from_arrays([*b.columns, packed], names=[*b.schema.names, name])
+
+
+def kept_documents(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", label: str = "quality") -> DataFrame:
+    """The documents that ``judge`` keeps, with all columns."""
+    rules = _learned(document_stats(docs, doc_id=doc_id, text=text), labels, doc_id, label)
+    name = "statistics"
+    while name in docs.columns:
+        name += "_"
+    schema = StructType([*docs.schema.fields, StructField(name, StructType([StructField(n, LongType()) for n in STATS]))])
+    return docs.mapInArrow(lambda b: _with_stats(text, name, b), schema).filter(verdict(rules, f"{name}.")).drop(name)

@@ -1,3 +1,5 @@
+"""Fixtures and helpers of the corpus tests."""
+
 import pytest
 
 SF = "/root/testdata/sf0.001"

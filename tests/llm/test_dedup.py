@@ -5,7 +5,7 @@ import re
 
 import numpy as np
 import pytest
-from conftest import rows, texts
+from corpus_cases import docs, empty, odd, rows, texts  # noqa: F401
 
 from shelfprice.llm.packed import BASE, BYTE_VALUE, Hashes, Words, utf8
 from shelfprice.llm.substring_dedup import remove_repeated_passages

@@ -7,7 +7,7 @@ from math import log10
 
 import numpy as np
 import pytest
-from conftest import texts
+from corpus_cases import docs, empty, labels, odd, texts  # noqa: F401
 from pyspark.sql import functions as F
 
 from shelfprice.llm.language import identify_languages
