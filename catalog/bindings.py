@@ -84,12 +84,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items over all cores: a small table is a single row group, that is a single task."""
-    lines = table(spark, sf_dir, "lineitem")
-    cores = spark.sparkContext.defaultParallelism
-    if lines.rdd.getNumPartitions() >= cores:
-        return lines
-    return lines.repartition(cores, "l_orderkey", "l_linenumber", "l_partkey")
+    return table(spark, sf_dir, "lineitem")
 
 
 def _exprs(columns: dict[str, str]) -> list[str]:

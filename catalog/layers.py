@@ -39,7 +39,8 @@ from shelfprice.sources import read_raw_csv, shared_dir
 
 
 def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
-    return Warehouse(raw_company(spark, sf_dir), raw_competitor(spark, sf_dir), as_of=AS_OF)
+    company, competitor = raw_company(spark, sf_dir), raw_competitor(spark, sf_dir)
+    return Warehouse(company, competitor, as_of=AS_OF, history_strategy="check")
 
 
 @query(

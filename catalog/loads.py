@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from catalog.bindings import AS_OF, raw_competitor
 from catalog.layers import VERSIONS, warehouse
-from catalog.oracle import newest_first, versions
+from catalog.oracle import from_the_start, newest_first, versions
 from catalog.spec import query
 from shelfprice.operators.dedup import keep_latest
 from shelfprice.operators.history import apply_snapshot, as_of_join, build_history, overlapping_versions
@@ -67,13 +67,9 @@ def daily_product_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "product_key transaction_date:d dbt_valid_from:d category n_rows:i",
-    """WITH v AS (SELECT product_key, updated_at AS f, valid_to AS t, category,
-            min(updated_at) OVER (PARTITION BY product_key) AS first_from FROM product_changes)
-        SELECT s.product_key, s.transaction_date, v.f AS dbt_valid_from, v.category, count(*) AS n_rows
-        FROM silver_sales s LEFT JOIN v ON s.product_key = v.product_key
-         AND ((s.transaction_date >= v.f AND s.transaction_date < coalesce(v.t, DATE '9999-12-31'))
-              OR (s.transaction_date < v.first_from AND v.f = v.first_from))
-        GROUP BY ALL""",
+    f"""WITH v AS (SELECT product_key, updated_at AS dbt_valid_from, category, {from_the_start('updated_at')} AS starts FROM product_changes)
+        SELECT s.product_key, s.transaction_date, v.dbt_valid_from, v.category, count(*) AS n_rows
+        FROM silver_sales s ASOF LEFT JOIN v ON s.product_key = v.product_key AND s.transaction_date >= v.starts GROUP BY ALL""",
 )
 def sales_as_of_version(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = warehouse(spark, sf_dir)
@@ -83,12 +79,13 @@ def sales_as_of_version(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    "product_key window_a_start:d window_a_end:d window_b_start:d window_b_end:d",
+    "product_key window_a_start:d window_a_end:d window_b_start:d window_b_end:d n_open:i",
     """WITH w AS (SELECT product_key, category, min(transaction_date) AS f, max(transaction_date) AS t FROM silver_sales GROUP BY ALL),
-        starts AS (SELECT product_key, f, max(t) AS t FROM w GROUP BY ALL)
-        SELECT b.product_key, a.f AS window_a_start, a.t AS window_a_end, b.f AS window_b_start, b.t AS window_b_end
-        FROM starts a JOIN starts b ON a.product_key = b.product_key AND a.f < b.f AND a.t > b.f
-        QUALIFY row_number() OVER (PARTITION BY b.product_key, b.f ORDER BY a.t DESC, a.f DESC) = 1""",
+        pairs AS (SELECT b.product_key, b.category, a.f AS af, a.t AS at, b.f AS bf, b.t AS bt
+            FROM w a JOIN w b ON a.product_key = b.product_key AND a.f < b.f AND a.t > b.f)
+        SELECT product_key, af AS window_a_start, at AS window_a_end, bf AS window_b_start, bt AS window_b_end,
+            count(*) OVER (PARTITION BY product_key, category) AS n_open FROM pairs
+        QUALIFY row_number() OVER (PARTITION BY product_key, category ORDER BY at DESC, af DESC) = 1""",
 )
 def overlapping_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First to last sale of each category a product ever had; categories recur, so these windows overlap."""

@@ -107,44 +107,41 @@ def versions(rows: str) -> str:
     )
 
 
-def as_of(fact: str, at: str) -> str:
-    """Join condition to product versions with the early-arrival fallback."""
-    return (
-        f"{fact}.product_key = p.product_key AND (({at} >= p.dbt_valid_from AND {at} < coalesce(p.dbt_valid_to, DATE '9999-12-31')) "
-        f"OR ({at} < p.first_from AND p.dbt_valid_from = p.first_from))"
-    )
+def from_the_start(start: str) -> str:
+    """Start of a version, where a product's first one reaches back to the beginning of time."""
+    return f"CASE WHEN row_number() OVER (PARTITION BY product_key ORDER BY {start}) = 1 THEN DATE '0001-01-01' ELSE {start} END"
 
 
-def filled(x: str, group: str, partition: str) -> str:
-    return f"max({x}) OVER (PARTITION BY {partition}, {group})"
+def as_of(fact: str, at: str) -> str:
+    """Join to the product version that started last; versions of a product leave no gaps."""
+    return f"ASOF LEFT JOIN product_versions p ON {fact}.product_key = p.product_key AND {at} >= p.starts"
 
 
 def mart(members: str, keys: str, attributes: str, sales: str) -> str:
-    """Dense weekly grid with carry groups, as in the rules."""
+    """Dense weekly grid; a week without a price takes the last one known."""
     on = " AND ".join(f"g.{k} = s.{k}" for k in keys.split(", "))
+    series = ", ".join(f"g.{k}" for k in keys.split(", "))
     return f"""
-    bounds AS (SELECT min(sales_week) AS lo, max(sales_week) AS hi FROM {sales}),
-    spine AS (SELECT DISTINCT {week('full_date')} AS sales_week FROM dim_date, bounds WHERE full_date BETWEEN lo AND hi),
+    spine AS (SELECT DISTINCT {week('full_date')} AS sales_week FROM dim_date
+        WHERE full_date >= (SELECT min(sales_week) FROM {sales}) AND full_date <= (SELECT max(sales_week) FROM {sales})),
     market AS (
-        SELECT p.product_key, w.sales_week, c.a, c.lo, c.hi,
-               sum(CASE WHEN c.a IS NULL THEN 0 ELSE 1 END) OVER (PARTITION BY p.product_key ORDER BY w.sales_week) AS grp
+        SELECT p.product_key, w.sales_week, last_value(c.a IGNORE NULLS) OVER past AS a,
+               last_value(c.lo IGNORE NULLS) OVER past AS lo, last_value(c.hi IGNORE NULLS) OVER past AS hi
         FROM active_products p CROSS JOIN spine w
-        LEFT JOIN weekly_competitor c ON c.product_key = p.product_key AND c.sales_week = w.sales_week),
-    market_filled AS (SELECT product_key, sales_week, {filled('a', 'grp', 'product_key')} AS a,
-        {filled('lo', 'grp', 'product_key')} AS lo, {filled('hi', 'grp', 'product_key')} AS hi FROM market),
+        LEFT JOIN weekly_competitor c ON c.product_key = p.product_key AND c.sales_week = w.sales_week
+        WINDOW past AS (PARTITION BY p.product_key ORDER BY w.sales_week)),
     grid AS (
-        SELECT g.*, w.sales_week, s.avg_unit_retail, s.avg_unit_cost, s.quantity, s.transactions,
-               sum(CASE WHEN s.avg_unit_retail IS NULL THEN 0 ELSE 1 END) OVER (PARTITION BY {', '.join('g.' + k for k in keys.split(', '))} ORDER BY w.sales_week) AS grp
-        FROM {members} g CROSS JOIN spine w LEFT JOIN {sales} s ON {on} AND s.sales_week = w.sales_week),
-    carried AS (SELECT *, {filled('CASE WHEN avg_unit_retail IS NOT NULL THEN avg_unit_retail END', 'grp', keys)} AS retail,
-        {filled('CASE WHEN avg_unit_retail IS NOT NULL THEN avg_unit_cost END', 'grp', keys)} AS cost FROM grid),
+        SELECT g.*, w.sales_week, s.quantity, s.transactions,
+               last_value(CASE WHEN s.avg_unit_retail IS NOT NULL THEN {{'retail': s.avg_unit_retail, 'cost': s.avg_unit_cost}} END IGNORE NULLS) OVER past AS price
+        FROM {members} g CROSS JOIN spine w LEFT JOIN {sales} s ON {on} AND s.sales_week = w.sales_week
+        WINDOW past AS (PARTITION BY {series} ORDER BY w.sales_week)),
     mart AS (
         SELECT c.product_id, c.sales_week, c.product_name, c.category, c.sub_category, {attributes}
-               {money('coalesce(retail, 0)')} AS avg_unit_retail, {money('coalesce(cost, 0)')} AS avg_unit_cost,
-               {money('coalesce(a, retail, 0)')} AS avg_competitor_price, {money('coalesce(lo, retail, 0)')} AS min_competitor_price,
-               {money('coalesce(hi, retail, 0)')} AS max_competitor_price,
+               {money('coalesce(price.retail, 0)')} AS avg_unit_retail, {money('coalesce(price.cost, 0)')} AS avg_unit_cost,
+               {money('coalesce(a, price.retail, 0)')} AS avg_competitor_price, {money('coalesce(lo, price.retail, 0)')} AS min_competitor_price,
+               {money('coalesce(hi, price.retail, 0)')} AS max_competitor_price,
                CAST(coalesce(quantity, 0) AS BIGINT) AS quantity_sold, CAST(coalesce(transactions, 0) AS BIGINT) AS total_transactions
-        FROM carried c JOIN market_filled m USING (product_key, sales_week))"""
+        FROM grid c JOIN market m USING (product_key, sales_week))"""
 
 
 def weekly(keys: str) -> str:
@@ -208,7 +205,7 @@ CTES: dict[str, str] = {
         'placeholder_unknown_product_key_-1' AS dbt_scd_id, DATE '1970-01-01' AS dbt_updated_at,
         DATE '1970-01-01' AS dbt_valid_from, CAST(NULL AS DATE) AS dbt_valid_to
         UNION ALL {versions('product_changes')}""",
-    "product_versions": "SELECT *, min(dbt_valid_from) OVER (PARTITION BY product_key) AS first_from FROM dim_products",
+    "product_versions": f"SELECT *, {from_the_start('dbt_valid_from')} AS starts FROM dim_products",
     "dim_stores": """SELECT store_key, store_id, store_name, store_city, store_region, min(transaction_date) AS create_at
         FROM silver_sales GROUP BY ALL""",
     "dim_competitors": "SELECT competitor_key, competitor_name, min(scraped_at) AS create_at FROM silver_competitor GROUP BY ALL",
@@ -224,7 +221,7 @@ CTES: dict[str, str] = {
     "fact_store_sales": f"""SELECT {key('s.transaction_id')} AS sales_key, s.transaction_id, coalesce(p.product_key, '-1') AS product_key,
         coalesce(st.store_key, '-1') AS store_key, coalesce(d.date_key, -1) AS date_key, d.full_date, s.quantity, s.unit_cost, s.unit_retail,
         round(s.quantity * s.unit_retail, 2) AS gross_revenue, round(s.quantity * (s.unit_retail - s.unit_cost), 2) AS gross_margin_amount
-        FROM silver_sales s LEFT JOIN product_versions p ON {as_of('s', 's.transaction_date')}
+        FROM silver_sales s {as_of('s', 's.transaction_date')}
         LEFT JOIN dim_stores st ON s.store_key = st.store_key LEFT JOIN dim_date d ON s.date_key = d.date_key""",
     "monthly_expenses": """SELECT store_key, expense_type_key, month_key, sum(coalesce(expense_amount, 0)) AS expense_amount
         FROM silver_expenses GROUP BY ALL""",
@@ -236,7 +233,7 @@ CTES: dict[str, str] = {
     "fact_competitor_prices": f"""SELECT {key('s.scraped_at', 'p.product_id', 'c.competitor_name', 's.competitor_price')} AS competitor_price_key,
         coalesce(s.competitor_key, '-1') AS competitor_key, coalesce(p.product_key, '-1') AS product_key,
         coalesce(d.date_key, -1) AS date_key, s.scraped_at, s.competitor_price
-        FROM silver_competitor s LEFT JOIN product_versions p ON {as_of('s', 's.scraped_at')}
+        FROM silver_competitor s {as_of('s', 's.scraped_at')}
         LEFT JOIN dim_competitors c ON s.competitor_key = c.competitor_key LEFT JOIN dim_date d ON s.date_key = d.date_key""",
     "active_products": f"SELECT product_key, {_PRODUCT} FROM dim_products WHERE dbt_valid_to IS NULL AND product_key <> '-1'",
     "product_stores": """SELECT p.*, s.store_key, s.store_id, s.store_name, s.store_region, s.store_city

@@ -25,7 +25,7 @@ from shelfprice.sources import read_table, shared_dir, write_json, write_table
 
 # demand model of the SQL-checked queries
 ELASTICITY = -4.0
-_N = 10
+_N = 50
 
 
 def _mart(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -105,7 +105,7 @@ _GRID = f"""{_BAND},
         FROM limits CROSS JOIN (SELECT unnest(range({_N})) AS i)),
     scored AS (SELECT *, greatest(exp(ln(1 + quantity_rolling_avg_4_weeks)
         + {ELASTICITY} * (ln(nullif(candidate_price, 0)) - ln(nullif(avg_unit_retail, 0)))) - 1, 0) AS q
-        FROM price_grid WHERE avg_unit_retail > 0),
+        FROM price_grid),
     monotone AS (SELECT *, min(q) OVER (PARTITION BY product_id, store_key ORDER BY candidate_price, i) AS predicted_quantity FROM scored),
     candidates AS (SELECT *, predicted_quantity * (candidate_price - avg_unit_cost) AS predicted_margin FROM monotone)"""
 _BEST = f"""{_GRID},
@@ -129,11 +129,6 @@ def _rollup(keys: str) -> str:
 _ROLLED = f"{_BEST}, rolled AS ({_rollup('product_id')})"
 
 
-def _priced(rows: DataFrame) -> DataFrame:
-    """Series that have a price to start from."""
-    return rows.filter(F.col("avg_unit_retail") > 0)
-
-
 @query(
     "product_id store_key price_low:4 price_high:4 band_violated",
     f"WITH {_BAND} SELECT *, price_high > top AS band_violated FROM limits",
@@ -147,15 +142,10 @@ def price_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"WITH {_GRID} SELECT * FROM candidates",
 )
 def price_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _priced(latest_rows(_features(spark, sf_dir)))
+    rows = latest_rows(_features(spark, sf_dir))
     return pricing.candidates(rows, constant_elasticity(ELASTICITY), n_candidates=_N)
 
 
-def _recommended(spark: SparkSession, sf_dir: str, **filters) -> DataFrame:
-    mart = _mart(spark, sf_dir).filter(F.col("avg_unit_retail") > 0)
-    return pricing.score(mart, constant_elasticity(ELASTICITY), n_candidates=_N, **filters)
-
-
 _RECOMMENDED = (
     "product_id store_key store_id:i category target_sales_week:d current_price:2 current_weekly_quantity:i "
     "current_weekly_margin:6 recommended_price:i predicted_weekly_quantity:i predicted_weekly_margin:i band_violated"
@@ -164,7 +154,7 @@ _RECOMMENDED = (
 
 @query(_RECOMMENDED, f"WITH {_BEST} SELECT * FROM best")
 def price_recommendations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _priced(latest_rows(_features(spark, sf_dir)))
+    rows = latest_rows(_features(spark, sf_dir))
     return pricing.rounded(pricing.recommend(rows, constant_elasticity(ELASTICITY), n_candidates=_N))
 
 
@@ -175,7 +165,7 @@ _ROLLED_UP = (
 
 
 def _week_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _priced(latest_rows(_features(spark, sf_dir)))
+    rows = latest_rows(_features(spark, sf_dir))
     best = pricing.rounded(pricing.recommend(rows, constant_elasticity(ELASTICITY), n_candidates=_N))
     return pricing.roll_up(best, "product_id", "target_sales_week")
 
@@ -193,7 +183,7 @@ def recommendations_on_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The on-demand request names its products; lags come from their whole history."""
     mart = _mart(spark, sf_dir)
     best = pricing.score(mart, constant_elasticity(ELASTICITY), product_ids=["101", "95"], n_candidates=_N)
-    return pricing.roll_up(best.filter(F.col("current_price") > 0), "product_id")
+    return pricing.roll_up(best, "product_id")
 
 
 @query("product_id target_sales_week:d " + _ROLLED_UP, f"WITH {_BEST} {_rollup('product_id, target_sales_week')}")
@@ -252,7 +242,7 @@ def weekly_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _priced(latest_rows(_features(spark, sf_dir)))
+    rows = latest_rows(_features(spark, sf_dir))
     best = pricing.rounded(pricing.recommend(rows, constant_elasticity(ELASTICITY), n_candidates=_N))
     return pricing.roll_up(best, "product_id")
 
@@ -310,5 +300,5 @@ def boosted_recommendations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Boosted trees fitted on the whole training frame; no SQL counterpart."""
     features = build_features(prepare(_mart(spark, sf_dir)))
     fitted = train(features, max_iter=3, max_depth=4, step_size=0.3)
-    rows = _priced(latest_rows(features))
+    rows = latest_rows(features)
     return pricing.rounded(pricing.recommend(rows, model_predictor(fitted.model), n_candidates=_N))

@@ -11,7 +11,6 @@ from shelfprice.functions.numbers import (
     guarded_int,
     money,
     nan_to_null,
-    presence_flag,
     price_fallback,
 )
 from shelfprice.functions.text import (
@@ -40,7 +39,6 @@ __all__ = [
     "money",
     "month_key",
     "nan_to_null",
-    "presence_flag",
     "price_fallback",
     "surrogate_key",
     "title",

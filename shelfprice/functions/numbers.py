@@ -48,10 +48,6 @@ def fill_outlier_with_avg(price: Column, avg: Column, upper: float = 5, lower: f
     return F.round(F.when(outlier, avg).otherwise(value), 2)
 
 
-def presence_flag(c: Column) -> Column:
-    return c.isNotNull().cast("int")
-
-
 def nan_to_null(df: DataFrame) -> DataFrame:
     """Replace NaN by NULL in every floating column, so that the rows are valid JSON."""
     floats = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))}

@@ -172,7 +172,9 @@ class Check:
 def run_checks(checks: Iterable[Check], tags: Sequence[str] | None = None) -> DataFrame:
     """One row per check: its severity, number of violating rows and status.
 
-    The counts are one plan, so Spark runs the checks in one job.
+    A check that groups its violations says how many rows a group has in
+    ``n_rows``; these are summed. The counts are one plan, so Spark runs the
+    checks in one job.
     """
     chosen = [c for c in checks if tags is None or set(tags) & set(c.tags)]
     if not chosen:
@@ -180,10 +182,12 @@ def run_checks(checks: Iterable[Check], tags: Sequence[str] | None = None) -> Da
 
     def counted(check: Check) -> DataFrame:
         table = check.table.filter(check.where) if check.where else check.table
-        return check.violations(table).agg(
+        found = check.violations(table)
+        rows = F.coalesce(F.sum("n_rows"), F.lit(0)) if "n_rows" in found.columns else F.count(F.lit(1))
+        return found.agg(
             F.lit(check.name).alias("check_name"),
             F.lit(check.severity).alias("severity"),
-            F.count(F.lit(1)).alias("failures"),
+            rows.cast("bigint").alias("failures"),
         )
 
     results = reduce(DataFrame.unionByName, [counted(c) for c in chosen])

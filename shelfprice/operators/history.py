@@ -42,7 +42,7 @@ def _versioned(rows: DataFrame, key: str, attrs: Sequence[str], valid_to: Column
     )
 
 
-def build_history(log: DataFrame, key: str, attrs: Sequence[str], ts: str, strategy: str = "check") -> DataFrame:
+def build_history(log: DataFrame, key: str, attrs: Sequence[str], ts: str, strategy: str = "timestamp") -> DataFrame:
     """Whole history of a dimension from the full log of observations.
 
     ``check`` opens a version when the attributes change, ``timestamp`` on
@@ -116,7 +116,6 @@ def as_of_join(
     at: str,
     columns: Sequence[str],
     span: tuple | None = None,
-    **lookup,
 ) -> DataFrame:
     """Attach ``columns`` of the version of ``key`` that was valid at ``at``.
 
@@ -144,7 +143,7 @@ def as_of_join(
     )
     within = (F.col(at) >= F.col("_from")) & (F.col(at) < F.col("_to"))
     joined = lookup_join(
-        facts.withColumn("_month", F.trunc(at, "month")), by_month, [key, "_month"], "left", within, **lookup
+        facts.withColumn("_month", F.trunc(at, "month")), by_month, [key, "_month"], "left", within
     )
     return joined.select(*facts.columns, *[F.col(f"_v_{c}").alias(c) for c in columns])
 
@@ -152,23 +151,37 @@ def as_of_join(
 def overlapping_versions(
     versions: DataFrame, key: str, valid_from: str = "dbt_valid_from", valid_to: str = "dbt_valid_to"
 ) -> DataFrame:
-    """Versions that start while an earlier version of the same key is still open.
-
-    One row per offending start, with the earlier version that stays open
-    longest as witness: a sorted sweep instead of the pairs of a self-join.
+    """Every version that starts while an earlier version of the same key is still open.
+
+    One row per version (versions with the same start are kept apart, none of
+    them is earlier than the other), with the number of earlier versions that
+    are open at its start and the one that stays open longest. Openings and
+    closings are summed along each key in the order of their dates, so the work
+    is linear and no pairs are made; ``n_open`` summed over the rows is the
+    number of pairs.
     """
-    starts = versions.groupBy(key, valid_from).agg(F.max(open_end(F.col(valid_to))).alias("_end"))
-    earlier = Window.partitionBy(key).orderBy(valid_from).rowsBetween(Window.unboundedPreceding, -1)
-    witness = F.max(F.struct(F.col("_end"), F.col(valid_from).alias("_start"))).over(earlier)
+    rows = versions.select(key, F.col(valid_from).alias("_from"), open_end(F.col(valid_to)).alias("_to"))
+    real = rows.filter(F.col("_to") > F.col("_from"))
+    # at one date closings come first, then the starts that are judged, then openings
+    marks = F.array(
+        F.struct(F.col("_to").alias("at"), F.lit(0).alias("turn"), F.lit(-1).alias("step")),
+        F.struct(F.col("_from").alias("at"), F.lit(2).alias("turn"), F.lit(1).alias("step")),
+    )
+    events = real.select(key, F.inline(marks), F.lit(None).cast("date").alias("_to"))
+    judged = rows.select(key, F.col("_from").alias("at"), F.lit(1).alias("turn"), F.lit(0).alias("step"), "_to")
+    opened = real.select(key, "_from", "_to").groupBy(key, "_from").agg(F.max("_to").alias("_longest"))
+    earlier = Window.partitionBy(key).orderBy("_from").rowsBetween(Window.unboundedPreceding, -1)
+    witness = opened.union(rows.select(key, "_from", F.lit(None).cast("date")).distinct()).groupBy(key, "_from").agg(F.max("_longest").alias("_longest"))
+    longest = F.max(F.struct(F.col("_longest"), F.col("_from").alias("_start"))).over(earlier)
+    so_far = Window.partitionBy(key).orderBy("at", "turn")
+    counted = events.unionByName(judged).withColumn("n_open", F.sum("step").over(so_far)).filter((F.col("turn") == 1) & (F.col("n_open") > 0))
+    witnesses = witness.select(key, F.col("_from").alias("at"), longest.alias("_w"))
     closed = lambda c: F.nullif(c, F.lit(OPEN_END).cast("date"))
-    return (
-        starts.withColumn("_w", witness)
-        .filter(F.col("_w._end") > F.col(valid_from))
-        .select(
-            key,
-            F.col("_w._start").alias("window_a_start"),
-            closed(F.col("_w._end")).alias("window_a_end"),
-            F.col(valid_from).alias("window_b_start"),
-            closed(F.col("_end")).alias("window_b_end"),
-        )
+    return counted.join(witnesses, [key, "at"]).select(
+        key,
+        F.col("_w._start").alias("window_a_start"),
+        closed(F.col("_w._longest")).alias("window_a_end"),
+        F.col("at").alias("window_b_start"),
+        closed(F.col("_to")).alias("window_b_end"),
+        "n_open",
     )

@@ -1,100 +1,46 @@
-"""Joins that hold up under hot keys."""
+"""Joins. Strategy and the splitting of hot keys are left to the planner, which knows the bytes of both sides."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import or_
+from math import ceil, sqrt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A looked-up table with at most this many rows is broadcast; a larger one is
-# shuffled, with hot keys split.
-BROADCAST_ROWS = 500_000
-# A key is hot when it owns more than this share of the rows, so there are
-# fewer than 1 / HOT_SHARE hot keys, whatever the size of the table.
-HOT_SHARE = 0.002
-SALTS = 32
-
 
 def lookup_join(
-    facts: DataFrame,
-    table: DataFrame,
-    on: Sequence[str],
-    how: str = "left",
-    residual: Column | None = None,
-    broadcast_rows: int = BROADCAST_ROWS,
+    facts: DataFrame, table: DataFrame, on: Sequence[str], how: str = "left", residual: Column | None = None
 ) -> DataFrame:
-    """Join ``facts`` to a usually small ``table`` on the columns ``on``.
+    """Join ``facts`` to a looked-up ``table`` on the columns ``on``.
 
-    ``table`` should be a scan (a written layer or a source), so that counting
-    it reads file footers only. Up to ``broadcast_rows`` it is broadcast and
-    the facts are not shuffled at all; beyond that ``split_hot_join`` applies.
+    A plain equi-join without a hint: the planner broadcasts a side only below
+    its byte threshold and at run time splits the partitions of ``facts`` that
+    a hot key, or rows without a key, make too large. That splitting follows
+    partition bytes, so the largest task stays the same size as data grows.
+    It holds for the kinds that may split the left side, so others are refused.
     ``residual`` may use the non-key columns of both sides, whose names must
     then differ.
     """
-    if table.count() <= broadcast_rows:
-        return _join(facts, F.broadcast(table), list(on), how, residual)
-    return split_hot_join(facts, table, on, how, residual)
-
-
-def split_hot_join(
-    facts: DataFrame,
-    table: DataFrame,
-    on: Sequence[str],
-    how: str = "left",
-    residual: Column | None = None,
-    hot_share: float = HOT_SHARE,
-    salts: int = SALTS,
-) -> DataFrame:
-    """Shuffled join that spreads every hot key of ``facts`` over ``salts`` tasks.
-
-    The hot keys are found exactly, by a pre-aggregated count over the key
-    columns alone. Only their rows in ``table`` are replicated, and the list
-    of hot keys is bounded by ``1 / hot_share``, so broadcasting it is safe.
-    Rows without a key match nothing and are spread as well. The salt depends
-    on the row and its input partition only, so a repeated task assigns it
-    the same way. The result equals that of the plain join.
-    """
+    if how not in ("left", "inner", "left_anti", "left_semi"):
+        raise ValueError(f"facts cannot be split in a {how} join")
     on = list(on)
-    counts = facts.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-    limit = counts.agg(F.sum("_n") * F.lit(hot_share)).scalar()
-    hot = F.broadcast(counts.filter(F.col("_n") > limit).select(*on, F.lit(True).alias("_hot")))
-
-    spread = F.pmod(F.xxhash64(*facts.columns) + F.spark_partition_id(), F.lit(salts)).cast("int")
-    keyless = reduce(or_, [F.col(c).isNull() for c in on])
-    salted_facts = (
-        facts.join(hot, on, "left")
-        .withColumn("_salt", F.when(F.col("_hot") | keyless, spread).otherwise(F.lit(0)))
-        .drop("_hot")
-    )
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    salted_table = table.join(hot, on, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
-    return _join(salted_facts, salted_table, [*on, "_salt"], how, residual).drop("_salt")
-
-
-def _join(left: DataFrame, right: DataFrame, on: list[str], how: str, residual: Column | None) -> DataFrame:
     if residual is None:
-        return left.join(right, on, how)
-    renamed = right.withColumnsRenamed({c: f"_r_{c}" for c in on})
+        return facts.join(table, on, how)
+    renamed = table.withColumnsRenamed({c: f"_r_{c}" for c in on})
     condition = residual
     for c in on:
         condition = condition & (F.col(c) == F.col(f"_r_{c}"))
-    return left.join(renamed, condition, how).drop(*[f"_r_{c}" for c in on])
+    return facts.join(renamed, condition, how).drop(*[f"_r_{c}" for c in on])
 
 
-def not_in(df: DataFrame, existing: DataFrame, keys: Sequence[str], hot_keys: bool = False) -> DataFrame:
+def not_in(df: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``df`` whose key is absent from ``existing``; a NULL key is always absent.
 
     Existing keys are made distinct before the shuffle, so copies of one key
-    never pile up in a task. With ``hot_keys`` the same holds for ``df``: its
-    rows without a key or with a frequent one are spread over many tasks.
+    never pile up in a task.
     """
-    present = existing.select(*keys).distinct()
-    if hot_keys:
-        return split_hot_join(df, present, keys, "left_anti")
-    return df.join(present, list(keys), "left_anti")
+    return lookup_join(df, existing.select(*keys).distinct(), keys, "left_anti")
 
 
 def all_new(df: DataFrame, existing: DataFrame, keys: Sequence[str]) -> bool:
@@ -102,13 +48,23 @@ def all_new(df: DataFrame, existing: DataFrame, keys: Sequence[str]) -> bool:
     return not not_in(df, existing, keys).isEmpty()
 
 
-def every_pair(left: DataFrame, right: DataFrame, cells: int = 64) -> DataFrame:
+def every_pair(left: DataFrame, right: DataFrame, pairs_per_cell: int = 1_000_000) -> DataFrame:
     """Every left row with every right row, for two dimensions whose full grid is the result.
 
-    ``right`` is hashed into ``cells`` and each left row visits every cell
-    through an equi-join. Neither side has to fit in a broadcast, and no task
-    produces more than about one cell's share of the grid per left row.
+    Both sides are hashed, and a cell joins one part of each through an
+    equi-join. The number of cells follows from the rows of both sides (which
+    should be scans), so a cell holds about ``pairs_per_cell`` pairs whatever
+    the size of the dimensions, and a row is repeated about as often as the
+    square root of the number of cells.
     """
-    visits = left.withColumn("_cell", F.explode(F.sequence(F.lit(0), F.lit(cells - 1))))
-    hashed = right.withColumn("_cell", F.pmod(F.xxhash64(*right.columns), F.lit(cells)).cast("int"))
-    return visits.join(hashed, "_cell").drop("_cell")
+    rows, columns = left.count(), right.count()
+    cells = max(1, ceil(rows * columns / pairs_per_cell))
+    across = min(max(1, columns), ceil(sqrt(cells)))
+    down = max(1, ceil(cells / across))
+
+    def part(df: DataFrame, n: int) -> Column:
+        return F.pmod(F.xxhash64(*df.columns), F.lit(n)).cast("int")
+
+    visits = left.withColumn("_down", part(left, down)).withColumn("_across", F.explode(F.sequence(F.lit(0), F.lit(across - 1))))
+    hosts = right.withColumn("_across", part(right, across)).withColumn("_down", F.explode(F.sequence(F.lit(0), F.lit(down - 1))))
+    return visits.join(hosts, ["_down", "_across"]).drop("_down", "_across")

@@ -9,7 +9,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfprice.operators.joins import BROADCAST_ROWS, not_in
+from shelfprice.operators.joins import not_in
 
 INSERTED, UPDATED, KEPT = "insert", "update", "keep"
 
@@ -25,46 +25,44 @@ def _aligned(target: DataFrame, source: DataFrame) -> tuple[DataFrame, DataFrame
     return widen(target), widen(source)
 
 
-def upsert(
-    target: DataFrame, source: DataFrame, keys: Sequence[str], broadcast_rows: int = BROADCAST_ROWS
-) -> DataFrame:
+def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``target`` after merging ``source`` on ``keys``, with the action per row in ``_op``.
 
     A matched row is replaced only when a non-key column differs (NULL equals
-    NULL). Keys must be unique in ``source``. A column present on one side
-    only is kept and filled with NULL.
+    NULL). A column present on one side only is kept and filled with NULL. A
+    row without a key matches nothing and is inserted.
 
-    A batch of up to ``broadcast_rows`` rows is broadcast: the target is
-    streamed once and never shuffled. A larger batch takes one full outer
-    join on the keys, which are unique on both sides and so cannot be hot.
+    One full outer join. The batch is first brought to one row per key, which
+    shares the shuffle of the join; a key with several rows is ambiguous and
+    fails the job.
     """
     keys = list(keys)
     fresh_columns = set(source.columns)
     target, source = _aligned(target, source)
     columns = target.columns
     values = [c for c in columns if c not in keys and c in fresh_columns]
+    keyless = reduce(or_, [F.col(k).isNull() for k in keys])
+    packed = F.struct(*[F.col(c).alias(f"_s_{c}") for c in values], F.lit(True).alias("_in"))
+    several = F.concat(F.lit("several source rows for one key: "), F.concat_ws(", ", *[F.col(k).cast("string") for k in keys]))
+    incoming = (
+        source.filter(~keyless)
+        .groupBy(*keys)
+        .agg(F.first(packed).alias("_s"), F.count(F.lit(1)).alias("_n"))
+        .withColumn("_in_source", F.when(F.col("_n") > 1, F.raise_error(several).cast("boolean")).otherwise(F.lit(True)))
+        .select(*keys, "_s.*", "_in_source")
+        .drop("_in")
+    )
     changed = reduce(or_, [~F.col(c).eqNullSafe(F.col(f"_s_{c}")) for c in values], F.lit(False))
-    incoming = source.select(*keys, *[F.col(c).alias(f"_s_{c}") for c in values], F.lit(True).alias("_in_source"))
 
     def merged(c: str, replace: Column) -> Column:
         return (F.when(replace, F.col(f"_s_{c}")).otherwise(F.col(c)) if c in values else F.col(c)).alias(c)
 
-    if source.count() <= broadcast_rows:
-        update = F.col("_in_source").isNotNull() & changed
-        streamed = target.join(F.broadcast(incoming), keys, "left")
-        kept = streamed.select(
-            *[merged(c, update) for c in columns], F.when(update, UPDATED).otherwise(KEPT).alias("_op")
-        )
-        matched = target.select(*keys).join(F.broadcast(source.select(*keys)), keys, "left_semi")
-        inserts = not_in(source, matched, keys).withColumn("_op", F.lit(INSERTED))
-        return kept.unionByName(inserts)
-
-    existing = target.withColumn("_in_target", F.lit(True))
-    both = existing.join(incoming, keys, "full_outer")
+    both = target.withColumn("_in_target", F.lit(True)).join(incoming, keys, "full_outer")
     insert = F.col("_in_target").isNull()
-    update = F.col("_in_source").isNotNull() & F.col("_in_target").isNotNull() & changed
-    action = F.when(insert, INSERTED).when(update, UPDATED).otherwise(KEPT).alias("_op")
-    return both.select(*[merged(c, insert | update) for c in columns], action)
+    update = F.coalesce("_in_source", F.lit(False)) & ~insert & changed
+    action = F.when(insert & F.col("_in_source"), INSERTED).when(update, UPDATED).otherwise(KEPT).alias("_op")
+    joined = both.select(*[merged(c, insert | update) for c in columns], action)
+    return joined.unionByName(source.filter(keyless).withColumn("_op", F.lit(INSERTED)))
 
 
 def upsert_metrics(merged: DataFrame) -> DataFrame:
@@ -100,7 +98,7 @@ def incremental_merge(
 
 def append_missing(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``batch`` to append: those whose key the target lacks."""
-    return not_in(batch, target, keys, hot_keys=True)
+    return not_in(batch, target, keys)
 
 
 def merge_dimension(target: DataFrame, members: DataFrame, key: str) -> DataFrame:
@@ -119,12 +117,3 @@ def save_table(df: DataFrame, table: str) -> bool:
         return False
     df.write.mode("append").option("mergeSchema", True).saveAsTable(table)
     return True
-
-
-def merge_into_table(source: DataFrame, table: str, keys: Sequence[str]) -> None:
-    """The same upsert as a ``MERGE`` statement, for catalogs with row-level writes."""
-    on = [F.col(f"{table}.{k}") == F.col(f"source.{k}") for k in keys]
-    values = [c for c in source.columns if c not in keys]
-    changed = reduce(or_, [~F.col(f"{table}.{c}").eqNullSafe(F.col(f"source.{c}")) for c in values], F.lit(False))
-    condition = reduce(lambda a, b: a & b, on)
-    source.alias("source").mergeInto(table, condition).whenMatched(changed).updateAll().whenNotMatched().insertAll().merge()

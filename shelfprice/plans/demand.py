@@ -41,11 +41,21 @@ def mean_absolute_error(df: DataFrame) -> DataFrame:
     return df.agg(F.avg(F.abs(F.col(TARGET) - F.col(PREDICTION))).alias("mae"), F.count(F.lit(1)).alias("n_rows"))
 
 
+def most_levels(rows: DataFrame) -> int:
+    """The largest number of different values in a category or flag column, NULL being one of them."""
+    counts = [F.count_distinct(F.coalesce(F.col(c).cast("string"), F.lit(""))) for c in [*CATEGORIES, *FLAGS]]
+    return rows.agg(F.greatest(*counts)).first()[0]
+
+
 def demand_estimator(
-    max_iter: int = 500, step_size: float = 0.05, max_depth: int = 6, max_bins: int = 64, seed: int = 42
+    levels_at_most: int, max_iter: int = 500, step_size: float = 0.05, max_depth: int = 6, seed: int = 42
 ) -> Pipeline:
     """Boosted trees on all features.
 
+    A category is split by its levels, so there are as many bins as the widest
+    category has levels (``most_levels`` of the training rows, and one for
+    levels unseen there), and 64 at least for the numbers.
+
     Missing numbers become 0 plus a flag column, so a tree can split on the
     absence itself. Category levels are learnt with the model and travel with
     it; a level unseen in training gets its own code.
@@ -70,7 +80,7 @@ def demand_estimator(
                 maxIter=max_iter,
                 stepSize=step_size,
                 maxDepth=max_depth,
-                maxBins=max_bins,
+                maxBins=max(64, levels_at_most + 1),
                 seed=seed,
             ),
         ]
@@ -105,7 +115,7 @@ def train(features: DataFrame, test_days: int = 28, **estimator) -> TrainResult:
         context.setCheckpointDir(shared_dir(features.sparkSession))
     rows = write_through(training_frame(features).select("sales_week", TARGET, *FEATURES), "training")
     train_rows, test_rows, _ = time_split(rows, test_days)
-    model = demand_estimator(**estimator).fit(train_rows)
+    model = demand_estimator(most_levels(train_rows), **estimator).fit(train_rows)
     predict = model_predictor(model)
     return TrainResult(
         model=model,

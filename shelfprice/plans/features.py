@@ -8,18 +8,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Feature names, in model order.
-CATEGORIES = ["category", "sub_category", "store_region"]
-FLAGS = ["is_higher_than_competitor", "is_undercut"]
-PRICES = [
-    "log_unit_retail", "avg_unit_cost", "avg_competitor_price", "min_competitor_price", "max_competitor_price",
-    "competitor_price_ratio", "price_difference", "competitor_price_gap_pct", "current_profit_margin_pct",
-]
-HISTORY = [
+FEATURES = [
+    "category", "sub_category", "store_region", "log_unit_retail", "avg_unit_cost", "avg_competitor_price",
+    "min_competitor_price", "max_competitor_price", "competitor_price_ratio", "price_difference",
+    "competitor_price_gap_pct", "current_profit_margin_pct", "is_higher_than_competitor", "is_undercut",
     "quantity_lag_1_week", "quantity_lag_4_weeks", "quantity_rolling_avg_4_weeks", "price_change_pct_weekly",
-    "price_rolling_avg_4_weeks",
+    "price_rolling_avg_4_weeks", "month", "quarter", "week_of_year",
 ]
-SEASON = ["month", "quarter", "week_of_year"]
-FEATURES = [*CATEGORIES, *PRICES, *FLAGS, *HISTORY, *SEASON]
+CATEGORIES = ["category", "sub_category", "store_region"]
+FLAGS = ["is_higher_than_competitor", "is_undercut"]
 TARGET = "log_quantity"
 RAW_PRICES = [
     "avg_unit_retail", "avg_unit_cost", "avg_competitor_price", "min_competitor_price", "max_competitor_price",

@@ -23,6 +23,9 @@ class Warehouse:
     there: the raw tables are cleaned and deduplicated a single time, later
     reads fetch only the columns they need, and the size of every dimension is
     known when it is joined.
+
+    The date formats are those of the raw tables, used both to keep the latest
+    row and to parse it; without one, dates must be in ISO form.
     """
 
     def __init__(
@@ -31,18 +34,24 @@ class Warehouse:
         raw_competitor: DataFrame,
         mapping: DataFrame | None = None,
         as_of: dt.date | str | None = None,
+        company_date_format: str | None = None,
+        competitor_date_format: str | None = None,
+        history_strategy: str = "timestamp",
         save: Callable[[DataFrame, str], DataFrame] = write_through,
     ):
         self.raw_company = raw_company
         self.raw_competitor = raw_competitor
         self.mapping = product_mapping(raw_company.sparkSession) if mapping is None else mapping
         self.as_of = as_of
+        self.company_date_format = company_date_format
+        self.competitor_date_format = competitor_date_format
+        self.history_strategy = history_strategy
         self.save = save
 
     @cached_property
     def company(self) -> DataFrame:
-        latest = keep_latest(self.raw_company, silver.COMPANY_KEYS, "Date")
-        return self.save(silver.silver_company(latest, self.as_of), "company")
+        latest = keep_latest(self.raw_company, silver.COMPANY_KEYS, "Date", self.company_date_format)
+        return self.save(silver.silver_company(latest, self.as_of, self.company_date_format or silver.ISO_DATE), "company")
 
     @cached_property
     def sales(self) -> DataFrame:
@@ -58,12 +67,15 @@ class Warehouse:
 
     @cached_property
     def competitor(self) -> DataFrame:
-        latest = keep_latest(self.raw_competitor, silver.COMPETITOR_KEYS, "Scraped_At")
-        return self.save(silver.silver_competitor(latest, self.own_prices, self.as_of), "competitor")
+        latest = keep_latest(self.raw_competitor, silver.COMPETITOR_KEYS, "Scraped_At", self.competitor_date_format)
+        cleaned = silver.silver_competitor(
+            latest, self.own_prices, self.as_of, self.competitor_date_format or silver.ISO_TIMESTAMP
+        )
+        return self.save(cleaned, "competitor")
 
     @cached_property
     def products(self) -> DataFrame:
-        history = build_history(self.sales, "product_key", dims.PRODUCT_ATTRIBUTES, "transaction_date")
+        history = build_history(self.sales, "product_key", dims.PRODUCT_ATTRIBUTES, "transaction_date", self.history_strategy)
         return self.save(dims.dim_products(history), "dim-products")
 
     @cached_property

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from shelfprice.operators import anomalies, checks
 from shelfprice.operators.dedup import duplicates, keep_latest, latest_per_group
 from shelfprice.operators.history import apply_snapshot, as_of_join, build_history, overlapping_versions
-from shelfprice.operators.joins import all_new, every_pair, lookup_join, not_in, split_hot_join
+from shelfprice.operators.joins import all_new, every_pair, lookup_join, not_in
 from shelfprice.operators.publish import AuditError, StagedTable, audit, ingest, publish, published, stage
 from shelfprice.operators.series import date_dimension, fill_weeks, forward_fill, month_dimension, price_points
 from shelfprice.operators.upsert import (
@@ -47,38 +47,45 @@ def test_duplicates_and_latest_per_group(rows):
     assert values(latest_per_group(df, ["k"], "t")) == [(1, 2), (2, 5)]
 
 
-@pytest.mark.parametrize("how", ["left", "inner"])
-def test_split_join_equals_plain_join_under_skew(spark, rows, how):
+def test_lookup_join_splits_what_a_hot_key_makes_too_large(spark, rows):
     rng = random.Random(3)
-    data = [(7 if rng.random() < 0.4 else rng.randint(0, 40), i) for i in range(3000)] + [(None, i) for i in range(500)]
-    facts = rows(data, "k int, v int").repartition(6)
-    table = rows([(i, f"n{i}") for i in range(0, 50, 2)] + [(7, "x"), (7, "y")], "k int, name string")
-    expected = values(facts.join(table, "k", how), "k", "v", "name")
-    assert values(split_hot_join(facts, table, ["k"], how), "k", "v", "name") == expected
-    assert values(lookup_join(facts, table, ["k"], how), "k", "v", "name") == expected
-    assert values(lookup_join(facts, table, ["k"], how, broadcast_rows=3), "k", "v", "name") == expected
-
-
-def test_hot_keys_are_spread(rows):
-    facts = rows([(1, i) for i in range(2000)], "k int, v int")
-    plan = split_hot_join(facts, rows([(1, "a")], "k int, name string"), ["k"])
-    assert "_salt" in plan._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count() == 2000
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    before = {k: spark.conf.get(k, None) for k in small}
+    table = rows([(i, f"n{i}") for i in range(0, 50, 2)], "k int, name string")
+    data = [(8 if rng.random() < 0.4 else rng.randint(0, 40) if rng.random() < 0.8 else None, i) for i in range(6000)]
+    names = {i: f"n{i}" for i in range(0, 50, 2)}
+    try:
+        for k, v in small.items():
+            spark.conf.set(k, v)
+        joined = lookup_join(rows(data, "k int, v int").repartition(24), table, ["k"])
+        assert sorted(map(str, map(tuple, joined.collect()))) == sorted(str((k, v, names.get(k))) for k, v in data)
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    with pytest.raises(ValueError):
+        lookup_join(table, table, ["k"], "right")
 
 
 def test_anti_joins(rows):
     batch, loaded = rows([(1,), (2,), (None,)], "k int"), rows([(1,), (1,)], "k int")
     assert values(not_in(batch, loaded, ["k"])) == [(None,), (2,)]
-    many = rows([(i % 3 if i % 2 else None, i) for i in range(300)], "k int, v int")
-    assert values(not_in(many, loaded, ["k"], hot_keys=True)) == values(not_in(many, loaded, ["k"]))
     assert all_new(batch, loaded, ["k"])
     assert not all_new(loaded, loaded, ["k"])
 
 
 def test_every_pair(rows):
     left, right = rows([(i,) for i in range(7)], "a int"), rows([(f"b{i}",) for i in range(90)], "b string")
-    pairs = every_pair(left, right)
-    assert pairs.count() == 630 and pairs.distinct().count() == 630
+    for size in (1_000_000, 50, 1):
+        pairs = every_pair(left, right, size)
+        assert pairs.count() == 630 and pairs.distinct().count() == 630
+    assert every_pair(left.limit(0), right).isEmpty() and every_pair(left, right.limit(0)).isEmpty()
 
 
 LOG = [
@@ -93,7 +100,7 @@ def log(rows, until=None):
 
 
 def test_history_by_changed_attributes(rows):
-    history = build_history(log(rows), "k", ["a"], "d")
+    history = build_history(log(rows), "k", ["a"], "d", "check")
     assert values(history, "k", "a", "dbt_valid_from", "dbt_valid_to") == [
         ("p", "a", day("2024-01-01"), day("2024-01-09")),
         ("p", "a", day("2024-02-01"), None),
@@ -105,7 +112,7 @@ def test_history_by_changed_attributes(rows):
 
 
 def test_history_by_timestamp_opens_a_version_per_day(rows):
-    assert build_history(log(rows), "k", ["a"], "d", "timestamp").count() == 7
+    assert build_history(log(rows), "k", ["a"], "d").count() == 7
     with pytest.raises(ValueError):
         build_history(log(rows), "k", ["a"], "d", "other")
 
@@ -123,8 +130,14 @@ def test_snapshots_close_and_open_and_repeat_without_change(rows):
     assert values(apply_snapshot(first, log(rows), "k", ["a"], "d", "check")) == values(first)
 
 
-@pytest.mark.parametrize("limit", [500_000, 0])
-def test_as_of_join_against_brute_force(rows, limit):
+def test_history_kept_day_by_day_equals_the_rebuilt_one(rows):
+    kept = None
+    for until in sorted({d for _, _, d in LOG if d}):
+        kept = apply_snapshot(kept, log(rows, until), "k", ["a"], "d")
+    assert values(kept) == values(build_history(log(rows), "k", ["a"], "d"))
+
+
+def test_as_of_join_against_brute_force(rows):
     rng = random.Random(5)
     history = build_history(
         rows([(f"k{rng.randint(0, 4)}", rng.choice("abc"), day("2023-01-01") + dt.timedelta(rng.randint(50, 400))) for _ in range(80)],
@@ -137,34 +150,49 @@ def test_as_of_join_against_brute_force(rows, limit):
         mine = sorted((f, e or day("9999-12-31"), a) for kk, a, f, e in versions if kk == k)
         hit = [a for f, e, a in mine if t and f <= t < e] or [a for _, _, a in mine[:1] if t and t < mine[0][0]]
         expected.append((i, k, t, hit[0] if hit else None))
-    got = as_of_join(rows(facts, "i int, k string, t date"), history, "k", "t", ["a"], broadcast_rows=limit)
+    got = as_of_join(rows(facts, "i int, k string, t date"), history, "k", "t", ["a"])
     assert sorted(tuple(r) for r in got.collect()) == sorted(expected)
 
 
-def test_overlaps_are_found_once_with_a_witness(rows):
-    data = [("p", "2024-01-01", "2024-03-01"), ("p", "2024-01-10", "2024-01-20"), ("p", "2024-02-01", None), ("q", "2024-01-01", "2024-01-05"), ("q", "2024-01-05", None)]
-    spans = rows([(k, day(f), day(t) if t else None) for k, f, t in data], "k string, dbt_valid_from date, dbt_valid_to date")
-    got = values(overlapping_versions(spans, "k"))
-    assert [(r[1], r[3]) for r in got] == [(day("2024-01-01"), day("2024-01-10")), (day("2024-01-01"), day("2024-02-01"))]
+def test_overlaps_are_complete(rows):
+    rng = random.Random(9)
+    data = [(rng.choice("pq"), rng.randint(0, 30), rng.choice([None, rng.randint(0, 45)])) for _ in range(60)]
+    start = day("2024-01-01")
+    spans = [(k, start + dt.timedelta(f), None if t is None else start + dt.timedelta(t)) for k, f, t in data]
+    expected = []
+    for k, f, t in spans:
+        earlier = [(e or day("9999-12-31"), s, e) for kk, s, e in spans if kk == k and s < f and (e is None or e > f)]
+        if earlier:
+            _, s, e = max(earlier, key=lambda x: x[:2])
+            expected.append((k, s, e, f, t, len(earlier)))
+    got = overlapping_versions(rows(spans, "k string, dbt_valid_from date, dbt_valid_to date"), "k")
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, expected))
 
 
-@pytest.mark.parametrize("limit", [500_000, 0])
-def test_upsert(rows, limit):
+def test_upsert(rows):
     target = rows([(1, "a", 1), (2, "b", None), (3, "c", 3)], "k int, s string, n int")
     source = rows([(1, "a", 1), (2, "b", 5), (4, "d", 4), (None, "e", 0)], "k int, s string, n int")
-    merged = upsert(target, source, ["k"], broadcast_rows=limit)
+    merged = upsert(target, source, ["k"])
     assert values(merged) == [
         (None, "e", 0, "insert"), (1, "a", 1, "keep"), (2, "b", 5, "update"), (3, "c", 3, "keep"), (4, "d", 4, "insert"),
     ]
     assert tuple(upsert_metrics(merged).first()) == (3, 2, 1, 0)
-    again = upsert(merged.drop("_op").filter("k is not null"), source.filter("k is not null"), ["k"], broadcast_rows=limit)
+    again = upsert(merged.drop("_op").filter("k is not null"), source.filter("k is not null"), ["k"])
     assert upsert_metrics(again).first()["num_affected_rows"] == 0
 
 
-@pytest.mark.parametrize("limit", [500_000, 0])
-def test_upsert_merges_schemas(rows, limit):
+def test_upsert_refuses_several_rows_of_a_key(rows):
+    target = rows([(1, "a")], "k int, s string")
+    for source in ([(1, "x"), (1, "y")], [(2, "x"), (2, "x")]):
+        with pytest.raises(Exception, match="several source rows"):
+            upsert(target, rows(source, "k int, s string"), ["k"]).collect()
+    several_keyless = rows([(None, "x"), (None, "x")], "k int, s string")
+    assert upsert(target, several_keyless, ["k"]).count() == 3
+
+
+def test_upsert_merges_schemas(rows):
     target = rows([(1, "a"), (2, "b")], "k int, s string")
-    merged = upsert(target, rows([(1, 9), (3, 7)], "k int, n int"), ["k"], broadcast_rows=limit)
+    merged = upsert(target, rows([(1, 9), (3, 7)], "k int, n int"), ["k"])
     assert values(merged, "k", "s", "n") == [(1, "a", 9), (2, "b", None), (3, None, 7)]
 
 
@@ -290,14 +318,14 @@ def test_checks(rows):
 
 
 def test_check_runner(rows):
-    df = rows([(1, "a"), (None, "b")], "k int, s string")
+    df = rows([(1, "a"), (None, "b"), (None, "b")], "k int, s string")
     plan = [
         checks.Check("nulls", df, lambda t: checks.not_null(t, "k"), tags=["keys"]),
         checks.Check("some nulls", df, lambda t: checks.not_null(t, "k"), where="s = 'a'"),
         checks.Check("values", df, lambda t: checks.accepted_values(t, "s", ["a"]), severity="warn"),
     ]
     got = {r.check_name: (r.failures, r.status) for r in checks.run_checks(plan).collect()}
-    assert got == {"nulls": (1, "fail"), "some nulls": (0, "pass"), "values": (1, "warn")}
+    assert got == {"nulls": (2, "fail"), "some nulls": (0, "pass"), "values": (2, "warn")}
     assert [r.check_name for r in checks.run_checks(plan, tags=["keys"]).collect()] == ["nulls"]
 
 
