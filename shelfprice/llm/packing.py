@@ -7,50 +7,109 @@ the smallest sufficient room. A segment tree over the room that is left finds th
 
 from __future__ import annotations
 
+import json
+import os
+import re
 import zlib
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 PACKED = f"{PIECES}, sequence_id long, offset long"
 
 
+#: Characters of words that are encoded in bulk: for these, letters and lower case have never changed.
+_PLAIN = re.compile("[!-~\u00c0-\u012f\u0131-\u024f]+")
+#: The tokenizer's pattern of pieces (a fixed value).
+_PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+_END = "\0"
+
+
+def _byte_of() -> dict[str, int]:
+    """The byte that a character of a byte-level vocabulary stands for.
+
+    Printable Latin-1 characters stand for themselves, those from 256 on for the other bytes in order.
+    """
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in set(shown)]
+    return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
+
+
+class _Bulk:
+    """The vocabulary's merges over whole lists of words.
+
+    A piece ends with a zero byte in place of the vocabulary's word end, and a merge has the rank of its result, so
+    the merges happen in the same order. Tokens that end a piece tell where its ids end.
+    """
+
+    def __init__(self, path: str):
+        with open(path, encoding="utf-8") as f:
+            model = json.load(f)
+        vocab, suffix, byte = model["model"]["vocab"], model["model"]["end_of_word_suffix"], _byte_of()
+        special = {t["content"] for t in model["added_tokens"]}
+        ranks = {}
+        self.ends = np.zeros(max(vocab.values()) + 2, bool)
+        for token, i in vocab.items():
+            if token not in special:
+                end = token.endswith(suffix)
+                self.ends[i] = end
+                ranks[bytes(byte[c] for c in token.removesuffix(suffix)) + (b"\0" if end else b"")] = i
+        self.merges = tiktoken.Encoding("pieces", pat_str=f"[^{_END}]+{_END}", mergeable_ranks=ranks, special_tokens={})
+
+    def __call__(self, words: list[str]) -> list[bytes]:
+        marked = _PIECE.sub(r"\g<0>" + _END, " ".join(words).lower())
+        n = np.cumsum([w.count(_END) for w in marked.split(" ")])
+        ids = np.array(self.merges.encode_ordinary(marked.replace(" ", "")), "<u4")
+        bounds = [0, *(np.flatnonzero(self.ends[ids])[n - 1] + 1).tolist()]
+        raw = ids.tobytes()
+        return [raw[4 * a : 4 * b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+
+
 class _Encoder:
     """Token ids of texts as little-endian bytes.
 
-    The tokenizer never joins what an ASCII blank separates, so texts are encoded word by word and the ids of up to
-    ``most`` different words are remembered.
+    The tokenizer joins nothing across an ASCII blank and looks at lower case only, so texts are encoded word by word
+    and the ids of up to ``most`` different words are remembered. Words of other than Latin characters are left to
+    the tokenizer itself.
     """
 
     def __init__(self, path: str, most: int):
-        from tokenizers import Tokenizer
-
-        self.tokenizer, self.most, self.known = Tokenizer.from_file(path), most, {}
+        self.tokenizer, self.bulk, self.most, self.known = Tokenizer.from_file(path), _Bulk(path), most, {}
         self.tokenizer.encode_special_tokens = True
 
+    def _learn(self, words: set[bytes]) -> None:
+        plain, other = [], []
+        for w in words:
+            text = w.decode()
+            (plain if _PLAIN.fullmatch(text) else other).append((w, text))
+        for group, encode in ((plain, self.bulk), (other, self._one_by_one)):
+            for i in range(0, len(group), 10_000):
+                keys, texts = zip(*group[i : i + 10_000], strict=True)
+                self.known.update(zip(keys, encode(list(texts)), strict=True))
+
+    def _one_by_one(self, words: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+
     def __call__(self, texts: Iterable[str | None]) -> list[bytes]:
-        split = [(t or "").encode().split() for t in texts]
+        split = [(t or "").encode().lower().split() for t in texts]
         missing = set().union(*split).difference(self.known)
         if len(self.known) + len(missing) > self.most:
             self.known, missing = {}, set().union(*split)
-        missing = list(missing)
-        for i in range(0, len(missing), 10_000):
-            part = missing[i : i + 10_000]
-            found = self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
-            self.known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(part, found, strict=True))
+        self._learn(missing)
         ids = self.known.__getitem__
         return [b"".join(map(ids, words)) for words in split]
 
 
 def _pieces(path: str, end_id: int, window: int, known_words: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    import os
-
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     encode, end, step = _Encoder(path, known_words), np.array([end_id], "<u4").tobytes(), 4 * window
     for batch in batches:
