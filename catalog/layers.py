@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,7 +37,7 @@ from shelfprice.operators.joins import lookup_join
 from shelfprice.operators.series import weekly_spine
 from shelfprice.plans import facts, marts, silver
 from shelfprice.plans.warehouse import Warehouse
-from shelfprice.sources import read_raw_csv, shared_dir
+from shelfprice.sources import product_mapping, read_raw_csv, read_seed, shared_dir
 
 
 def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
@@ -355,12 +357,41 @@ def duplicate_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw table written as headered CSV and scanned with every column a string; CSV reads blank as NULL."""
     raw = raw_company(spark, sf_dir)
-    path = f"{shared_dir(spark)}/shelfprice/csv-{spark.sparkContext.applicationId}"
+    path = f"{shared_dir(spark)}/shelfprice/csv-{uuid.uuid4().hex}"
     keep_blanks = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-    raw.write.mode("overwrite").options(header=True, **keep_blanks).csv(path)
+    raw.write.options(header=True, **keep_blanks).csv(path)
     scanned = read_raw_csv(spark, path, raw.columns)
     return scanned.groupBy("Record_Type", "Store_Region", "Category").agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.sum(F.length("Transaction_ID")).alias("id_chars"),
         F.count("Store_Region").alias("regions"),
     )
+
+
+@query(
+    "product_id product_name category sub_category n_rows:i",
+    "SELECT product_id, product_name, category, sub_category, count(*) AS n_rows FROM silver_sales GROUP BY ALL",
+)
+def sales_with_seed_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales under a product mapping that is read from a CSV file."""
+    path = f"{shared_dir(spark)}/shelfprice/seed-{uuid.uuid4().hex}"
+    mapping = product_mapping(spark)
+    keep_blanks = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    mapping.write.options(header=True, **keep_blanks).csv(path)
+    w = warehouse(spark, sf_dir)
+    seeded = Warehouse(w.raw_company, w.raw_competitor, read_seed(spark, path, mapping.schema), AS_OF)
+    columns = ["product_id", "product_name", "category", "sub_category"]
+    return seeded.sales.groupBy(*columns).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@query(
+    "transaction_id transaction_date:d store_id:i product_id quantity:i",
+    "SELECT * FROM silver_company WHERE transaction_date IS NOT NULL",
+)
+def month_first_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw tables with dates like 9/1/2024, deduplicated and parsed by their own format."""
+    company, competitor = raw_company(spark, sf_dir), raw_competitor(spark, sf_dir)
+    day = F.col("Date").try_cast("date")
+    slashed = F.when(day.isNull(), "2/30/2024").otherwise(F.date_format(day, "M/d/yyyy"))
+    w = Warehouse(company.withColumn("Date", slashed), competitor, as_of=AS_OF, company_date_format="M/d/yyyy")
+    return w.company.filter(F.col("transaction_date").isNotNull())

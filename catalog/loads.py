@@ -81,11 +81,11 @@ def sales_as_of_version(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "product_key window_a_start:d window_a_end:d window_b_start:d window_b_end:d n_open:i",
     """WITH w AS (SELECT product_key, category, min(transaction_date) AS f, max(transaction_date) AS t FROM silver_sales GROUP BY ALL),
-        pairs AS (SELECT b.product_key, b.category, a.f AS af, a.t AS at, b.f AS bf, b.t AS bt
+        pairs AS (SELECT b.product_key, b.category, a.f AS af, a.t AS ae, b.f AS bf, b.t AS bt
             FROM w a JOIN w b ON a.product_key = b.product_key AND a.f < b.f AND a.t > b.f)
-        SELECT product_key, af AS window_a_start, at AS window_a_end, bf AS window_b_start, bt AS window_b_end,
+        SELECT product_key, af AS window_a_start, ae AS window_a_end, bf AS window_b_start, bt AS window_b_end,
             count(*) OVER (PARTITION BY product_key, category) AS n_open FROM pairs
-        QUALIFY row_number() OVER (PARTITION BY product_key, category ORDER BY at DESC, af DESC) = 1""",
+        QUALIFY row_number() OVER (PARTITION BY product_key, category ORDER BY ae DESC, af DESC) = 1""",
 )
 def overlapping_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First to last sale of each category a product ever had; categories recur, so these windows overlap."""

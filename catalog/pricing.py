@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from catalog.layers import warehouse
@@ -15,17 +15,20 @@ from shelfprice.plans import measures, pricing
 from shelfprice.plans.demand import (
     constant_elasticity,
     implied_elasticity,
+    load_model,
     mean_absolute_error,
     model_predictor,
     naive_elasticity,
-    train,
+    TrainResult,
 )
-from shelfprice.plans.features import build_features, latest_rows, prepare, time_split, training_frame
+from shelfprice.plans.features import TARGET, build_features, latest_rows, prepare, time_split, training_frame
 from shelfprice.sources import read_table, shared_dir, write_json, write_table
 
 # demand model of the SQL-checked queries
 ELASTICITY = -4.0
 _N = 50
+# of the fitted model; the library's default is 500
+TREES = 20
 
 
 def _mart(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,6 +40,11 @@ def _features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_features(prepare(warehouse(spark, sf_dir).pricing_mart))
 
 
+def _latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Features of the latest week, from the weeks that they look at."""
+    return latest_rows(build_features(prepare(warehouse(spark, sf_dir).recent_mart)))
+
+
 _FEATURES = (
     "product_id store_key sales_week:d quantity_sold:i avg_unit_retail:2 log_unit_retail:6 competitor_price_ratio:6 "
     "price_difference:2 competitor_price_gap_pct:6 current_profit_margin_pct:6 is_higher_than_competitor:0 is_undercut:0 "
@@ -52,7 +60,7 @@ def demand_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(_FEATURES, "SELECT * FROM latest")
 def latest_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return latest_rows(_features(spark, sf_dir))
+    return _latest(spark, sf_dir)
 
 
 @query(
@@ -93,7 +101,7 @@ def demand_error(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def grid_elasticity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Slope of the predictions on a price grid: it must give back the model's own elasticity."""
-    return implied_elasticity(latest_rows(_features(spark, sf_dir)), constant_elasticity(ELASTICITY))
+    return implied_elasticity(_latest(spark, sf_dir), constant_elasticity(ELASTICITY))
 
 
 _BAND = """band AS (SELECT *, greatest(avg_unit_cost * CAST(1.1 AS DOUBLE), anchor * (1 - gap)) AS price_low, anchor * (1 + gap) AS top
@@ -134,7 +142,7 @@ _ROLLED = f"{_BEST}, rolled AS ({_rollup('product_id')})"
     f"WITH {_BAND} SELECT *, price_high > top AS band_violated FROM limits",
 )
 def price_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pricing.price_band(latest_rows(_features(spark, sf_dir)))
+    return pricing.price_band(_latest(spark, sf_dir))
 
 
 @query(
@@ -142,7 +150,7 @@ def price_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"WITH {_GRID} SELECT * FROM candidates",
 )
 def price_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = latest_rows(_features(spark, sf_dir))
+    rows = _latest(spark, sf_dir)
     return pricing.candidates(rows, constant_elasticity(ELASTICITY), n_candidates=_N)
 
 
@@ -154,7 +162,7 @@ _RECOMMENDED = (
 
 @query(_RECOMMENDED, f"WITH {_BEST} SELECT * FROM best")
 def price_recommendations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = latest_rows(_features(spark, sf_dir))
+    rows = _latest(spark, sf_dir)
     return pricing.rounded(pricing.recommend(rows, constant_elasticity(ELASTICITY), n_candidates=_N))
 
 
@@ -165,7 +173,7 @@ _ROLLED_UP = (
 
 
 def _week_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = latest_rows(_features(spark, sf_dir))
+    rows = _latest(spark, sf_dir)
     best = pricing.rounded(pricing.recommend(rows, constant_elasticity(ELASTICITY), n_candidates=_N))
     return pricing.roll_up(best, "product_id", "target_sales_week")
 
@@ -242,7 +250,7 @@ def weekly_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = latest_rows(_features(spark, sf_dir))
+    rows = _latest(spark, sf_dir)
     best = pricing.rounded(pricing.recommend(rows, constant_elasticity(ELASTICITY), n_candidates=_N))
     return pricing.roll_up(best, "product_id")
 
@@ -295,10 +303,51 @@ def top_opportunities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return measures.top_opportunities(_products(spark, sf_dir), 10)
 
 
-@query(_RECOMMENDED)
-def boosted_recommendations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Boosted trees fitted on the whole training frame; no SQL counterpart."""
-    features = build_features(prepare(_mart(spark, sf_dir)))
-    fitted = train(features, max_iter=3, max_depth=4, step_size=0.3)
-    rows = latest_rows(features)
-    return pricing.rounded(pricing.recommend(rows, model_predictor(fitted.model), n_candidates=_N))
+def _fitted(spark: SparkSession, sf_dir: str) -> tuple[str, TrainResult]:
+    """A folder with the mart and a model, and the result of the training job."""
+    root = f"{shared_dir(spark)}/shelfprice/model-{uuid.uuid4().hex}"
+    write_table(warehouse(spark, sf_dir).pricing_mart, f"{root}/mart")
+    return root, pricing.train_and_save(spark, f"{root}/mart", f"{root}/model", max_iter=TREES)
+
+
+@query(
+    "product_id store_key in_band demand_falls margin_adds_up",
+    "SELECT product_id, store_key, true AS in_band, true AS demand_falls, true AS margin_adds_up FROM latest",
+)
+def boosted_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What must hold for every series under a fitted model: trained, saved, loaded and applied to the candidates."""
+    root, _ = _fitted(spark, sf_dir)
+    rows = latest_rows(build_features(prepare(read_table(spark, f"{root}/mart"))))
+    tried = pricing.candidates(rows, model_predictor(load_model(spark, f"{root}/model")))
+    cheaper = Window.partitionBy("product_id", "store_key").orderBy("candidate_price")
+    before = F.lag("predicted_quantity").over(cheaper)
+    price, margin = F.col("candidate_price"), F.col("predicted_quantity") * (F.col("candidate_price") - F.col("avg_unit_cost"))
+    inside = (price >= F.col("price_low") - 1e-9) & (price <= F.col("price_high") + 1e-9)
+    return (
+        tried.withColumn("_falls", before.isNull() | (F.col("predicted_quantity") <= before))
+        .groupBy("product_id", "store_key")
+        .agg(
+            F.every(inside).alias("in_band"),
+            F.every("_falls").alias("demand_falls"),
+            F.every(F.abs(F.col("predicted_margin") - margin) < 1e-6).alias("margin_adds_up"),
+        )
+    )
+
+
+@query(
+    "naive_elasticity:6 learns generalises",
+    """WITH c AS (SELECT max(sales_week) - 28 AS cutoff FROM training)
+        SELECT regr_slope(log_quantity, log_unit_retail) AS naive_elasticity, true AS learns, true AS generalises
+        FROM training, c WHERE sales_week <= cutoff""",
+)
+def boosted_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report of a fit: its elasticity, and whether it beats the mean of the training rows on both sides."""
+    root, fit = _fitted(spark, sf_dir)
+    train_rows, test_rows, _ = time_split(training_frame(build_features(prepare(read_table(spark, f"{root}/mart")))))
+    mean = train_rows.agg(F.avg(TARGET)).first()[0]
+    errors = [rows.agg(F.avg(F.abs(F.col(TARGET) - mean))).first()[0] for rows in (train_rows, test_rows)]
+    return spark.range(1).select(
+        F.lit(fit.naive_elasticity).alias("naive_elasticity"),
+        F.lit(fit.train_mae < errors[0]).alias("learns"),
+        F.lit(fit.test_mae < errors[1]).alias("generalises"),
+    )

@@ -79,9 +79,13 @@ def fill_weeks(
     first_week: Column,
     last_week: Column,
     week: str = "sales_week",
+    shown_from: Column | None = None,
 ) -> DataFrame:
     """One row per member and week from ``first_week`` to ``last_week``.
 
+    With ``shown_from``, only weeks from that one on are produced; they carry
+    what was known before it as well.
+
     ``carried`` columns come from the last week in which the first of them was
     known (NULL before that); ``counted`` columns are 0 in weeks without
     observation. Works on the sparse observations: each one covers the weeks
@@ -107,6 +111,8 @@ def fill_weeks(
         members.join(ranges, list(keys), "left")
         .withColumn("_from", F.when(F.col("_opens"), first_week).otherwise(F.coalesce("_observed", first_week)))
         .withColumn("_to", F.coalesce(F.date_sub("_next", 7), last_week))
+        .withColumn("_from", F.greatest("_from", first_week if shown_from is None else shown_from))
+        .filter(F.col("_from") <= F.col("_to"))
         .withColumn(week, F.explode(F.sequence("_from", "_to", F.expr(WEEK))))
     )
     known = F.col(week) >= F.col("_observed")

@@ -23,6 +23,8 @@ RAW_PRICES = [
 ]
 
 SERIES = ["product_id", "store_key"]
+# a row looks back on this many weeks, its own included
+FEATURE_WEEKS = 5
 
 
 def prepare(mart: DataFrame) -> DataFrame:

@@ -54,14 +54,16 @@ def _weekly_mart(
     sales: DataFrame,
     competitor: DataFrame,
     products: DataFrame,
+    last_weeks: int | None,
 ) -> DataFrame:
     sales = write_through(sales, "weekly-sales")
     low, high = sales.agg(F.min("sales_week"), F.max("sales_week")).first()
     low, high = F.lit(low).cast("date"), F.lit(high).cast("date")
+    shown = low if last_weeks is None else F.greatest(low, F.date_sub(high, 7 * (last_weeks - 1)))
 
-    own = fill_weeks(members, sales, keys, _SALES, _COUNTS, low, high)
+    own = fill_weeks(members, sales, keys, _SALES, _COUNTS, low, high, shown_from=shown)
     # competitor prices have no store: they are carried once per product and looked up by every store
-    market = fill_weeks(products.select("product_key"), competitor, ["product_key"], _COMPETITOR, [], low, high)
+    market = fill_weeks(products.select("product_key"), competitor, ["product_key"], _COMPETITOR, [], low, high, shown_from=shown)
     filled = lookup_join(own, write_through(market, "weekly-market"), ["product_key", "sales_week"])
 
     retail = F.col("avg_unit_retail")
@@ -78,15 +80,23 @@ def _weekly_mart(
 
 
 def pricing_mart(
-    sales_fact: DataFrame, competitor_fact: DataFrame, products: DataFrame, stores: DataFrame, dates: DataFrame
+    sales_fact: DataFrame,
+    competitor_fact: DataFrame,
+    products: DataFrame,
+    stores: DataFrame,
+    dates: DataFrame,
+    last_weeks: int | None = None,
 ) -> DataFrame:
-    """Product x store x week: own and competitor prices carried forward, sales of the week."""
+    """Product x store x week: own and competitor prices carried forward, sales of the week.
+
+    With ``last_weeks``, only that many weeks at the end, with the same values.
+    """
     keys = ["product_key", "store_key"]
     current = active_products(products)
     members = every_pair(current, active_stores(stores))
     attributes = [F.col(c) for c in ("store_key", *STORE_ATTRIBUTES)]
     sales = weekly_sales(sales_fact, *keys)
-    return _weekly_mart(members, keys, attributes, sales, weekly_competitor(competitor_fact, dates), current)
+    return _weekly_mart(members, keys, attributes, sales, weekly_competitor(competitor_fact, dates), current, last_weeks)
 
 
 def product_week_mart(
@@ -95,4 +105,4 @@ def product_week_mart(
     """Product x week, all stores together."""
     current = active_products(products)
     sales = weekly_sales(sales_fact, "product_key")
-    return _weekly_mart(current, ["product_key"], [], sales, weekly_competitor(competitor_fact, dates), current)
+    return _weekly_mart(current, ["product_key"], [], sales, weekly_competitor(competitor_fact, dates), current, None)

@@ -13,6 +13,7 @@ from shelfprice.operators.dedup import keep_latest
 from shelfprice.operators.history import build_history
 from shelfprice.operators.series import date_dimension, month_dimension
 from shelfprice.plans import dims, facts, marts, silver
+from shelfprice.plans.features import FEATURE_WEEKS
 from shelfprice.sources import product_mapping, write_through
 
 
@@ -118,6 +119,13 @@ class Warehouse:
     def pricing_mart(self) -> DataFrame:
         return marts.pricing_mart(self.sales_fact, self.competitor_fact, self.products, self.stores, self.dates)
 
+    @cached_property
+    def recent_mart(self) -> DataFrame:
+        """The weeks that the features of the latest week look at."""
+        return marts.pricing_mart(
+            self.sales_fact, self.competitor_fact, self.products, self.stores, self.dates, last_weeks=FEATURE_WEEKS
+        )
+
     @cached_property
     def product_week_mart(self) -> DataFrame:
         return marts.product_week_mart(self.sales_fact, self.competitor_fact, self.products, self.dates)

@@ -2,7 +2,6 @@ from shelfprice.sources.files import (
     read_raw_csv,
     read_seed,
     read_table,
-    schema_name,
     write_json,
     write_table,
 )
@@ -14,7 +13,6 @@ __all__ = [
     "read_raw_csv",
     "read_seed",
     "read_table",
-    "schema_name",
     "shared_dir",
     "write_json",
     "write_table",

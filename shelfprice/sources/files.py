@@ -20,7 +20,7 @@ def read_raw_csv(spark: SparkSession, path: str, columns: Sequence[str]) -> Data
     return spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(path)
 
 
-def read_seed(spark: SparkSession, path: str, schema: str) -> DataFrame:
+def read_seed(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
     """Small static lookup kept as headered CSV."""
     return spark.read.schema(schema).option("header", True).csv(path)
 
@@ -38,8 +38,3 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
 def write_json(df: DataFrame, path: str) -> None:
     """One JSON record per row; NaN is written as null."""
     nan_to_null(df).write.mode("overwrite").option("ignoreNullFields", False).json(path)
-
-
-def schema_name(custom: str | None, default: str) -> str:
-    """Target database of a table: the configured name verbatim, else the default."""
-    return default if custom is None else custom.strip()

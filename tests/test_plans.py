@@ -21,7 +21,7 @@ from shelfprice.plans.marts import pricing_mart, weekly_sales
 from shelfprice.plans.measures import expected_uplift, top_opportunities
 from shelfprice.plans.silver import COMPANY_COLUMNS, silver_company, silver_sales
 from shelfprice.plans.warehouse import Warehouse
-from shelfprice.sources import product_mapping, read_raw_csv, read_table, schema_name, write_json, write_table
+from shelfprice.sources import product_mapping, read_raw_csv, read_table, write_json, write_table
 
 MONDAY = dt.date(2024, 1, 1)
 
@@ -260,7 +260,3 @@ def test_schema_merging_read(spark, rows, tmp_path):
     write_table(rows([(1,)], "k int"), str(tmp_path / "t"), "append")
     write_table(rows([(2, "x")], "k int, s string"), str(tmp_path / "t"), "append")
     assert values(read_table(spark, str(tmp_path / "t"), merge_schema=True), "k", "s") == [(1, None), (2, "x")]
-
-
-def test_schema_name():
-    assert schema_name(None, "gold") == "gold" and schema_name(" marts ", "gold") == "marts"
