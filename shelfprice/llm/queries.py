@@ -41,6 +41,36 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+_WORDS = r"SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents"
+
+_PASSAGES = f"""WITH w AS ({_WORDS}),
+    starts AS (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS i FROM w),
+    windows AS (SELECT doc_id, i, array_to_string(ws[i : i + 12], ' ') AS words FROM starts),
+    seen AS (SELECT words, min(doc_id) AS earliest FROM windows GROUP BY words),
+    gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS j FROM windows JOIN seen USING (words) WHERE earliest < doc_id),
+    numbered AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS j FROM w),
+    kept AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY j) AS words
+        FROM numbered ANTI JOIN gone USING (doc_id, j) GROUP BY doc_id)
+    SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n, 0) AS BIGINT) AS n_removed,
+        sha256(coalesce(words, '')) AS kept_sha256 FROM w LEFT JOIN kept USING (doc_id)"""
+
+_GROUPS = f"""WITH RECURSIVE w AS ({_WORDS}),
+    sets AS (SELECT doc_id, list_sort(list_distinct(CASE WHEN len(ws) >= 5
+        THEN list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i : i + 4], ' '))
+        WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END)) AS shingles FROM w),
+    classes AS (SELECT shingles, min(doc_id) AS rep, count(*) AS n_copies FROM sets WHERE len(shingles) > 0 GROUP BY shingles),
+    elements AS (SELECT rep, len(shingles) AS n, unnest(shingles) AS shingle FROM classes),
+    links AS (SELECT a.rep AS rep, b.rep AS other FROM elements a JOIN elements b ON a.shingle = b.shingle AND a.rep <> b.rep
+        GROUP BY a.rep, b.rep, a.n, b.n HAVING 10 * count(*) >= 8 * (a.n + b.n - count(*))),
+    reached AS (SELECT rep, rep AS other FROM classes
+        UNION SELECT r.rep, l.other FROM reached r JOIN links l ON l.rep = r.other),
+    found AS (SELECT rep, min(other) AS class_id FROM reached GROUP BY rep),
+    degree AS (SELECT rep, count(*) AS n_links FROM links GROUP BY rep)
+    SELECT s.doc_id, coalesce(f.class_id, s.doc_id) AS class_id, coalesce(c.n_copies, 1) AS n_copies, coalesce(d.n_links, 0) AS n_links
+    FROM sets s LEFT JOIN classes c ON c.shingles = s.shingles AND len(s.shingles) > 0
+    LEFT JOIN found f ON f.rep = c.rep LEFT JOIN degree d ON d.rep = c.rep"""
+
+
 @query("op1_pii")
 def pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report(table(spark, sf_dir, "documents"))
@@ -56,7 +86,7 @@ def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), tokenizer())
 
 
-@query("op4_substring_dedup")
+@query("op4_substring_dedup", _PASSAGES)
 def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeated_passages(table(spark, sf_dir, "documents"))
 
@@ -82,7 +112,7 @@ def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_languages(table(spark, sf_dir, "documents"))
 
 
-@query("op9_jaccard_join")
+@query("op9_jaccard_join", _GROUPS)
 def jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_documents(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_copies", "n_links")
 
