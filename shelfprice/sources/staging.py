@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 _own_dirs: dict[str, str] = {}
+_written: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -37,5 +40,27 @@ def write_through(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/shelfprice/{label}-{uuid.uuid4().hex}"
+    _written.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession, since: int = 0) -> None:
+    """Delete the layers that this process has written, the first ``since`` of them excepted.
+
+    For when the results that read them are written elsewhere or no longer
+    needed: a layer is as large as what it holds, and nothing else removes it.
+    """
+    while len(_written) > since:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def short_lived_layers(spark: SparkSession) -> Iterator[None]:
+    """Layers written inside are deleted at the end; what is to stay has to be written elsewhere inside."""
+    before = len(_written)
+    try:
+        yield
+    finally:
+        release(spark, before)

@@ -260,3 +260,20 @@ def test_schema_merging_read(spark, rows, tmp_path):
     write_table(rows([(1,)], "k int"), str(tmp_path / "t"), "append")
     write_table(rows([(2, "x")], "k int, s string"), str(tmp_path / "t"), "append")
     assert values(read_table(spark, str(tmp_path / "t"), merge_schema=True), "k", "s") == [(1, None), (2, "x")]
+
+
+def test_layers_are_released(spark, tmp_path):
+    from pathlib import Path
+
+    from shelfprice.sources.staging import release, short_lived_layers, write_through
+
+    def folder(df):
+        return Path(df.inputFiles()[0].removeprefix("file://")).parent
+
+    kept = folder(write_through(spark.range(3), "kept"))
+    with short_lived_layers(spark):
+        gone = folder(write_through(spark.range(3), "gone"))
+        assert gone.exists()
+    assert kept.exists() and not gone.exists()
+    release(spark)
+    assert not kept.exists()
