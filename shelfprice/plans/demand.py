@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfprice.operators.series import price_points
@@ -26,13 +26,18 @@ def naive_elasticity(df: DataFrame) -> DataFrame:
     return df.agg(F.regr_slope(TARGET, "log_unit_retail").alias("elasticity"))
 
 
-def constant_elasticity(elasticity: float) -> Predictor:
-    """Demand that scales the recent quantity by ``(price / current price) ** elasticity``."""
+def constant_elasticity(elasticity: float | Column) -> Predictor:
+    """Demand that scales the recent quantity by ``(price / current price) ** elasticity``.
+
+    The elasticity is one number or an expression over the row. A row without
+    a price has no prediction.
+    """
+    power = elasticity if isinstance(elasticity, Column) else F.lit(float(elasticity))
 
     def predict(df: DataFrame) -> DataFrame:
         recent = F.log1p(F.col("quantity_rolling_avg_4_weeks"))
         moved = F.col("log_unit_retail") - F.ln(F.col("avg_unit_retail"))
-        return df.withColumn(PREDICTION, recent + F.lit(float(elasticity)) * moved)
+        return df.withColumn(PREDICTION, recent + power * moved)
 
     return predict
 
@@ -137,8 +142,8 @@ def load_model(spark: SparkSession, path: str) -> PipelineModel:
 def implied_elasticity(
     rows: DataFrame, predict: Predictor, low: float = 0.9, high: float = 1.1, n_points: int = 20
 ) -> DataFrame:
-    """Slope of the prediction over log price per series, on a grid around the current price."""
+    """Slope of the prediction over log price per series, on a grid around the current price; NULL without a price."""
     price = F.col("avg_unit_retail")
-    grid = price_points(rows.filter(price > 0), price * low, price * high, n_points, "_price")
+    grid = price_points(rows, price * low, price * high, n_points, "_price")
     scored = predict(grid.withColumn("log_unit_retail", F.ln("_price")))
     return scored.groupBy(*SERIES).agg(F.regr_slope(PREDICTION, "log_unit_retail").alias("implied_elasticity"))
