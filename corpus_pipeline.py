@@ -12,7 +12,7 @@ from shelfprice.llm.packing import pack
 from shelfprice.llm.pii import redact
 from shelfprice.llm.quality_rules import kept_documents
 from shelfprice.llm.queries import table, tokenizer
-from shelfprice.sources.staging import shared_dir
+from shelfprice.sources.staging import shared_dir, short_lived_layers
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,10 +53,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rows of the last stage. Every stage is written to the shared folder and read again by the next one."""
+    """The rows of the last stage.
+
+    Every stage is written to the shared folder and read again by the next one; the layers that a stage needs on the
+    way are deleted once it is written.
+    """
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         path = f"{shared_dir(spark)}/corpus-{uuid.uuid4().hex}/{name}"
-        stage(spark, docs, sf_dir).write.parquet(path)
+        with short_lived_layers(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs

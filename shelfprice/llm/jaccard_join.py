@@ -297,7 +297,7 @@ def _grouped(docs: DataFrame, doc_id: str, text: str, width: int, threshold: flo
     return rows.select("doc_id", "doc", "label", F.coalesce("n_copies", F.lit(1)).cast("long").alias("n_copies"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
 
 
-def similar_documents(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", width: int = 5, threshold: float = 0.8, bands: int = 28, tolerance: float = 1e-6, chunk: int = 512, group: int = 16_384) -> DataFrame:
+def similar_documents(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", width: int = 5, threshold: float = 0.8, bands: int = 28, tolerance: float = 1e-6, chunk: int = 512, group: int = 4096) -> DataFrame:
     """Per document: (doc_id, doc, class_id, n_copies, n_links).
 
     Two texts are linked if the Jaccard similarity of their sets of ``width``-word shingles is at least ``threshold``.
@@ -324,7 +324,7 @@ def similar_documents(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "t
     )
 
 
-def first_of_each(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", width: int = 5, threshold: float = 0.8, bands: int = 28, tolerance: float = 1e-6, chunk: int = 512, group: int = 16_384) -> DataFrame:
+def first_of_each(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", width: int = 5, threshold: float = 0.8, bands: int = 28, tolerance: float = 1e-6, chunk: int = 512, group: int = 4096) -> DataFrame:
     """One document of each group: the one with the smallest id (the smallest digest breaks ties, a null id is last).
 
     Documents without words all stay. Of rows that agree in id and text one stays. For the options and the groups see

@@ -110,12 +110,12 @@ def test_pieces_cover_the_item():
 def test_items_with_edits_are_found(spark):
     rng = np.random.default_rng(5)
     word = lambda: "".join(rng.choice(list("etaoinshr"), rng.integers(2, 9)))
-    items = [(i, " ".join(word() for _ in range(rng.integers(15, 40)))) for i in range(40)]
+    items = [(i, " ".join(word() for _ in range(rng.integers(15, 25)))) for i in range(8)]
     documents, planted = [], {}
-    for i in range(200):
-        body = [word() for _ in range(rng.integers(0, 300))]
-        if i % 4 == 0:
-            item, text = items[i % 40]
+    for i in range(48):
+        body = [word() for _ in range(rng.integers(0, 50))]
+        if i % 3 == 0:
+            item, text = items[i % 8]
             chars, edits = list(text.upper() if i % 8 else text), rng.integers(0, int(len(text) * 0.05) + 1)
             for _ in range(edits):
                 at = rng.integers(0, len(chars))
@@ -125,7 +125,7 @@ def test_items_with_edits_are_found(spark):
         documents.append((i, " ".join(body)))
     docs = spark.createDataFrame(documents, "doc_id long, text string")
     table = spark.createDataFrame(items, "item_id long, text string")
-    got = find_items(docs, table, block_bytes=2_000).collect()
+    got = find_items(docs, table, block_bytes=400).collect()
     brute = {(i, j) for i, t in documents for j, x in items if edit_distance(normalised(x), normalised(t)) <= int(len(normalised(x)) * 0.05)}
     assert {(r.doc_id, r.item_id) for r in got} == brute and set(planted.items()) <= brute
     for r in got:
