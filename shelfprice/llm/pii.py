@@ -85,7 +85,7 @@ def base_spans(text: Column) -> Column:
 def _neighbours(text: Column, spans: Column, reach: int) -> Column:
     """(entity, word, start, end, context) for the words within ``reach`` characters of each span.
 
-    A word counts if a blank parts it from the outer edge, or if the text ends there, and if it lies in no span.
+    A word counts if a blank parts it from the outer edge, or if the text ends there, and if it neither lies in a span nor touches one.
     """
 
     def near(s: Column) -> Column:
@@ -105,21 +105,28 @@ def _neighbours(text: Column, spans: Column, reach: int) -> Column:
         return F.concat(words(whole, s["start"] - F.length(whole)), words(kept, s["end"]))
 
     found = F.flatten(F.transform(spans, near))
-    return F.filter(found, lambda w: ~F.exists(spans, lambda s: (s["start"] < w["end"]) & (w["start"] < s["end"])))
+    return F.filter(found, lambda w: ~F.exists(spans, lambda s: (s["start"] <= w["end"]) & (w["start"] <= s["end"])))
 
 
 def _disclosing(found: DataFrame, docs: DataFrame, documents: int, alpha: float, support: int) -> DataFrame:
-    """(entity, term) pairs over the threshold, each seen in at least ``support`` different contexts."""
-    words = found.select(F.explode("near").alias("w")).select("w.entity", "w.term", "w.context")
+    """(entity, term) pairs over the threshold, each seen in at least ``support`` different contexts.
+
+    A word is in at least as many documents as it stands near some entity, so a pair that misses the threshold with
+    that number misses it with the true one. Only the words of the pairs left are counted in the whole corpus.
+    """
+    words = found.select("doc", F.explode("near").alias("w")).select("doc", "w.entity", "w.term", "w.context")
     entities = found.select("doc", F.explode("spans").alias("s")).select(F.col("s.value").alias("entity"), "doc").distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
-    pairs = words.distinct().groupBy("entity", "term").agg(F.count("*").alias("n_pair")).filter(F.col("n_pair") >= support)
-    candidates = write_through(pairs.join(entities, "entity"), "pii-candidates")
+    pairs = words.select("entity", "term", "context").distinct().groupBy("entity", "term").agg(F.count("*").alias("n_pair")).filter(F.col("n_pair") >= support)
+    beside = words.select("doc", "term").distinct().groupBy("term").agg(F.count("*").alias("n_beside"))
+
+    def discloses(n_term: str) -> Column:
+        information = -F.log2(F.col("n_entity") / F.lit(float(documents)))
+        return F.log2(F.col("n_pair") * F.lit(float(documents)) / (F.col("n_entity") * F.col(n_term))) >= F.lit(alpha) * information
+
+    candidates = write_through(pairs.join(entities, "entity").join(beside, "term").filter(discloses("n_beside")), "pii-candidates")
     seen = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))).alias("term"))
     terms = seen.join(candidates.select("term").distinct(), "term", "left_semi").groupBy("term").agg(F.count("*").alias("n_term"))
-    log = F.log2
-    information = -log(F.col("n_entity") / F.lit(float(documents)))
-    pmi = log(F.col("n_pair") * F.lit(float(documents)) / (F.col("n_entity") * F.col("n_term")))
-    return candidates.join(terms, "term").filter(pmi >= F.lit(alpha) * information).select("entity", "term")
+    return candidates.join(terms, "term").filter(discloses("n_term")).select("entity", "term")
 
 
 def _based(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
