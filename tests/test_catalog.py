@@ -16,6 +16,7 @@ SF = os.environ.get("SHELFPRICE_SF", "/root/testdata/sf0.001")
 FEW = [
     "weekly_store_sales", "deduplicated_company", "silver_sales", "guarded_dates", "dim_products", "snapshot_runs", "keyed_upsert",
     "fact_competitor_prices", "pricing_mart", "price_recommendations", "quality_report", "event_freshness",
+    "append_new_transactions", "overlapping_windows", "month_first_dates", "sales_with_seed_file", "grid_elasticity",
 ]
 pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="driver tables not present")
 NAMES = list(REGISTRY) if os.environ.get("SHELFPRICE_ALL") else FEW
