@@ -21,8 +21,8 @@ from shelfprice.llm.packed import U64, WORD_BASE, Hashes, Words, utf8
 _LOW = U64((1 << 48) - 1)
 _EDGES = "bucket int, block int, keys binary, words binary, ids binary, counts binary"
 _SOURCES = "block int, bucket int, entries binary, source_blocks binary, source_words binary"
-_PATHS = "block int, word int, n int, digest binary, to_block int, to_word int"
-_SPANS = "block int, word int, n int"
+_PATH = ["block", "word", "n", "digest"]
+_PATHS = "block int, word int, n int, digest binary, to_block int, targets binary"
 _RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string"
 
 
@@ -107,9 +107,10 @@ def _digest(data: np.ndarray, words: Words, first: int, n: int) -> bytes:
 
 
 def _compact(k: int, buckets: int, key, table: pa.Table, answers: pa.Table) -> pa.Table:
-    """The block's repeated edges as paths along their sources."""
+    """The block's repeated edges as paths along their sources; each path with all places where it stands."""
     block = key[0].as_py()
-    schema = pa.schema([("block", pa.int32()), ("word", pa.int32()), ("n", pa.int32()), ("digest", pa.binary()), ("to_block", pa.int32()), ("to_word", pa.int32())])
+    types = [pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.int32(), pa.binary()]
+    schema = pa.schema(list(zip([*_PATH, "to_block", "targets"], types, strict=True)))
     e = _Edges(table, k, buckets)
     if not e.start.size:
         return pa.Table.from_pylist([], schema)
@@ -135,23 +136,16 @@ def _compact(k: int, buckets: int, key, table: pa.Table, answers: pa.Table) -> p
     )[: at.size]
     begin = np.flatnonzero(~ahead)
     n = np.diff(begin, append=at.size) + k - 1
-    word = start[begin]
-    return pa.Table.from_arrays(
-        [
-            pa.array(source_block[edge[begin]], pa.int32()),
-            pa.array(source_word[edge[begin]], pa.int32()),
-            pa.array(n, pa.int32()),
-            pa.array([_digest(e.data, e.words, a, b) for a, b in zip(word.tolist(), n.tolist(), strict=True)], pa.binary()),
-            pa.array(np.full(begin.size, block), pa.int32()),
-            pa.array(word, pa.int32()),
-        ],
-        schema=schema,
-    )
+    places: dict[tuple, list[int]] = {}
+    for source, first, size, word in zip(source_block[edge[begin]].tolist(), source_word[edge[begin]].tolist(), n.tolist(), start[begin].tolist(), strict=True):
+        places.setdefault((source, first, size, _digest(e.data, e.words, word, size)), []).append(word)
+    rows = [(*path, block, blocks.steps(np.array(words))) for path, words in places.items()]
+    return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [()] * 6, types, strict=True)], schema=schema)
 
 
 def _confirm(table: pa.Table, paths: pa.Table) -> pa.Table:
-    """The paths whose words stand at their source coordinates."""
-    schema = pa.schema([("block", pa.int32()), ("word", pa.int32()), ("n", pa.int32())])
+    """Of the paths whose words stand at their source coordinates: the block, length and places to cut."""
+    schema = pa.schema([("block", pa.int32()), ("n", pa.int32()), ("targets", pa.binary())])
     if not paths.num_rows:
         return pa.Table.from_pylist([], schema)
     data, offsets = utf8(blocks.in_order(table)["text"])
@@ -163,7 +157,7 @@ def _confirm(table: pa.Table, paths: pa.Table) -> pa.Table:
             seen[first, n] = _digest(data, words, first, n)
         good.append(seen[first, n] == digest)
     kept = paths.filter(pa.array(good, pa.bool_()))
-    return pa.Table.from_arrays([kept["to_block"], kept["to_word"], kept["n"]], schema=schema)
+    return pa.Table.from_arrays([kept["to_block"], kept["n"], kept["targets"]], schema=schema)
 
 
 def _cut(table: pa.Table, spans: pa.Table) -> pa.Table:
@@ -171,9 +165,10 @@ def _cut(table: pa.Table, spans: pa.Table) -> pa.Table:
     data, offsets = utf8(table["text"])
     words = Words(data, offsets)
     depth = np.zeros(words.start.size + 1, np.int64)
-    first = spans["word"].to_numpy()
-    np.add.at(depth, first, 1)
-    np.add.at(depth, first + spans["n"].to_numpy(), -1)
+    for n, targets in zip(spans["n"].to_pylist(), spans["targets"].to_pylist(), strict=True):
+        first = blocks.unstepped(targets)  # rising, so no place stands twice
+        depth[first] += 1
+        depth[first + n] -= 1
     removed = np.cumsum(depth[:-1]) > 0
     before = np.append(0, np.cumsum(removed))
     n_removed = before[words.first[1:]] - before[words.first[:-1]]
@@ -208,5 +203,5 @@ def remove_repeated_passages(docs: DataFrame, *, doc_id: str = "doc_id", text: s
     edges = grouped.applyInArrow(lambda key, t: _ask(k, buckets, key, t), _EDGES)
     sources = edges.groupBy("bucket").applyInArrow(_first, _SOURCES)
     paths = grouped.cogroup(sources.groupBy("block")).applyInArrow(lambda key, t, a: _compact(k, buckets, key, t, a), _PATHS)
-    spans = grouped.cogroup(paths.groupBy("block")).applyInArrow(_confirm, _SPANS)
+    spans = grouped.cogroup(paths.groupBy("block")).applyInArrow(_confirm, "block int, n int, targets binary")
     return grouped.cogroup(spans.groupBy("block")).applyInArrow(_cut, _RESULT)
