@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfprice.llm.packed import BASE, BYTE_VALUE, SPACE, U64, WORD_BASE, Hashes, Words, mixed, slices, utf8
@@ -117,3 +117,17 @@ def checkpointed(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint()
+
+
+def hashed_share(share: Column | float, *columns: str) -> Column:
+    """Whether a row's hash of these columns falls into this share of all hashes."""
+    return F.pmod(F.xxhash64(*columns), F.lit(1 << 31)) < F.lit(1 << 31) * share
+
+
+def bounded_sample(rows: DataFrame, most: int) -> DataFrame:
+    """At most ``most`` rows, the first by a hash of all columns; ``rows`` are read twice.
+
+    A share of the hashes that holds about twice as many is taken first, so that tasks do not each send ``most`` rows.
+    """
+    share = min(1.0, 2 * most / max(1, rows.count()))
+    return rows.filter(hashed_share(share, *rows.columns)).orderBy(F.xxhash64(*rows.columns), *rows.columns).limit(most)

@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfprice.llm.doc_stats import hashed_share
 from shelfprice.llm.lm_score import in_fold
 from shelfprice.llm.packed import slices, utf8
 
@@ -114,11 +115,17 @@ class KernelModel:
 def fit_languages(train: DataFrame, *, landmarks: int = 32, sample: int = 400, ridge: float = 1e-3) -> KernelModel | None:
     """Learns from ``train`` (doc_id, lang, text), all with a language.
 
-    Of each language the first ``sample`` documents by a hash of the id teach, and the first ``landmarks`` of these
-    are landmarks: a bounded sample, of which only the sets of n-grams reach the driver.
+    Of each language the first ``sample`` documents by a hash teach, and the first ``landmarks`` of these
+    are landmarks: a bounded sample, of which only the sets of n-grams reach the driver, with one count per language.
     """
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "text")
-    rows = train.withColumn("_place", F.row_number().over(order)).filter(F.col("_place") <= sample).select("lang", "text")
+    counts = {r["lang"]: r["count"] for r in train.groupBy("lang").count().collect()}
+    if not counts:
+        return None
+    # about twice the sample by hash, of which the first are taken: tasks do not each send a whole sample
+    shares = F.create_map(*(F.lit(x) for k, n in sorted(counts.items()) for x in (k, min(1.0, 2 * sample / n))))
+    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", "text"), "doc_id", "text")
+    some = train.filter(hashed_share(shares[F.col("lang")], "doc_id", "text"))
+    rows = some.withColumn("_place", F.row_number().over(order)).filter(F.col("_place") <= sample).select("lang", "text")
     got = sorted(((r.lang, bytes(r.grams)) for r in rows.mapInArrow(_gram_sets, "lang string, grams binary").collect()), key=lambda r: (r[0], zlib.crc32(r[1]), r[1]))
     sets = [np.frombuffer(g, np.int32) for _, g in got]
     usable = [i for i, s in enumerate(sets) if s.size]
