@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from shelfprice.llm.doc_stats import STATS, checkpointed, document_stats, text_stats
+from shelfprice.llm.doc_stats import STATS, bounded_sample, checkpointed, document_stats, text_stats
 
 #: Shares that conditions may test: numerator and denominator, both statistics.
 SHARES = {
@@ -147,9 +147,10 @@ def learn_rules(x: np.ndarray, bad: np.ndarray, *, precision: float = 0.98, supp
 
 
 def rules_from_labels(stats: DataFrame, labels: DataFrame, *, sample: int = 50_000) -> DecisionList:
-    """Learns from at most ``sample`` labelled documents, the first by a hash of the id; ``labels``: (doc_id, label)."""
+    """Learns from at most ``sample`` labelled documents, the first by a hash; ``labels``: (doc_id, label)."""
     marked = labels.filter(F.col("label").isin(0, 1)).groupBy("doc_id").agg(F.max("label").alias("label"))
-    rows = stats.join(marked, "doc_id").select("doc_id", "label", *STATS).orderBy(F.xxhash64("doc_id"), "doc_id", *STATS).limit(sample).toArrow()
+    known = checkpointed(stats.join(marked, "doc_id").select("doc_id", "label", *STATS))
+    rows = bounded_sample(known, sample).toArrow()
     return learn_rules(measured({n: rows[n].to_numpy() for n in STATS}), rows["label"].to_numpy() == 0)
 
 
