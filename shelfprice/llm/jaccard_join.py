@@ -5,7 +5,8 @@
    classes meet in jobs, one for each pair of homes that share a bucket. A job is dealt out in tiles of bounded size,
    so that neither a bucket with a third of all classes nor its pairs reach one task or become rows.
 3. In a tile, MinHash values are compared a few at a time. With a uniform prior, the similarity of a pair that agrees
-   in m of n values is at least t with probability P(Binomial(n + 1, t) <= m); a pair below the tolerance is dropped.
+   in m of n values is at least t with probability P(Binomial(n + 1, t) <= m); a pair below a share of the tolerance
+   is dropped. The share is such that all looks together lose at most the tolerance.
 4. Classes with a pair left are compared by their whole shingle sets. A tile returns the number of links of each of
    its classes and a spanning forest of them; connected components of the forests are the groups.
 """
@@ -44,14 +45,16 @@ def _shingles(texts: pa.Array | pa.ChunkedArray, width: int) -> Iterator[np.ndar
 
 
 def _signatures(sets: list[np.ndarray], values: int) -> np.ndarray:
-    """MinHash values, one row per (non-empty) set."""
+    """MinHash values, one row per (non-empty) set. Each value mixes the shingles with a seed of its own.
+
+    Bands and pruning need independent values; multiples of a step added to a hash are not.
+    """
     keys = np.concatenate(sets)
     start = np.append(0, np.cumsum([s.size for s in sets])[:-1])
-    h, step = mixed(keys + U64(0x1F83D9ABFB41BD6B)), mixed(keys + U64(0x5BE0CD19137E2179)) | U64(1)
+    seeds = mixed(np.arange(1, values + 1, dtype=U64) * U64(0x5BE0CD19137E2179))
     out = np.empty((len(sets), values), np.uint32)
     for j in range(values):
-        out[:, j] = np.minimum.reduceat(h, start) >> U64(32)
-        h += step
+        out[:, j] = np.minimum.reduceat(mixed(keys ^ seeds[j]), start) >> U64(32)
     return out
 
 
@@ -114,6 +117,27 @@ def least_matches(values: int, threshold: float, tolerance: float) -> list[int]:
     return out
 
 
+def lost_at(threshold: float, least: list[int], step: int = 16) -> float:
+    """The probability that a pair of exactly this similarity is dropped at one of the looks of _pairs_left."""
+    agreed, lost = np.zeros(len(least)), 0.0
+    agreed[0] = 1.0
+    for n in range(1, len(least)):
+        agreed[1:] = agreed[1:] * (1 - threshold) + agreed[:-1] * threshold
+        agreed[0] *= 1 - threshold
+        if n % step == 0 or n == len(least) - 1:
+            lost += agreed[: least[n]].sum()
+            agreed[: least[n]] = 0
+    return lost
+
+
+def pruning_rule(values: int, threshold: float, tolerance: float) -> list[int]:
+    """The fewest agreements by number of values, with which all looks together lose at most ``tolerance``."""
+    share = tolerance
+    while lost_at(threshold, least := least_matches(values, threshold, share)) > tolerance:
+        share /= 2
+    return least
+
+
 def _pairs_left(a: np.ndarray, b: np.ndarray, least: list[int], step: int = 16) -> tuple[np.ndarray, np.ndarray]:
     """The pairs (row of a, row of b) that no look at their values drops."""
     agree = np.zeros((len(a), len(b)), np.uint8)
@@ -279,7 +303,7 @@ def _grouped(docs: DataFrame, doc_id: str, text: str, width: int, threshold: flo
     answers = asked.groupBy("bucket").applyInArrow(blocks.count_keys, blocks.ANSWER)
     homes = write_through(grouped.cogroup(answers.groupBy("block")).applyInArrow(_homes, _HOMES), "homes")
 
-    least = least_matches(values, threshold, tolerance)
+    least = pruning_rule(values, threshold, tolerance)
     tiles = _tiled(homes, chunk, group).join(classes.select("node", "signature"), "node").select("part", "tile", "side", "alone", "node", "signature")
     left = tiles.groupBy("part").applyInArrow(lambda t: _prune(least, t), "tile string, side int, alone boolean, node binary")
     left = write_through(left, "candidates")
@@ -306,7 +330,7 @@ def similar_documents(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "t
     than the six ASCII blanks; a text with fewer words than ``width`` has one shingle, of all its words.
 
     A pair at the threshold misses all bands of four values with probability (1 - threshold**4)**bands, 4e-7 as set,
-    and one that meets is dropped by pruning with about ``tolerance``. ``chunk`` classes a side make a tile, about
+    and one that meets is dropped at one of the looks of pruning with at most ``tolerance``. ``chunk`` classes a side make a tile, about
     ``group`` rows of tiles a task's share; neither changes the result.
 
     A null or empty text, or one of blanks, is alike to none, not even to another one: its class is its own id. Rows

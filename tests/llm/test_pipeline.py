@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from shelfprice.llm.decontaminate import best_match, find_items, normalised, original_places, pieces, without_items
-from shelfprice.llm.jaccard_join import _pairs_left, components, first_of_each, least_matches, similar_documents
+from shelfprice.llm.jaccard_join import _pairs_left, _shingles, _signatures, components, first_of_each, least_matches, lost_at, pruning_rule, ROWS, similar_documents
 from shelfprice.llm.packing import best_fit, pack
 from shelfprice.llm.pii import find_personal_data, redact, report
 from shelfprice.llm.queries import tokenizer
@@ -266,6 +266,21 @@ def test_pruning_keeps_pairs_over_the_threshold():
     assert set(zip(x.tolist(), y.tolist(), strict=True)) == {(i, i) for i in range(300)}
 
 
+@pytest.mark.parametrize(("common", "union", "pairs"), [(4, 5, 20_000), (9, 10, 20_000), (40, 50, 8_000), (45, 50, 8_000), (160, 200, 2_000)])
+def test_bands_and_pruning_keep_similar_texts(common, union, pairs):
+    import pyarrow as pa
+
+    assert lost_at(0.8, least_matches(112, 0.8, 1e-6)) > 1e-6 >= lost_at(0.8, pruning_rule(112, 0.8, 1e-6))
+    least = np.array(pruning_rule(112, 0.8, 1e-6))[16::16]
+    words = [[f"t{i}w{j}" for j in range(union + 4)] for i in range(pairs)]
+    short, long = (_signatures(list(_shingles(pa.array([" ".join(w[:n]) for w in words]), 5)), 112) for n in (common + 4, union + 4))
+    same = short == long
+    assert abs(same.mean() - common / union) < 0.01
+    met = same.reshape(pairs, -1, ROWS).all(2).any(1)
+    left = (np.cumsum(same, 1)[:, 15::16] >= least).all(1)
+    assert (~(met & left)).sum() <= 1  # expected: 0.03 at most
+
+
 def test_components_of_a_chain(spark):
     nodes = [bytes([i]) for i in range(40)]
     edges = spark.createDataFrame([*zip(nodes, nodes[1:], strict=False), (b"\xf0", b"\xf1"), (b"\xf5", b"\xf5")], "node binary, root binary")
