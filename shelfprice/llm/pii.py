@@ -1,10 +1,12 @@
 """Personal data, found by patterns and by what the corpus says about the words around it.
 
-Patterns find emails, addresses of machines, card and phone numbers; each value is a protected entity. A word near an
-entity discloses it if the corpus shows that the word tells nearly as much about the entity as its name does: with
-p over documents, PMI(entity; word) = log p(entity, word) / (p(entity) p(word)) reaches ``alpha`` times the entity's
-information -log p(entity). Such words are spans too. In the text, values are generalised to their kind and disclosing
-words are removed. Everything is a column expression or a join; no Python runs in tasks.
+Patterns find emails, addresses of machines, card and phone numbers; each value is a protected entity. A word of a
+document with an entity discloses it if the corpus shows that the word tells nearly as much about the entity as its
+name does: PMI(entity; word) = log p(entity, word) / (p(entity) p(word)) reaches ``alpha`` times the entity's information
+-log p(entity). All three are shares of the distinct texts, so that copies neither prove nor hide anything; the joint
+count is shrunk by a discount, as few texts prove little. Wherever such a word stands in a document with its entity, it
+is a span too. In the text, values are generalised to their kind and disclosing words are removed. Everything is a
+column expression or a join; no Python runs in tasks.
 """
 
 from __future__ import annotations
@@ -26,6 +28,8 @@ PATTERNS = {
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
 }
 TERM = r"[\p{L}\p{N}_]{3,}"
+#: Of the joint count. One text never discloses (below 10**9 texts), two that hold a word and an entity do from 7,000 on.
+DISCOUNT = 2 / 3
 _SPANS = "array<struct<kind:string,start:int,end:int,value:string>>"
 
 
@@ -58,12 +62,13 @@ def _canonical(kind: str, value: Column) -> Column:
     return F.concat(F.lit(f"{kind}:"), F.lower(value) if kind == "email" else value if kind == "ip" else _digits(value))
 
 
-def _located(text: Column, pattern: str, kind: str, valid, value) -> Column:
+def _located(text: Column, pattern: str | Column, kind: str, valid, value) -> Column:
     """The valid matches of a pattern with their places in code points, end exclusive.
 
     What lies between matches and the matches themselves alternate; their lengths add up to the places.
     """
-    zipped = F.zip_with(F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda g, m: F.struct(g.alias("gap"), m.alias("found")))
+    pattern = F.lit(pattern) if isinstance(pattern, str) else pattern
+    zipped = F.zip_with(F.split(text, pattern, -1), F.regexp_extract_all(text, pattern, F.lit(0)), lambda g, m: F.struct(g.alias("gap"), m.alias("found")))
 
     def step(acc: Column, x: Column) -> Column:
         start = acc["at"] + F.length(x["gap"])
@@ -74,7 +79,7 @@ def _located(text: Column, pattern: str, kind: str, valid, value) -> Column:
 
     none = F.array().cast(_SPANS)
     found = F.aggregate(zipped, F.struct(F.lit(0).alias("at"), none.alias("spans")), step, lambda a: a["spans"])
-    return F.when(text.rlike(pattern), found).otherwise(none)
+    return F.when(F.rlike(text, pattern), found).otherwise(none)
 
 
 def base_spans(text: Column) -> Column:
@@ -82,91 +87,80 @@ def base_spans(text: Column) -> Column:
     return F.concat(*(_located(text, PATTERNS[k], k, partial(_valid, k), partial(_canonical, k)) for k in KINDS))
 
 
-def _neighbours(text: Column, spans: Column, reach: int) -> Column:
-    """(entity, word, start, end, context) for the words within ``reach`` characters of each span.
+def _marked(text: Column, terms: Column, spans: Column) -> Column:
+    """Every occurrence of the terms in a text that neither lies in a span nor touches one.
 
-    A word counts if a blank parts it from the outer edge, or if the text ends there, and if it neither lies in a span nor touches one.
+    The pattern lists the forms in which this text has its terms. They consist of letters and digits only.
     """
+    forms = F.filter(F.array_distinct(F.regexp_extract_all(text, F.lit(TERM), F.lit(0))), lambda w: F.array_contains(terms, F.lower(w)))
+    pattern = F.concat(F.lit(r"(?<![\p{L}\p{N}_])(?:"), F.array_join(forms, "|"), F.lit(r")(?![\p{L}\p{N}_])"))
+    found = _located(text, pattern, "term", lambda v: F.lit(True), lambda v: F.lower(v))
+    outside = F.filter(found, lambda w: ~F.exists(spans, lambda s: (s["start"] <= w["end"]) & (w["start"] <= s["end"])))
+    return F.when(F.size(terms) > 0, F.when(F.size(forms) > 0, outside))
 
-    def near(s: Column) -> Column:
-        low = F.greatest(s["start"] - reach, F.lit(0))
-        before = F.substr(text, low + 1, s["start"] - low)
-        whole = F.when(low == 0, before).otherwise(F.regexp_replace(before, r"^\S*", ""))
-        after = F.substr(text, s["end"] + 1, F.lit(reach))
-        kept = F.when(F.length(after) < reach, after).otherwise(F.regexp_replace(after, r"\S*$", ""))
-        context = F.xxhash64(whole, kept)
 
-        def words(part: Column, first: Column) -> Column:
-            return F.transform(
-                _located(part, TERM, "term", lambda v: F.lit(True), lambda v: F.lower(v)),
-                lambda w: F.struct(s["value"].alias("entity"), w["value"].alias("term"), (w["start"] + first).alias("start"), (w["end"] + first).alias("end"), context.alias("context")),
-            )
+def _disclosing(found: DataFrame, docs: DataFrame, alpha: float) -> DataFrame:
+    """(entity, terms): the words that disclose each entity. ``docs`` has the content and text of all documents.
 
-        return F.concat(words(whole, s["start"] - F.length(whole)), words(kept, s["end"]))
-
-    found = F.flatten(F.transform(spans, near))
-    return F.filter(found, lambda w: ~F.exists(spans, lambda s: (s["start"] <= w["end"]) & (w["start"] <= s["end"])))
-
-
-def _disclosing(found: DataFrame, docs: DataFrame, documents: int, alpha: float, support: int) -> DataFrame:
-    """(entity, term) pairs over the threshold, each seen in at least ``support`` different contexts.
-
-    A word is in at least as many documents as it stands near some entity, so a pair that misses the threshold with
-    that number misses it with the true one. Only the words of the pairs left are counted in the whole corpus.
+    A word discloses if (n_pair - DISCOUNT) / n_term, the share of its texts that have the entity, reaches p(entity) to
+    the power 1 - alpha, which is the rule on PMI. As n_pair is at most n_term and n_entity, that leaves out entities in
+    too few texts, and words in too few or too many, before any pair is made. Words are counted by the set of such
+    entities that their text has, so that a common entity makes no row for each text.
     """
-    words = found.select("doc", F.explode("near").alias("w")).select("doc", "w.entity", "w.term", "w.context")
-    entities = found.select("doc", F.explode("spans").alias("s")).select(F.col("s.value").alias("entity"), "doc").distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
-    pairs = words.select("entity", "term", "context").distinct().groupBy("entity", "term").agg(F.count("*").alias("n_pair")).filter(F.col("n_pair") >= support)
-    beside = words.select("doc", "term").distinct().groupBy("term").agg(F.count("*").alias("n_beside"))
-
-    def discloses(n_term: str) -> Column:
-        information = -F.log2(F.col("n_entity") / F.lit(float(documents)))
-        return F.log2(F.col("n_pair") * F.lit(float(documents)) / (F.col("n_entity") * F.col(n_term))) >= F.lit(alpha) * information
-
-    candidates = write_through(pairs.join(entities, "entity").join(beside, "term").filter(discloses("n_beside")), "pii-candidates")
-    seen = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))).alias("term"))
-    terms = seen.join(candidates.select("term").distinct(), "term", "left_semi").groupBy("term").agg(F.count("*").alias("n_term"))
-    return candidates.join(terms, "term").filter(discloses("n_term")).select("entity", "term")
+    contents = max(1, found.select("content").distinct().count())
+    least = F.pow(F.col("n_entity") / F.lit(float(contents)), 1 - alpha)
+    held = found.select("content", F.explode(F.transform("spans", lambda s: s["value"])).alias("entity")).distinct()
+    entities = held.groupBy("entity").agg(F.count("*").alias("n_entity")).withColumn("least", least)
+    entities = entities.filter((F.col("n_entity") - DISCOUNT) / F.col("n_entity") >= F.col("least"))
+    entities = entities.select("entity", "least", F.floor(F.col("n_entity") / F.col("least")).alias("most_texts"), F.ceil(F.lit(DISCOUNT) / (1 - F.col("least"))).alias("least_texts"))
+    entities = write_through(entities, "pii-entities")
+    holders = held.join(entities, "entity").groupBy("content").agg(F.sort_array(F.collect_set("entity")).alias("entities"))
+
+    texts = docs.dropDuplicates(["content"]).join(holders, "content", "left")
+    words = F.array_distinct(F.transform(F.regexp_extract_all("text", F.lit(TERM), F.lit(0)), lambda w: F.lower(w)))
+    counted = texts.select("entities", F.explode(words).alias("term")).groupBy("term", "entities").agg(F.count("*").alias("n"))
+    counted = write_through(counted, "pii-words")
+
+    bounds = entities.agg(F.min("least_texts").alias("low"), F.max("most_texts").alias("high")).first()
+    terms = counted.groupBy("term").agg(F.sum("n").alias("n_term"), F.max(F.col("entities").isNotNull()).alias("beside"))
+    terms = terms.filter(F.col("beside") & F.col("n_term").between(F.lit(bounds["low"]), F.lit(bounds["high"]))).select("term", "n_term")
+    pairs = counted.filter("entities is not null").join(terms, "term").select("term", "n_term", "n", F.explode("entities").alias("entity"))
+    pairs = pairs.groupBy("entity", "term").agg(F.sum("n").alias("n_pair"), F.first("n_term").alias("n_term")).join(entities, "entity")
+    return pairs.filter((F.col("n_pair") - DISCOUNT) / F.col("n_term") >= F.col("least")).groupBy("entity").agg(F.sort_array(F.collect_list("term")).alias("terms"))
+
+
+def _texts(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    return own.select("doc_id", _doc(F.col("doc_id"), F.col("text")).alias("doc"), F.md5(F.col("text").cast("binary")).alias("content"), "text")
 
 
-def _based(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    return own.select("doc_id", _doc(F.col("doc_id"), F.col("text")).alias("doc"), "text", base_spans(F.col("text")).alias("spans"))
-
-
-def _found(docs: DataFrame, doc_id: str, text: str, reach: int, alpha: float, support: int) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, doc, spans) with the base spans of every document; (doc, terms) with the disclosing words of some."""
-    based = _based(docs, doc_id, text)
-    near = F.when(F.size("spans") > 0, _neighbours(F.col("text"), F.col("spans"), reach))
-    found = write_through(based.select("doc_id", "doc", "spans", near.alias("near")), "pii-base")
-    entities = found.filter(F.size("spans") > 0)
-    pairs = _disclosing(entities, docs.select(F.col(text).alias("text")), max(1, found.count()), alpha, support)
-    words = entities.select("doc", F.explode("near").alias("w")).select("doc", "w.entity", "w.term", "w.start", "w.end")
-    more = (
-        words.join(pairs, ["entity", "term"], "left_semi")
-        .groupBy("doc")
-        .agg(F.sort_array(F.collect_set(F.struct("start", "end", "term"))).alias("terms"))
-        .select("doc", F.transform("terms", lambda w: F.struct(F.lit("term").alias("kind"), w["start"].alias("start"), w["end"].alias("end"), w["term"].alias("value"))).alias("terms"))
-    )
-    return found, more
+def _found(docs: DataFrame, doc_id: str, text: str, alpha: float) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, doc, content, spans, body) of every document, body where there are spans; (doc, terms) of some."""
+    own = _texts(docs, doc_id, text)
+    based = own.select("doc_id", "doc", "content", base_spans(F.col("text")).alias("spans"), "text")
+    found = write_through(based.select("doc_id", "doc", "content", "spans", F.when(F.size("spans") > 0, F.col("text")).alias("body")), "pii-base")
+    disclosing = _disclosing(found, own.select("content", "text"), alpha)
+    held = found.select("doc", F.explode(F.array_distinct(F.transform("spans", lambda s: s["value"]))).alias("entity"))
+    return found, held.join(disclosing, "entity").groupBy("doc").agg(F.array_distinct(F.flatten(F.collect_set("terms"))).alias("terms"))
 
 
 def _all(terms: Column, spans: Column) -> Column:
     return F.concat(spans, F.coalesce(terms, F.array().cast(_SPANS)))
 
 
-def find_personal_data(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", reach: int = 40, alpha: float = 0.95, support: int = 3) -> DataFrame:
+def find_personal_data(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", alpha: float = 0.95) -> DataFrame:
     """Per document: (doc_id, doc, spans); ``spans`` holds kind, start, end (code points, end exclusive) and value.
 
-    Kinds are email, ip, card and phone, which are protected entities, and term: a word within ``reach`` characters
-    of an entity that discloses it. Words count in lower case, from three letters or digits on; a pair must occur in
-    ``support`` different contexts, so that copies of a document prove nothing. ``doc`` is a digest of id and text.
+    Kinds are email, ip, card and phone, which are protected entities, and term: a word that discloses an entity of its
+    document, wherever it stands there outside the values. Words count in lower case, from three letters or digits on,
+    once in each distinct text. ``doc`` is a digest of id and text.
 
     A null text is empty. Rows with a null or repeated id are documents of their own. Further columns are ignored. An
     empty table gives none.
     """
-    found, more = _found(docs, doc_id, text, reach, alpha, support)
-    return found.join(more, "doc", "left").select("doc_id", "doc", _all(F.col("terms"), F.col("spans")).alias("spans"))
+    found, more = _found(docs, doc_id, text, alpha)
+    terms = _marked(F.col("body"), F.col("terms"), F.col("spans"))
+    return found.join(more, "doc", "left").select("doc_id", "doc", _all(terms, F.col("spans")).alias("spans"))
 
 
 def listed(spans: Column) -> Column:
@@ -200,16 +194,17 @@ def redacted(text: Column, spans: Column) -> Column:
     return F.when(F.size(spans) > 0, done).otherwise(text)
 
 
-def redact(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", reach: int = 40, alpha: float = 0.95, support: int = 3) -> DataFrame:
+def redact(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", alpha: float = 0.95) -> DataFrame:
     """The documents, all columns as they are but for the text; see find_personal_data. A null text stays null.
 
     Only documents with an entity are joined with the disclosing words; all others are passed on in place.
     """
-    _, more = _found(docs, doc_id, text, reach, alpha, support)
+    _, more = _found(docs, doc_id, text, alpha)
     touched = F.size(base_spans(F.coalesce(F.col(text), F.lit("")))) > 0
     row = F.col("row")
     body = F.coalesce(row[text], F.lit(""))
     whole = docs.filter(touched).select(F.struct("*").alias("row")).withColumn("doc", _doc(row[doc_id].cast("long"), body))
-    clean = redacted(body, _all(F.col("terms"), base_spans(body)))
+    clean = redacted(body, _all(F.col("marked"), F.col("base")))
     fields = [clean.alias(c) if c == text else row[c].alias(c) for c in docs.columns]
-    return whole.join(more, "doc", "left").select(*fields).unionByName(docs.filter(~touched))
+    based = whole.join(more, "doc", "left").withColumn("base", base_spans(body))
+    return based.withColumn("marked", _marked(body, F.col("terms"), F.col("base"))).select(*fields).unionByName(docs.filter(~touched))

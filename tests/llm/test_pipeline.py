@@ -74,6 +74,32 @@ def test_words_that_disclose_an_entity(spark):
     assert clean[101] == dict(data)[101]
 
 
+def terms_of(frame):
+    return {r.doc_id: [(s.value, s.start) for s in r.spans if s.kind == "term"] for r in find_personal_data(frame).collect()}
+
+
+def test_copies_and_shared_lines_hide_no_word(spark):
+    body = [f"widgetmaster w@acme.org part{i}" for i in range(4)]
+    data = [(100 * i + k, t) for i, t in enumerate(body) for k in range(50)]
+    data += [(1000 + i, f"signed by gatekeeper at all@corp.org number{i}") for i in range(100)]
+    data += [(2000 + i, f"plain text number{i} about other things") for i in range(300)]
+    data += [(3000 + k, "a copied singleton beside x@y.org") for k in range(50)]
+    got = terms_of(spark.createDataFrame(data, "doc_id long, text string"))
+    assert all(("widgetmaster", 0) in got[i] for i in (0, 149, 349)) and all(("gatekeeper", 10) in got[1000 + i] for i in range(100))
+    assert not got[3000] and not got[2000]  # copies of one text prove nothing
+
+
+def test_words_far_from_the_entity_are_found_everywhere(spark):
+    gap = " and so it went on for a long while"
+    data = [(i, f"Widgetmaster İx{gap * 4} note{i} w@acme.org {gap * 3} by WIDGETMASTER, not xwidgetmaster{i}") for i in range(8)]
+    data += [(100 + i, f"plain{gap} item{i}") for i in range(100)]
+    frame = spark.createDataFrame(data, "doc_id long, text string")
+    got, text = terms_of(frame), dict(data)
+    assert [(w, text[3][a : a + 12]) for w, a in got[3] if w == "widgetmaster"] == [("widgetmaster", "Widgetmaster"), ("widgetmaster", "WIDGETMASTER")]
+    clean = dict(texts(redact(frame)))
+    assert "widgetmaster " not in clean[3].lower() and "WIDGETMASTER" not in clean[3] and "xwidgetmaster3" in clean[3] and "while" in clean[3]
+
+
 def test_redacted_documents(docs, odd, empty):
     for frame in (docs, odd):
         got = redact(frame)
