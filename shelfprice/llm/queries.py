@@ -16,6 +16,7 @@ from shelfprice.llm.quality_model import score_quality
 from shelfprice.llm.quality_rules import judge
 from shelfprice.llm.substring_dedup import remove_repeated_passages
 from shelfprice.llm.suffix_dedup import remove_repeated_bytes
+from shelfprice.llm.token_counts import count_tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -25,10 +26,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def tokenizer() -> str:
+def tokenizer(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 def query(name: str, sql: str | None = None):
@@ -120,3 +121,8 @@ def jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_lm_score")
 def lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(table(spark, sf_dir, "documents"))
+
+
+@query("op11_token_counts")
+def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
