@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from shelfprice.llm.decontaminate import find_items
 from shelfprice.llm.jaccard_join import similar_documents
 from shelfprice.llm.language import identify_languages
+from shelfprice.llm.lexical_search import search
 from shelfprice.llm.lm_score import score_documents
 from shelfprice.llm.packing import pack
 from shelfprice.llm.pii import report
@@ -71,6 +72,21 @@ _GROUPS = f"""WITH RECURSIVE w AS ({_WORDS}),
     FROM sets s LEFT JOIN classes c ON c.shingles = s.shingles AND len(s.shingles) > 0
     LEFT JOIN found f ON f.rep = c.rep LEFT JOIN degree d ON d.rep = c.rep"""
 
+_TERMS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+
+_SEARCH = f"""WITH d AS (SELECT doc_id, {_TERMS} AS terms FROM documents),
+    own AS (SELECT doc_id, terms, len(terms) AS n FROM d WHERE len(terms) > 0),
+    corpus AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM own),
+    items AS (SELECT item_id, term, count(*) AS times FROM (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark) GROUP BY ALL),
+    asked AS (SELECT DISTINCT term FROM items),
+    held AS (SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, n, unnest(terms) AS term FROM own) SEMI JOIN asked USING (term) GROUP BY ALL),
+    weights AS (SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM held, corpus GROUP BY term, n_docs),
+    scored AS (SELECT item_id, doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+        FROM held JOIN weights USING (term) JOIN items USING (term), corpus GROUP BY item_id, doc_id)
+    SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+    FROM scored WHERE score > 0 QUALIFY rank <= 20"""
+
 
 @query("op1_pii")
 def pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -126,3 +142,8 @@ def lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op11_token_counts")
 def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
+
+
+@query("op12_lexical_search", _SEARCH)
+def lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
