@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from shelfprice.llm.conversations import damage, report_on_all
 from shelfprice.llm.decontaminate import find_items
 from shelfprice.llm.jaccard_join import similar_documents
 from shelfprice.llm.language import identify_languages
@@ -147,3 +148,9 @@ def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op12_lexical_search", _SEARCH)
 def lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op13_conversation_repair")
+def conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    return report_on_all(turns, damage(turns))
