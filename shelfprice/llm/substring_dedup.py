@@ -18,7 +18,6 @@ from pyspark.sql import DataFrame
 from shelfprice.llm import blocks
 from shelfprice.llm.packed import U64, WORD_BASE, Hashes, Words, utf8
 
-_LOW = U64((1 << 48) - 1)
 _EDGES = "bucket int, block int, keys binary, words binary, ids binary, counts binary"
 _SOURCES = "block int, bucket int, entries binary, source_blocks binary, source_words binary"
 _PATH = ["block", "word", "n", "digest"]
@@ -44,21 +43,19 @@ class _Edges:
         rank = np.empty(order.size, np.int64)
         rank[order] = np.arange(order.size)
         self.inverse = rank[self.inverse]  # of every window, the place of its edge
-        self.parts = blocks.parts(blocks.bucket_of(self.keys, buckets), buckets)
+        self.parts = dict(blocks.parts(blocks.bucket_of(self.keys, buckets)))
 
 
 def _ask(k: int, buckets: int, key, table: pa.Table) -> pa.Table:
     e = _Edges(table, k, buckets)
     out = []
-    for bucket, at in enumerate(e.parts):
-        if at.start == at.stop:
-            continue
+    for bucket, at in e.parts.items():
         owner = e.words.doc[e.word[at]]
         change = np.flatnonzero(np.diff(owner, prepend=-1))
         out.append({
             "bucket": bucket,
             "block": key[0].as_py(),
-            "keys": (e.keys[at] & _LOW).view(np.uint8).reshape(-1, 8)[:, :6].tobytes(),
+            "keys": e.keys[at].tobytes(),
             "words": blocks.steps(e.word[at]),
             "ids": blocks.squeezed(e.ids[owner[change]]),
             "counts": blocks.squeezed(np.diff(change, append=owner.size).astype(np.int32)),
@@ -71,10 +68,8 @@ def _first(table: pa.Table) -> pa.Table:
     """For each edge of a bucket that starts in a document with a smaller id: the coordinates of the first one."""
     keys, word, doc, block, entry = [], [], [], [], []
     for r in table.to_pylist():
-        raw = np.frombuffer(r["keys"], np.uint8).reshape(-1, 6)
-        wide = np.zeros((len(raw), 8), np.uint8)
-        wide[:, :6] = raw
-        keys.append(wide.view(U64)[:, 0])
+        raw = np.frombuffer(r["keys"], U64)
+        keys.append(raw)
         word.append(blocks.unstepped(r["words"]).astype(np.int32))
         doc.append(np.repeat(blocks.expanded(r["ids"], np.int64), blocks.expanded(r["counts"], np.int32)))
         block.append(np.full(len(raw), r["block"], np.int32))
@@ -197,8 +192,8 @@ def remove_repeated_passages(docs: DataFrame, *, doc_id: str = "doc_id", text: s
     A null text has no words; a null id counts as larger than every other id; rows that repeat an id count as one
     document's, so none of them removes words of the other. Further columns are ignored. An empty table gives none.
     """
-    texts, total = blocks.blocked(docs, doc_id, text, block_bytes)
-    buckets = max(1, -(-total // (6 * bucket_edges)))
+    texts, total, size = blocks.blocked(docs, doc_id, text, block_bytes)
+    buckets = blocks.bucket_count(total, 6 * bucket_edges, size, block_bytes)
     grouped = texts.groupBy("block")
     edges = grouped.applyInArrow(lambda key, t: _ask(k, buckets, key, t), _EDGES)
     sources = edges.groupBy("bucket").applyInArrow(_first, _SOURCES)

@@ -152,8 +152,8 @@ def remove_repeated_bytes(docs: DataFrame, *, doc_id: str = "doc_id", text: str
     A null text is empty; rows with a null or repeated id are documents like all others, each with its own row.
     Further columns are ignored. An empty table gives none.
     """
-    texts, total = blocks.blocked(docs, doc_id, text, block_bytes)
-    buckets = max(1, -(-total // bucket_bytes))
+    texts, total, size = blocks.blocked(docs, doc_id, text, block_bytes)
+    buckets = blocks.bucket_count(total, bucket_bytes, size, block_bytes)
     grouped = texts.groupBy("block")
     samples = grouped.applyInArrow(lambda key, t: _ask_samples(width, gram, buckets, key, t), blocks.ASK)
     ranks = samples.groupBy("bucket").applyInArrow(blocks.count_keys, blocks.ANSWER)

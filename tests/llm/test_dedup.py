@@ -4,9 +4,12 @@ import hashlib
 import re
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute
 import pytest
 from corpus_cases import docs, empty, odd, rows, texts  # noqa: F401
 
+from shelfprice.llm import blocks
 from shelfprice.llm.packed import BASE, BYTE_VALUE, Hashes, Words, utf8
 from shelfprice.llm.substring_dedup import remove_repeated_passages
 from shelfprice.llm.suffix_dedup import remove_repeated_bytes
@@ -89,3 +92,29 @@ def test_hashes_do_not_depend_on_the_place():
     assert words.first.tolist() == [0, 3, 3, 3, 5]
     assert h[0] == h[2] == h[4] and h[1] == h[3] and h[0] != h[1]
     assert Hashes(BYTE_VALUE[data], BASE).windows(3)[0] == h[0]
+
+
+def test_counts_are_wide_and_cells_without_keys_are_not_sent():
+    keys = np.array([3, 1 << 40, 1 << 63], np.uint64)
+    sent = [blocks.ask(b, keys, np.array([2**33, 0, 5]), 16, b"state") for b in (0, 1)]
+    assert [r["bucket"] for r in sent[0].to_pylist()] == [0, 8]
+    low = pa.concat_tables([t.filter(pa.compute.equal(t["bucket"], 0)) for t in sent])
+    answers = blocks.count_keys(low).to_pylist()
+    assert [blocks.expanded(r["totals"], np.int64).tolist() for r in answers] == [[2**34, 0]] * 2
+    assert sum(r["n"] for r in answers) == 2**34 and sum(r["distinct_keys"] for r in answers) == 1
+    assert blocks.count_keys(blocks.ask(7, keys[:0], keys[:0], 16, b"s")).to_pylist()[0]["state"] == b"s"
+
+
+def test_blocks_and_buckets_grow_with_the_corpus():
+    """Cells that a block sends to a bucket, per byte of text, from a tenth of a gigabyte to 50 terabytes."""
+    for total in (10**8, 5 * 10**8, 3 * 10**10, 10**12, 5 * 10**13):
+        size = blocks.block_size(total, 4 << 20)
+        cells = total / size * blocks.bucket_count(total, 32 << 20, size, 4 << 20)
+        assert cells / total <= 1 / 400
+
+
+def test_null_ids_and_copies_are_spread_over_blocks(spark):
+    made = spark.range(20_000, numPartitions=8).selectExpr("cast(null as long) as doc_id", "if(id % 2 = 0, 'the same text', concat('text ', lpad(id, 6, '0'))) as text")
+    dealt, _, _ = blocks.blocked(made, "doc_id", "text", 1 << 14)
+    counts = [r["count"] for r in dealt.groupBy("block").count().collect()]
+    assert len(counts) > 12 and max(counts) < 4_000
