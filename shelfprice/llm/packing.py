@@ -55,7 +55,7 @@ class _Bulk:
         with open(path, encoding="utf-8") as f:
             model = json.load(f)
         vocab, suffix, byte = model["model"]["vocab"], model["model"]["end_of_word_suffix"], _byte_of()
-        special = {t["content"] for t in model["added_tokens"]}
+        special = self.added = sorted({t["content"] for t in model["added_tokens"]})
         ranks = {}
         self.ends = np.zeros(max(vocab.values()) + 2, bool)
         for token, i in vocab.items():
@@ -79,12 +79,13 @@ class _Encoder:
 
     The tokenizer joins nothing across an ASCII blank and looks at lower case only, so texts are encoded word by word
     and the ids of up to ``most`` different words are remembered. Words of other than Latin characters are left to
-    the tokenizer itself.
+    the tokenizer itself, and so are whole texts that hold one of its added tokens, which it looks for as they stand.
     """
 
     def __init__(self, path: str, most: int):
-        self.tokenizer, self.bulk, self.most, self.known = Tokenizer.from_file(path), _Bulk(path), most, {}
-        self.tokenizer.encode_special_tokens = True
+        self.plain, self.tokenizer, self.bulk, self.most, self.known = Tokenizer.from_file(path), Tokenizer.from_file(path), _Bulk(path), most, {}
+        self.tokenizer.encode_special_tokens = True  # a lower-case word is never an added token
+        self.added = re.compile("|".join(map(re.escape, self.bulk.added)) or "(?!)")
 
     def _learn(self, words: set[bytes]) -> None:
         plain, other = [], []
@@ -100,13 +101,15 @@ class _Encoder:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
     def __call__(self, texts: Iterable[str | None]) -> list[bytes]:
-        split = [(t or "").encode().lower().split() for t in texts]
+        texts = list(texts)
+        whole = {i: np.array(self.plain.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for i, t in enumerate(texts) if t and self.added.search(t)}
+        split = [[] if i in whole else (t or "").encode().lower().split() for i, t in enumerate(texts)]
         missing = set().union(*split).difference(self.known)
         if len(self.known) + len(missing) > self.most:
             self.known, missing = {}, set().union(*split)
         self._learn(missing)
         ids = self.known.__getitem__
-        return [b"".join(map(ids, words)) for words in split]
+        return [whole[i] if i in whole else b"".join(map(ids, words)) for i, words in enumerate(split)]
 
 
 def _pieces(path: str, end_id: int, window: int, known_words: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
