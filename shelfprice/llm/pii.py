@@ -16,6 +16,7 @@ from functools import partial
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfprice.llm.blocks import document_digest
 from shelfprice.sources.staging import write_through
 
 KINDS = ["email", "ip", "card", "phone"]
@@ -33,10 +34,6 @@ DISCOUNT = 2 / 3
 _SPANS = "array<struct<kind:string,start:int,end:int,value:string>>"
 
 
-def _doc(doc_id: Column, text: Column) -> Column:
-    return F.md5(F.concat_ws(":", doc_id, text).cast("binary"))
-
-
 def _digits(c: Column) -> Column:
     return F.regexp_replace(c, "[^0-9]", "")
 
@@ -131,7 +128,7 @@ def _disclosing(found: DataFrame, docs: DataFrame, alpha: float) -> DataFrame:
 
 def _texts(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    return own.select("doc_id", _doc(F.col("doc_id"), F.col("text")).alias("doc"), F.md5(F.col("text").cast("binary")).alias("content"), "text")
+    return own.select("doc_id", document_digest(F.col("doc_id"), F.col("text")).alias("doc"), F.md5(F.col("text").cast("binary")).alias("content"), "text")
 
 
 def _found(docs: DataFrame, doc_id: str, text: str, alpha: float) -> tuple[DataFrame, DataFrame]:
@@ -203,7 +200,7 @@ def redact(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", alpha
     touched = F.size(base_spans(F.coalesce(F.col(text), F.lit("")))) > 0
     row = F.col("row")
     body = F.coalesce(row[text], F.lit(""))
-    whole = docs.filter(touched).select(F.struct("*").alias("row")).withColumn("doc", _doc(row[doc_id].cast("long"), body))
+    whole = docs.filter(touched).select(F.struct("*").alias("row")).withColumn("doc", document_digest(row[doc_id].cast("long"), body))
     clean = redacted(body, _all(F.col("marked"), F.col("base")))
     fields = [clean.alias(c) if c == text else row[c].alias(c) for c in docs.columns]
     based = whole.join(more, "doc", "left").withColumn("base", base_spans(body))
