@@ -1,9 +1,10 @@
 """Join of documents whose shingle sets are alike, with Bayesian pruning of candidates.
 
 1. Documents with the same set of word shingles form a class, which is compared once.
-2. Classes that agree in a band of MinHash values are candidates. A class's home is the largest band bucket it is in;
-   classes meet in jobs, one for each pair of homes that share a bucket. A job is dealt out in tiles of bounded size,
-   so that neither a bucket with a third of all classes nor its pairs reach one task or become rows.
+2. Classes that agree in a band of MinHash values are candidates. A class's home is the largest band bucket it is in,
+   and a home of which a fair share lies in another home is folded into that one, so that a group of near copies has
+   one or two homes. Classes meet in jobs, one for each pair of homes that share a bucket. A job is dealt out in tiles
+   of bounded size, so that neither a bucket with a third of all classes nor its pairs reach one task or become rows.
 3. In a tile, MinHash values are compared a few at a time. With a uniform prior, the similarity of a pair that agrees
    in m of n values is at least t with probability P(Binomial(n + 1, t) <= m); a pair below a share of the tolerance
    is dropped. The share is such that all looks together lose at most the tolerance.
@@ -28,7 +29,11 @@ from shelfprice.sources.staging import write_through
 
 ROWS = 4
 _SKETCH = "doc_id long, doc string, node binary, n int, signature binary"
-_HOMES = "node binary, band long, home long"
+_HOMES = "node binary, n int, band long, size long, home long"
+#: Of a home's classes, in one other home, for it to be folded into that one.
+FOLDED = 0.25
+#: Classes asked for at a time, and bytes of shingles in one side of a tile.
+BLOCK, TILE_BYTES = 2048, 16 << 20
 
 
 def _shingles(texts: pa.Array | pa.ChunkedArray, width: int) -> Iterator[np.ndarray]:
@@ -97,12 +102,30 @@ def _homes(table: pa.Table, answers: pa.Table) -> pa.Table:
     best = np.lexsort((keys, -total.astype(np.int64)), axis=1)[:, 0]  # the largest bucket, then the smallest key
     home = keys[np.arange(len(nodes)), best]
     at, band = np.nonzero(total > 1)
+    n = dict(zip(table["node"].to_pylist(), table["n"].to_pylist(), strict=True))
     return pa.Table.from_arrays(
-        [pa.array([nodes[i] for i in at.tolist()], pa.binary()), pa.array(keys[at, band].view(np.int64)), pa.array(home[at].view(np.int64))],
-        schema=pa.schema([("node", pa.binary()), ("band", pa.int64()), ("home", pa.int64())]),
+        [pa.array([nodes[i] for i in at.tolist()], pa.binary()), pa.array([n[nodes[i]] for i in at.tolist()], pa.int32()), pa.array(keys[at, band].view(np.int64)), pa.array(total[at, band].astype(np.int64)), pa.array(home[at].view(np.int64))],
+        schema=pa.schema([("node", pa.binary()), ("n", pa.int32()), ("band", pa.int64()), ("size", pa.int64()), ("home", pa.int64())]),
     )
 
 
+def _folded(homes: DataFrame) -> DataFrame:
+    """(node, n, band, home), with every home in place of which most classes that moved away went to one other.
+
+    Each class is in as many buckets as there are bands, so the homes folded into one have at most bands / FOLDED times
+    its classes. Two classes that share a bucket still do so under any names of their homes.
+    """
+    shares = homes.groupBy("band", "home").agg(F.count("*").alias("n"), F.first("size").alias("size"))
+    shares = write_through(shares, "shares")
+    own = shares.select(F.col("home").alias("of")).distinct()
+    moved = shares.filter("band != home").join(own, F.col("band") == F.col("of"), "left_semi").filter(F.col("n") >= FOLDED * F.col("size"))
+    into = write_through(moved.groupBy("band").agg(F.max(F.struct("n", "home"))["home"].alias("into")), "folded")
+    once = into.select(F.col("band").alias("home"), F.col("into").alias("first"))
+    twice = into.select(F.col("band").alias("first"), F.col("into").alias("second"))
+    target = once.join(twice, "first", "left").select("home", F.coalesce("second", "first").alias("target"))
+    return homes.join(target, "home", "left").select("node", "n", "band", F.coalesce("target", "home").alias("home"))
+
+
 def least_matches(values: int, threshold: float, tolerance: float) -> list[int]:
     """For each number n of values compared: the fewest agreements at which a pair may still reach the threshold."""
     out = []
@@ -177,8 +200,8 @@ def _prune(least: list[int], table: pa.Table) -> pa.Table:
         if own:
             x, y = x[x < y], y[x < y]
         if x.size:
-            found.append(tile.take(np.unique(np.append(p[x], q[y]))).select(["tile", "side", "alone", "node"]))
-    empty = table.slice(0, 0).select(["tile", "side", "alone", "node"])
+            found.append(tile.take(np.unique(np.append(p[x], q[y]))).select(["tile", "side", "alone", "node", "n"]))
+    empty = table.slice(0, 0).select(["tile", "side", "alone", "node", "n"])
     return pa.concat_tables([empty, *found])
 
 
@@ -267,47 +290,45 @@ def _tiled(homes: DataFrame, chunk: int, group: int) -> DataFrame:
     """(part, tile, side, alone, node): every class in each tile of each of its jobs."""
     met = homes.select("band", F.col("home").alias("other")).distinct()
     job = F.struct(F.least("home", "other").alias("low"), F.greatest("home", "other").alias("high"))
-    members = homes.join(met, "band").select("node", job.alias("job"), (F.col("home") > F.col("other")).cast("int").alias("side")).distinct()
+    members = homes.join(met, "band").select("node", "n", job.alias("job"), (F.col("home") > F.col("other")).cast("int").alias("side")).distinct()
     members = write_through(members, "members")
-    sizes = members.groupBy("job").agg(F.sum(1 - F.col("side")).alias("n0"), F.sum("side").alias("n1"))
+    weight = [F.sum(F.when(F.col("side") == i, F.col("n").cast("long") * 8).otherwise(0)).alias(f"w{i}") for i in (0, 1)]
+    sizes = members.groupBy("job").agg(F.sum(1 - F.col("side")).alias("n0"), F.sum("side").alias("n1"), *weight)
     alone = F.col("job.low") == F.col("job.high")
     sizes = sizes.filter(F.when(alone, F.col("n0") > 1).otherwise((F.col("n0") > 0) & (F.col("n1") > 0)))
-    parts = {n: F.ceil(F.col(n) / chunk).cast("int") for n in ("n0", "n1")}
+    parts = {f"n{i}": F.greatest(F.ceil(F.col(f"n{i}") / chunk), F.ceil(F.col(f"w{i}") / TILE_BYTES)).cast("int") for i in (0, 1)}
     own = F.pmod(F.xxhash64("node"), F.when(F.col("side") == 0, parts["n0"]).otherwise(parts["n1"])).cast("int")
     facing = F.when(alone, parts["n0"]).otherwise(F.when(F.col("side") == 0, parts["n1"]).otherwise(parts["n0"]))
-    rows = members.join(sizes, "job").select("node", "job", "side", alone.alias("alone"), own.alias("own"), F.explode(F.sequence(F.lit(0), facing - 1)).alias("facing"))
+    rows = members.join(sizes, "job").select("node", "n", "job", "side", alone.alias("alone"), own.alias("own"), F.explode(F.sequence(F.lit(0), facing - 1)).alias("facing"))
     low, high = F.least("own", "facing"), F.greatest("own", "facing")
     same = F.col("alone") & (F.col("own") == F.col("facing"))
     place = F.when(F.col("alone") | (F.col("side") == 0), F.concat_ws(":", F.when(F.col("alone"), low).otherwise(F.col("own")), F.when(F.col("alone"), high).otherwise(F.col("facing")))).otherwise(F.concat_ws(":", "facing", "own"))
     side = F.when(F.col("alone"), (F.col("own") > F.col("facing")).cast("int")).otherwise(F.col("side"))
     tile = F.concat_ws(":", F.col("job.low"), F.col("job.high"), place)
-    rows = write_through(rows.select(tile.alias("tile"), side.alias("side"), same.alias("alone"), "node"), "tiles")
+    rows = write_through(rows.select(tile.alias("tile"), side.alias("side"), same.alias("alone"), "node", "n"), "tiles")
     groups = 1 + rows.count() // group
     return rows.withColumn("part", F.pmod(F.xxhash64("tile"), F.lit(groups)).cast("int"))
 
 
-def _doc(doc_id: Column, text: Column) -> Column:
-    return F.md5(F.concat_ws(":", doc_id.cast("long"), text).cast("binary"))
-
-
 def _grouped(docs: DataFrame, doc_id: str, text: str, width: int, threshold: float, bands: int, tolerance: float, chunk: int, group: int) -> DataFrame:
     """(doc_id, doc, label, n_copies, n_links); the label of a text without words is null."""
     values = bands * ROWS
-    own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), _doc(F.col(doc_id), F.col(text)).alias("doc"), F.col(text).alias("text"))
+    own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), blocks.document_digest(F.col(doc_id).cast("long"), F.col(text)).alias("doc"), F.col(text).alias("text"))
     sketches = write_through(own.mapInArrow(lambda b: _sketch(width, values, b), _SKETCH), "sketches")
-    classes = write_through(sketches.filter("n > 0").groupBy("node").agg(F.min("doc").alias("doc"), F.count("*").alias("n_copies"), F.first("signature").alias("signature")), "classes")
+    classes = write_through(sketches.filter("n > 0").groupBy("node").agg(F.min("doc").alias("doc"), F.count("*").alias("n_copies"), F.first("signature").alias("signature"), F.first("n").alias("n")), "classes")
     n = classes.count()
-    buckets = n_blocks = 1 + n // 8192
-    grouped = classes.select(F.pmod(F.xxhash64("node"), F.lit(n_blocks)).cast("int").alias("block"), "node", "signature").groupBy("block")
+    buckets, n_blocks = 1 + n // (4 * BLOCK), 1 + n // BLOCK
+    grouped = classes.select(F.pmod(F.xxhash64("node"), F.lit(n_blocks)).cast("int").alias("block"), "node", "signature", "n").groupBy("block")
     asked = grouped.applyInArrow(lambda key, t: _ask_bands(buckets, key, t), blocks.ASK)
     answers = asked.groupBy("bucket").applyInArrow(blocks.count_keys, blocks.ANSWER)
-    homes = write_through(grouped.cogroup(answers.groupBy("block")).applyInArrow(_homes, _HOMES), "homes")
+    homes = _folded(write_through(grouped.cogroup(answers.groupBy("block")).applyInArrow(_homes, _HOMES), "homes"))
 
     least = pruning_rule(values, threshold, tolerance)
-    tiles = _tiled(homes, chunk, group).join(classes.select("node", "signature"), "node").select("part", "tile", "side", "alone", "node", "signature")
-    left = tiles.groupBy("part").applyInArrow(lambda t: _prune(least, t), "tile string, side int, alone boolean, node binary")
+    tiles = _tiled(homes, chunk, group).join(classes.select("node", "signature"), "node").select("part", "tile", "side", "alone", "node", "n", "signature")
+    left = tiles.groupBy("part").applyInArrow(lambda t: _prune(least, t), "tile string, side int, alone boolean, node binary, n int")
     left = write_through(left, "candidates")
-    groups = 1 + left.count() // max(1, group // 8)
+    rows, shingles = left.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    groups = 1 + max(rows // max(1, group // 8), 8 * shingles // TILE_BYTES)
     place = F.struct(F.pmod(F.xxhash64("tile"), F.lit(groups)).cast("int").alias("part"), "tile", "side", "alone")
     wanted = left.groupBy("node").agg(F.collect_list(place).alias("tiles")).join(classes.select("node", "doc"), "node")
     texts = own.select("doc", "text").join(wanted, "doc").select("text", "node", "tiles").dropDuplicates(["node"])
@@ -358,5 +379,5 @@ def first_of_each(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text"
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "doc")
     name = F.coalesce(F.hex("label"), F.concat(F.lit("alone:"), F.col("doc")))
     keep = found.groupBy(name.alias("name")).agg(F.min(order).alias("first")).select(F.col("first.doc").alias("doc"))
-    whole = docs.select(F.struct("*").alias("row"), _doc(F.col(doc_id), F.col(text)).alias("doc"))
+    whole = docs.select(F.struct("*").alias("row"), blocks.document_digest(F.col(doc_id).cast("long"), F.col(text)).alias("doc"))
     return whole.join(keep, "doc").dropDuplicates(["doc"]).select("row.*")

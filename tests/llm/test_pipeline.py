@@ -178,8 +178,8 @@ def test_packed_sequences(docs, odd, empty):
     from tokenizers import Tokenizer
 
     encode = Tokenizer.from_file(tokenizer())
-    encode.encode_special_tokens = True
-    both = docs.select("doc_id", "text").unionByName(odd.select("doc_id", "text"))
+    special = [(910_001, "hello <|endoftext|> world<|startoftext|>x"), (910_002, "<|ENDOFTEXT|> <|endoftext|"), (910_003, "<|endoftext|>" * 5_000)]
+    both = docs.select("doc_id", "text").unionByName(odd.select("doc_id", "text")).unionByName(docs.sparkSession.createDataFrame(special, "doc_id long, text string"))
     ids = defaultdict(list)
     for i, t in texts(both):
         ids[i].append([*encode.encode(t or "", add_special_tokens=False).ids, 2])
@@ -334,3 +334,30 @@ def test_stages_of_the_pipeline(spark, docs):
     final = corpus_pipeline.run(spark, SF)
     assert {r.doc_id for r in final.collect()} == {i for i, _ in texts(kept)}
     assert final.groupBy("doc_id").agg(F.sum("length").alias("n"), F.max("doc_tokens").alias("m")).filter("n != m").count() == 0
+
+
+def test_one_of_each_tells_nulls_from_texts(spark):
+    data = [(5, "abc def"), (None, "5:abc def"), (5, None), (None, "5"), (None, None), (None, "n"), (5, "n"), (None, "n:tn")]
+    kept = first_of_each(spark.createDataFrame(data, "doc_id long, text string"))
+    assert sorted(texts(kept), key=str) == sorted(data[:-3] + [(5, "n"), data[-1]], key=str)
+
+
+@pytest.mark.parametrize("n", [60, 300])
+def test_groups_of_near_copies_have_few_homes(spark, n):
+    """Near copies share many buckets; what is joined grows with them, not with their square."""
+    from shelfprice.llm import jaccard_join
+
+    words = [f"v{i * 31 % 997}" for i in range(240)]
+    data = [(i, " ".join(w if j != i % 240 else f"x{i}" for j, w in enumerate(words))) for i in range(n)]
+    data += [(10_000 + i, " ".join(f"y{i}z{j}" for j in range(50))) for i in range(40)]
+    frame = spark.createDataFrame(data, "doc_id long, text string")
+    seen = []
+    whole = jaccard_join._folded
+    try:
+        jaccard_join._folded = lambda homes: seen.append(whole(homes)) or seen[-1]
+        got = rows(similar_documents(frame, chunk=16).select("doc_id", "class_id", "n_links"))
+    finally:
+        jaccard_join._folded = whole
+    assert seen[0].select("home").distinct().count() <= 3
+    assert {r for r in got if r[0] < 10_000} == {(i, 0, n - 1) for i in range(n)}
+    assert {r for r in got if r[0] >= 10_000} == {(10_000 + i, 10_000 + i, 0) for i in range(40)}
