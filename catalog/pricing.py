@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from catalog.layers import warehouse
 from catalog.spec import query
 from shelfprice.operators.dedup import latest_per_group
-from shelfprice.operators.series import forward_fill, integer_series
+from shelfprice.operators.series import forward_fill, integer_series, price_points
 from shelfprice.plans import measures, pricing
 from shelfprice.plans.demand import (
+    PREDICTION,
     constant_elasticity,
     implied_elasticity,
     load_model,
@@ -21,13 +22,13 @@ from shelfprice.plans.demand import (
     naive_elasticity,
     TrainResult,
 )
-from shelfprice.plans.features import TARGET, build_features, latest_rows, prepare, time_split, training_frame
+from shelfprice.plans.features import TARGET, build_features, latest_rows, prepare, price_features, time_split, training_frame
 from shelfprice.sources import read_table, shared_dir, write_json, write_table
 
 # demand model of the SQL-checked queries
 ELASTICITY = -4.0
 _N = 50
-# of the fitted model; the library's default is 500
+# of the fitted model in the queries that apply one; the report fits the library's default of 500
 TREES = 20
 
 
@@ -305,11 +306,11 @@ def top_opportunities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return measures.top_opportunities(_products(spark, sf_dir), 10)
 
 
-def _fitted(spark: SparkSession, sf_dir: str) -> tuple[str, TrainResult]:
+def _fitted(spark: SparkSession, sf_dir: str, trees: int = TREES) -> tuple[str, TrainResult]:
     """A folder with the mart and a model, and the result of the training job."""
     root = f"{shared_dir(spark)}/shelfprice/model-{uuid.uuid4().hex}"
-    write_table(warehouse(spark, sf_dir).pricing_mart, f"{root}/mart")
-    return root, pricing.train_and_save(spark, f"{root}/mart", f"{root}/model", max_iter=TREES)
+    pricing.write_mart(warehouse(spark, sf_dir).pricing_mart, f"{root}/mart")
+    return root, pricing.train_and_save(spark, f"{root}/mart", f"{root}/model", max_iter=trees)
 
 
 @query(
@@ -336,6 +337,57 @@ def boosted_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _latest_of(spark: SparkSession, root: str) -> DataFrame:
+    return latest_rows(build_features(prepare(read_table(spark, f"{root}/mart"))))
+
+
+@query(
+    "product_id store_key n_points:i never_rises",
+    f"SELECT product_id, store_key, {_N} AS n_points, true AS never_rises FROM latest",
+)
+def monotone_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw predictions of a fitted model on 50 prices of every series, in order: none lies above the one before."""
+    root, _ = _fitted(spark, sf_dir)
+    predict = model_predictor(load_model(spark, f"{root}/model"))
+    rows = pricing.price_band(_latest_of(spark, root))
+    grid = price_points(rows, F.col("price_low"), F.col("price_high"), _N, "candidate_price")
+    scored = predict(grid.withColumns(price_features(F.col("candidate_price"))))
+    cheaper = Window.partitionBy("product_id", "store_key").orderBy("candidate_price")
+    before = F.lag(PREDICTION).over(cheaper)
+    return (
+        scored.withColumn("_falls", before.isNull() | (F.col(PREDICTION) <= before))
+        .groupBy("product_id", "store_key")
+        .agg(F.count(PREDICTION).alias("n_points"), F.every("_falls").alias("never_rises"))
+    )
+
+
+@query(
+    "product_id store_key priced falls",
+    "SELECT product_id, store_key, avg_unit_retail > 0 AS priced, CASE WHEN avg_unit_retail > 0 THEN true END AS falls FROM latest",
+)
+def fitted_elasticity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sign of the slope of a fitted model's predictions on a price grid around each series' price."""
+    root, _ = _fitted(spark, sf_dir)
+    rows = _latest_of(spark, root)
+    slopes = implied_elasticity(rows, model_predictor(load_model(spark, f"{root}/model")))
+    priced = F.coalesce(F.col("avg_unit_retail") > 0, F.lit(False))
+    found = rows.select("product_id", "store_key", priced.alias("priced")).join(slopes, ["product_id", "store_key"])
+    return found.withColumn("falls", F.when(F.col("priced"), F.col("implied_elasticity") <= 1e-9))
+
+
+@query(
+    "product_id target_sales_week:d current_price:4 current_weekly_quantity:i current_weekly_margin:i n_limits:i",
+    f"""WITH {_BEST}, rolled AS ({_rollup('product_id, target_sales_week')})
+        SELECT product_id, target_sales_week, current_price, current_weekly_quantity, current_weekly_margin, 0 AS n_limits FROM rolled""",
+)
+def batch_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The batch job with a saved model over a mart laid out by week; ``n_limits`` counts results that cannot be."""
+    root, _ = _fitted(spark, sf_dir)
+    out = pricing.score_all(spark, f"{root}/mart", f"{root}/model", f"{root}/scores", n_candidates=5)
+    wrong = (F.col("predicted_weekly_quantity") < 0) | (F.col("recommended_price") < 0)
+    return out.withColumn("n_limits", wrong.cast("int"))
+
+
 @query(
     "naive_elasticity:6 learns generalises",
     """WITH c AS (SELECT max(sales_week) - 28 AS cutoff FROM training)

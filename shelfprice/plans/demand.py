@@ -5,21 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
-from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfprice.operators.series import price_points
-from shelfprice.plans.features import CATEGORIES, FEATURES, FLAGS, SERIES, TARGET, time_split, training_frame
-from shelfprice.sources.staging import shared_dir, write_through
+from shelfprice.plans.boosting import BoostedTrees, fit
+from shelfprice.plans.features import CATEGORIES, FEATURES, RISING_WITH_PRICE, SERIES, TARGET, time_split, training_frame
+from shelfprice.sources.staging import write_through
 
 PREDICTION = "predicted_log_quantity"
 Predictor = Callable[[DataFrame], DataFrame]
 
-_NUMERIC = [c for c in FEATURES if c not in CATEGORIES and c not in FLAGS]
-
 
 def naive_elasticity(df: DataFrame) -> DataFrame:
     """Least-squares slope of log quantity on log price, as a one-row frame."""
@@ -46,81 +42,30 @@ def mean_absolute_error(df: DataFrame) -> DataFrame:
     return df.agg(F.avg(F.abs(F.col(TARGET) - F.col(PREDICTION))).alias("mae"), F.count(F.lit(1)).alias("n_rows"))
 
 
-def most_levels(rows: DataFrame) -> int:
-    """The largest number of different values in a category or flag column, NULL being one of them."""
-    counts = [F.count_distinct(F.coalesce(F.col(c).cast("string"), F.lit(""))) for c in [*CATEGORIES, *FLAGS]]
-    return rows.agg(F.greatest(*counts)).first()[0]
-
-
-def demand_estimator(
-    levels_at_most: int, max_iter: int = 500, step_size: float = 0.05, max_depth: int = 6, seed: int = 42
-) -> Pipeline:
-    """Boosted trees on all features.
-
-    A category is split by its levels, so there are as many bins as the widest
-    category has levels (``most_levels`` of the training rows, and one for
-    levels unseen there), and 64 at least for the numbers.
-
-    Missing numbers become 0 plus a flag column, so a tree can split on the
-    absence itself. Category levels are learnt with the model and travel with
-    it; a level unseen in training gets its own code.
-    """
-    numbers = ", ".join(f"CAST(coalesce({c}, 0) AS DOUBLE) AS _{c}, CAST({c} IS NULL AS DOUBLE) AS _{c}_missing" for c in _NUMERIC)
-    texts = ", ".join(f"coalesce(CAST({c} AS STRING), '') AS _{c}_text" for c in [*CATEGORIES, *FLAGS])
-    levels = [*CATEGORIES, *FLAGS]
-    inputs = [f"_{c}_level" for c in levels] + [n for c in _NUMERIC for n in (f"_{c}", f"_{c}_missing")]
-    return Pipeline(
-        stages=[
-            SQLTransformer(statement=f"SELECT *, {numbers}, {texts} FROM __THIS__"),
-            StringIndexer(
-                inputCols=[f"_{c}_text" for c in levels],
-                outputCols=[f"_{c}_level" for c in levels],
-                handleInvalid="keep",
-            ),
-            VectorAssembler(inputCols=inputs, outputCol="_features"),
-            GBTRegressor(
-                featuresCol="_features",
-                labelCol=TARGET,
-                predictionCol=PREDICTION,
-                maxIter=max_iter,
-                stepSize=step_size,
-                maxDepth=max_depth,
-                maxBins=max(64, levels_at_most + 1),
-                seed=seed,
-            ),
-        ]
-    )
-
-
-def model_predictor(model: PipelineModel) -> Predictor:
+def model_predictor(model: BoostedTrees) -> Predictor:
     """Scores with a fitted model; only the prediction is added."""
-
-    def predict(df: DataFrame) -> DataFrame:
-        return model.transform(df).select(*df.columns, PREDICTION)
-
-    return predict
+    return lambda df: model.transform(df, PREDICTION)
 
 
 @dataclass
 class TrainResult:
-    model: PipelineModel
+    model: BoostedTrees
     train_mae: float
     test_mae: float
     naive_elasticity: float
 
 
-def train(features: DataFrame, test_days: int = 28, **estimator) -> TrainResult:
+def train(features: DataFrame, test_days: int = 28, **options) -> TrainResult:
     """Fit on all but the last ``test_days`` days and measure both sides.
 
-    The training frame is written through once: boosting reads it many times,
-    and a lost executor must not send every iteration back to the raw tables.
+    The demand model is boosted trees (see ``boosting.fit`` for the options)
+    whose prediction never rises with the price, nor with the features that
+    rise with it. The training frame is written through once: fitting reads it
+    several times, and a lost executor must not send it back to the raw tables.
     """
-    context = features.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(features.sparkSession))
     rows = write_through(training_frame(features).select("sales_week", TARGET, *FEATURES), "training")
     train_rows, test_rows, _ = time_split(rows, test_days)
-    model = demand_estimator(most_levels(train_rows), **estimator).fit(train_rows)
+    model = fit(train_rows, FEATURES, TARGET, CATEGORIES, RISING_WITH_PRICE, **options)
     predict = model_predictor(model)
     return TrainResult(
         model=model,
@@ -130,13 +75,13 @@ def train(features: DataFrame, test_days: int = 28, **estimator) -> TrainResult:
     )
 
 
-def save_model(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
+def save_model(model: BoostedTrees, path: str) -> None:
+    model.save(path)
 
 
-def load_model(spark: SparkSession, path: str) -> PipelineModel:
+def load_model(spark: SparkSession, path: str) -> BoostedTrees:
     """A saved model. A missing one is an error: scoring never trains on its own."""
-    return PipelineModel.read().session(spark).load(path)
+    return BoostedTrees.load(spark, path)
 
 
 def implied_elasticity(

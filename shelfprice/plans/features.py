@@ -16,7 +16,11 @@ FEATURES = [
     "price_rolling_avg_4_weeks", "month", "quarter", "week_of_year",
 ]
 CATEGORIES = ["category", "sub_category", "store_region"]
-FLAGS = ["is_higher_than_competitor", "is_undercut"]
+# what price_features makes of a price, all of which rise with it
+RISING_WITH_PRICE = [
+    "log_unit_retail", "competitor_price_ratio", "price_difference", "competitor_price_gap_pct", "current_profit_margin_pct",
+    "is_higher_than_competitor", "is_undercut",
+]
 TARGET = "log_quantity"
 RAW_PRICES = [
     "avg_unit_retail", "avg_unit_cost", "avg_competitor_price", "min_competitor_price", "max_competitor_price",

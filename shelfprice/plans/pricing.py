@@ -17,7 +17,7 @@ from shelfprice.plans.demand import (
     save_model,
     train,
 )
-from shelfprice.plans.features import SERIES, build_features, latest_rows, prepare, price_features
+from shelfprice.plans.features import FEATURE_WEEKS, SERIES, build_features, latest_rows, prepare, price_features
 from shelfprice.sources.files import read_table, write_table
 
 # Defaults of the optimizer.
@@ -158,10 +158,28 @@ def train_and_save(spark: SparkSession, mart_path: str, model_path: str, **estim
     return result
 
 
+def write_mart(mart: DataFrame, path: str) -> None:
+    """The dense mart with a folder for each week, so that a reader of the last weeks opens those alone."""
+    mart.repartition("sales_week", F.pmod(F.xxhash64(*SERIES), F.lit(8))).write.mode("overwrite").partitionBy("sales_week").parquet(path)
+
+
+def recent_weeks(mart: DataFrame) -> DataFrame:
+    """The weeks of a dense mart that the features of its last week look at.
+
+    The last week is read first and used as a literal, which prunes the folders of a mart laid out by week.
+    """
+    last = mart.agg(F.max(F.col("sales_week").cast("date"))).first()[0]
+    return mart if last is None else mart.filter(F.col("sales_week") >= F.date_sub(F.lit(last), 7 * (FEATURE_WEEKS - 1)))
+
+
 def score_all(spark: SparkSession, mart_path: str, model_path: str, output_path: str, **limits) -> DataFrame:
-    """Batch scoring job: recommendations per product and target week, written as Parquet."""
+    """Batch scoring job: recommendations per product and target week, written as Parquet.
+
+    A mart has every series in every week, so only the last weeks are read.
+    """
     predict = model_predictor(load_model(spark, model_path))
-    result = roll_up(score(read_table(spark, mart_path), predict, **limits), "product_id", "target_sales_week")
+    mart = recent_weeks(read_table(spark, mart_path))
+    result = roll_up(score(mart, predict, **limits), "product_id", "target_sales_week")
     write_table(result, output_path)
     return read_table(spark, output_path)
 
@@ -171,4 +189,4 @@ def predict_products(
 ) -> DataFrame:
     """On-demand scoring of some products, rolled up per product."""
     predict = model_predictor(load_model(spark, model_path))
-    return roll_up(score(read_table(spark, mart_path), predict, product_ids, **limits), "product_id")
+    return roll_up(score(recent_weeks(read_table(spark, mart_path)), predict, product_ids, **limits), "product_id")

@@ -52,8 +52,13 @@ def release(spark: SparkSession, since: int = 0) -> None:
     needed: a layer is as large as what it holds, and nothing else removes it.
     """
     while len(_written) > since:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        delete(spark, _written.pop())
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever file system it is."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 @contextmanager
