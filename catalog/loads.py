@@ -13,6 +13,7 @@ from catalog.oracle import from_the_start, newest_first, versions
 from catalog.spec import query
 from shelfprice.operators.dedup import keep_latest
 from shelfprice.operators.history import apply_snapshot, as_of_join, build_history, overlapping_versions
+from shelfprice.operators.partitioned import Table, load, merge
 from shelfprice.operators.publish import ingest, published
 from shelfprice.operators.upsert import (
     above_watermark,
@@ -137,6 +138,40 @@ def upsert_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return upsert_metrics(upsert(*_company_batches(spark, sf_dir), silver.COMPANY_KEYS))
 
 
+def _by_year(spark: SparkSession, rows: DataFrame) -> Table:
+    """A table of the raw transactions with a folder for each year (the first four characters of a date)."""
+    path = f"{shared_dir(spark)}/shelfprice/by-year-{uuid.uuid4().hex}"
+    return Table(spark, path, rows.schema, F.regexp_extract("Date", "^[0-9]{4}", 0))
+
+
+@query(" ".join(silver.COMPANY_COLUMNS), f"{_MERGED} SELECT {_PICKED} FROM merged")
+def merge_by_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The upsert into a table laid out by year, which rewrites the years that the batch touches."""
+    target, source = _company_batches(spark, sf_dir)
+    table = _by_year(spark, target)
+    table.write(target)
+    merge(table, source, silver.COMPANY_KEYS)
+    return table.read()
+
+
+@query(
+    "step:i action n_inserted:i n_updated:i n_rows:i",
+    f"""{_MERGED} SELECT 1 AS step, 'created' AS action, count(*) AS n_inserted, 0 AS n_updated, count(*) AS n_rows FROM t
+        UNION ALL SELECT 2, 'unchanged', 0, 0, count(*) FROM t
+        UNION ALL SELECT 3, 'merged', count(*) FILTER (op = 'insert'), count(*) FILTER (op = 'update'), count(*) FROM merged""",
+)
+def repeated_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same load three times: it creates the table, finds nothing new in the same batch, and merges the next one."""
+    target, source = _company_batches(spark, sf_dir)
+    table = _by_year(spark, target)
+    steps = []
+    for i, batch in enumerate((target, target, source), 1):
+        done = load(table, batch, silver.COMPANY_KEYS)
+        counts = table.read().agg(F.count(F.lit(1)).alias("n_rows")).first()
+        steps.append((i, done.action, done.inserted, done.updated, counts.n_rows))
+    return spark.createDataFrame(steps, "step int, action string, n_inserted long, n_updated long, n_rows long")
+
+
 _SALE = "transaction_id transaction_date:d store_id:i product_id quantity:i unit_retail:2"
 _CUT = "DATE '2000-01-01'"
 

@@ -43,7 +43,7 @@ def not_in(df: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame
     return lookup_join(df, existing.select(*keys).distinct(), keys, "left_anti")
 
 
-def all_new(df: DataFrame, existing: DataFrame, keys: Sequence[str]) -> bool:
+def any_new(df: DataFrame, existing: DataFrame, keys: Sequence[str]) -> bool:
     """Whether the batch holds any row whose key is not loaded yet."""
     return not not_in(df, existing, keys).isEmpty()
 

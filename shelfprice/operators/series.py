@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from shelfprice.functions import date_key, month_key
 
@@ -80,11 +81,14 @@ def fill_weeks(
     last_week: Column,
     week: str = "sales_week",
     shown_from: Column | None = None,
+    by_week: DataFrame | None = None,
 ) -> DataFrame:
     """One row per member and week from ``first_week`` to ``last_week``.
 
     With ``shown_from``, only weeks from that one on are produced; they carry
-    what was known before it as well.
+    what was known before it as well. ``by_week`` (see ``week_arrays``) adds
+    further columns by the week: its arrays are joined to the ranges, and each
+    week takes its own entry, so nothing is joined to the dense rows.
 
     ``carried`` columns come from the last week in which the first of them was
     known (NULL before that); ``counted`` columns are 0 in weeks without
@@ -113,8 +117,13 @@ def fill_weeks(
         .withColumn("_to", F.coalesce(F.date_sub("_next", 7), last_week))
         .withColumn("_from", F.greatest("_from", first_week if shown_from is None else shown_from))
         .filter(F.col("_from") <= F.col("_to"))
-        .withColumn(week, F.explode(F.sequence("_from", "_to", F.expr(WEEK))))
     )
+    added = [] if by_week is None else [c for c in by_week.columns if isinstance(by_week.schema[c].dataType, ArrayType)]
+    if by_week is not None:
+        covered = covered.join(by_week, [c for c in by_week.columns if c not in added], "left")
+    start = first_week if shown_from is None else shown_from
+    covered = covered.withColumn(week, F.explode(F.sequence("_from", "_to", F.expr(WEEK))))
+    entry = (F.date_diff(F.col(week), start) / 7).cast("int")
     known = F.col(week) >= F.col("_observed")
     exact = F.col(week).eqNullSafe(F.col("_observed"))
     return covered.select(
@@ -122,9 +131,20 @@ def fill_weeks(
         week,
         *[F.when(known, F.col(c)).alias(c) for c in carried],
         *[F.coalesce(F.when(exact, F.col(c)), F.lit(0)).alias(c) for c in counted],
+        *[F.get(F.col(c), entry).alias(c) for c in added],
     )
 
 
+def week_arrays(filled: DataFrame, keys: Sequence[str], columns: Sequence[str], week: str = "sales_week") -> DataFrame:
+    """One row per key of ``fill_weeks`` rows: each column as an array with an entry for every week, in order.
+
+    The length of an array is that of the calendar.
+    """
+    rows = F.array_sort(F.collect_list(F.struct(week, *columns)))
+    gathered = filled.groupBy(*keys).agg(rows.alias("_rows"))
+    return gathered.select(*keys, *[F.col("_rows")[c].alias(c) for c in columns])
+
+
 def forward_fill(df: DataFrame, keys: Sequence[str], order_by: str, flag: Column, columns: Sequence[str]) -> DataFrame:
     """Carry ``columns`` from the last row where ``flag`` held.
 

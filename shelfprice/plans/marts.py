@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfprice.functions import UNMATCHED, UNMATCHED_INT, price_fallback, week_start
 from shelfprice.operators.joins import every_pair, lookup_join
-from shelfprice.operators.series import fill_weeks
+from shelfprice.operators.series import fill_weeks, week_arrays
 from shelfprice.plans.dims import PRODUCT_ATTRIBUTES, STORE_ATTRIBUTES, active_products, active_stores
 from shelfprice.sources.staging import write_through
 
@@ -61,10 +61,10 @@ def _weekly_mart(
     low, high = F.lit(low).cast("date"), F.lit(high).cast("date")
     shown = low if last_weeks is None else F.greatest(low, F.date_sub(high, 7 * (last_weeks - 1)))
 
-    own = fill_weeks(members, sales, keys, _SALES, _COUNTS, low, high, shown_from=shown)
-    # competitor prices have no store: they are carried once per product and looked up by every store
+    # competitor prices have no store: they are carried once per product, whose weeks go to the ranges of every store
     market = fill_weeks(products.select("product_key"), competitor, ["product_key"], _COMPETITOR, [], low, high, shown_from=shown)
-    filled = lookup_join(own, write_through(market, "weekly-market"), ["product_key", "sales_week"])
+    market = write_through(week_arrays(market, ["product_key"], _COMPETITOR), "weekly-market")
+    filled = fill_weeks(members, sales, keys, _SALES, _COUNTS, low, high, shown_from=shown, by_week=market)
 
     retail = F.col("avg_unit_retail")
     return filled.select(

@@ -55,6 +55,11 @@ def release(spark: SparkSession, since: int = 0) -> None:
         delete(spark, _written.pop())
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
 def delete(spark: SparkSession, path: str) -> None:
     """Delete a folder on whatever file system it is."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from shelfprice.operators import anomalies, checks
 from shelfprice.operators.dedup import duplicates, keep_latest, latest_per_group
 from shelfprice.operators.history import apply_snapshot, as_of_join, build_history, overlapping_versions
-from shelfprice.operators.joins import all_new, every_pair, lookup_join, not_in
+from shelfprice.operators.joins import any_new, every_pair, lookup_join, not_in
 from shelfprice.operators.publish import AuditError, StagedTable, audit, ingest, publish, published, stage
 from shelfprice.operators.series import date_dimension, fill_weeks, forward_fill, month_dimension, price_points
 from shelfprice.operators.upsert import (
@@ -76,8 +76,8 @@ def test_lookup_join_splits_what_a_hot_key_makes_too_large(spark, rows):
 def test_anti_joins(rows):
     batch, loaded = rows([(1,), (2,), (None,)], "k int"), rows([(1,), (1,)], "k int")
     assert values(not_in(batch, loaded, ["k"])) == [(None,), (2,)]
-    assert all_new(batch, loaded, ["k"])
-    assert not all_new(loaded, loaded, ["k"])
+    assert any_new(batch, loaded, ["k"])
+    assert not any_new(loaded, loaded, ["k"])
 
 
 def test_every_pair(rows):

@@ -247,6 +247,26 @@ def test_boosted_model_round_trip(spark, rows, tmp_path):
     save_model(result.model, model_path)
 
 
+def test_marts_join_nothing_to_dense_rows(spark, rows):
+    w = Warehouse(company(rows, {}, {"Transaction_ID": "Tx-2", "Date": "2024-05-01"}), rows([], "Scraped_At string, Competitor_Name string, Product_ID string, Product_Name string, Competitor_Price string"), as_of="2025-01-01")
+    for mart in (w.pricing_mart, w.product_week_mart):
+        plan = mart._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        explode = next(i for i, line in enumerate(plan) if "Generate" in line)
+        assert not any("Join" in line or "Window" in line or "Aggregate" in line for line in plan[:explode])
+        assert any("Join" in line for line in plan[explode:])
+
+
+def test_batch_scoring_reads_the_last_weeks_only(spark, rows, tmp_path):
+    frame = series(rows, weeks=20)
+    pricing.write_mart(prepare(frame), str(tmp_path / "mart"))
+    recent = pricing.recent_weeks(read_table(spark, str(tmp_path / "mart")))
+    folders = {f.split("sales_week=")[1].split("/")[0] for f in recent._jdf.queryExecution().optimizedPlan().toString().split() if "sales_week=" in f}
+    assert not folders or len(folders) <= 5
+    assert recent.select("sales_week").distinct().count() == 5
+    filters = recent._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: [")[1].split("]")[0]
+    assert "sales_week" in filters
+
+
 def test_csv_and_json(spark, rows, tmp_path):
     (tmp_path / "raw.csv").write_text("a,b\n1,x\n02,\n")
     df = read_raw_csv(spark, str(tmp_path / "raw.csv"), ["a", "b"])
