@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -185,6 +187,84 @@ def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_TABLE = {
+    "unit_cost known": ("error", ["cost"], "unit_cost IS NULL"),
+    "quantity known": ("warn", ["sales"], "quantity IS NULL"),
+    "quantity positive": ("error", ["sales"], "record_type = 'Sales' AND quantity <= 0"),
+    "cost below price": ("warn", ["cost", "sales"], "unit_cost >= unit_retail"),
+    "city accepted": ("warn", ["store"], f"store_city NOT IN {tuple(_CITIES)}"),
+    "region known": ("warn", ["store"], "store_region IS NULL"),
+    "date in range": ("warn", ["sales"], "transaction_date < DATE '1993-01-01'"),
+    "id has its shape": ("warn", ["keys"], "NOT (transaction_id LIKE 'Tx-%')"),
+    "expense not negative": ("error", ["cost"], "expense_amount < 0"),
+    "transaction once": ("warn", ["keys"], ("transaction_id",)),
+    "transaction and store once": ("warn", ["keys"], ("transaction_id", "store_id")),
+    "product and day once": ("warn", ["sales"], ("product_id", "transaction_date", "store_id")),
+}
+
+
+def _table_sql(tags: set[str]) -> str:
+    def rows(rule) -> str:
+        if isinstance(rule, str):
+            return f"SELECT 1 FROM silver_company WHERE {rule}"
+        return f"SELECT 1 FROM silver_company GROUP BY {', '.join(rule)} HAVING count(*) > 1"
+
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS check_name, '{severity}' AS severity, count(*) AS failures, "
+        f"CASE WHEN count(*) = 0 THEN 'pass' ELSE '{'warn' if severity == 'warn' else 'fail'}' END AS status FROM ({rows(rule)})"
+        for name, (severity, own, rule) in _TABLE.items()
+        if tags & set(own)
+    )
+
+
+def table_checks(df: DataFrame) -> list[checks.Check]:
+    made = []
+    for name, (severity, tags, rule) in _TABLE.items():
+        options = {"severity": severity, "tags": tags}
+        made.append(checks.Check.of_rows(name, df, F.expr(rule), **options) if isinstance(rule, str) else checks.Check.of_keys(name, df, *rule, **options))
+    return made
+
+
+@query("check_name severity failures:i status", _table_sql({"cost", "sales", "store", "keys"}))
+def table_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Twelve checks of one table in one scan."""
+    return checks.run_checks(table_checks(warehouse(spark, sf_dir).company))
+
+
+@query("check_name severity failures:i status", _table_sql({"cost", "keys"}))
+def tagged_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The checks with one of two tags."""
+    return checks.run_checks(table_checks(warehouse(spark, sf_dir).company), tags=["cost", "keys"])
+
+
+_TYPE = "CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'VARCHAR' THEN 'string' WHEN 'DOUBLE' THEN 'double' ELSE lower(column_type) END"
+
+
+@query(
+    "change column saved_type current_type",
+    f"""WITH c AS (SELECT column_name AS name, {_TYPE} AS kind FROM (DESCRIBE part))
+        SELECT 'added' AS change, 'p_margin' AS "column", CAST(NULL AS VARCHAR) AS saved_type, 'double' AS current_type
+        UNION ALL SELECT 'removed', name, kind, NULL FROM c WHERE name = 'p_brand'
+        UNION ALL SELECT 'type_changed', name, kind, 'string' FROM c WHERE name = 'p_size'""",
+)
+def schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table's schema against that of a later load with a column more, one less and one of another type."""
+    parts = table(spark, sf_dir, "part")
+    later = parts.drop("p_brand").withColumns({"p_size": F.col("p_size").cast("string"), "p_margin": F.col("p_retailprice") * 0.1})
+    return checks.schema_report(spark, parts.schema, later.schema)
+
+
+@query(
+    "column expected actual",
+    f"""WITH c AS (SELECT column_name AS "column", {_TYPE} AS actual FROM (DESCRIBE part))
+        SELECT "column", 'string' AS expected, actual FROM c WHERE actual <> 'string'""",
+)
+def column_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every column that is not a text."""
+    parts = table(spark, sf_dir, "part")
+    return reduce(DataFrame.unionByName, [checks.column_is_of_type(parts, c, "string") for c in parts.columns])
+
+
 def _monitor(metrics: str, period: str, trailing: int) -> str:
     """The trailing comparison as a calendar range join, over (bucket, metric, value)."""
     return f"""WITH {metrics},

@@ -11,7 +11,7 @@ from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -157,24 +157,71 @@ def schema_changes(saved: T.StructType, current: T.StructType) -> list[tuple[str
     return changes
 
 
+def schema_report(spark: SparkSession, saved: T.StructType, current: T.StructType) -> DataFrame:
+    """``schema_changes`` as a frame."""
+    return spark.createDataFrame(schema_changes(saved, current), "change string, column string, saved_type string, current_type string")
+
+
 @dataclass
 class Check:
-    """A named check over one table: ``violations`` maps the (filtered) table to violating rows."""
+    """A named check over one table: ``violations`` maps the (filtered) table to violating rows.
+
+    A check made by ``of_rows`` or ``of_keys`` says what it looks at instead,
+    and is counted together with all others of its table.
+    """
 
     name: str
     table: DataFrame
-    violations: Callable[[DataFrame], DataFrame]
+    violations: Callable[[DataFrame], DataFrame] | None = None
     severity: str = "error"
     tags: Sequence[str] = field(default_factory=tuple)
     where: str | None = None
+    broken: Column | None = None
+    key: Sequence[str] = ()
+    count_null: bool = True
+
+    @staticmethod
+    def of_rows(name: str, table: DataFrame, broken: Column, **options) -> Check:
+        """Counts the rows for which ``broken`` holds; NULL does not."""
+        return Check(name, table, broken=broken, **options)
+
+    @staticmethod
+    def of_keys(name: str, table: DataFrame, *key: str, **options) -> Check:
+        """Counts the keys that occur more than once. Without ``count_null``, a key with a NULL is not one."""
+        return Check(name, table, key=key, **options)
+
+
+def _fused(table: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """Failures of all row and key checks of one table, from one scan and one shuffle.
+
+    A row sends one entry for all row checks, which are summed before the
+    shuffle, and one for its key in each key check.
+    """
+    by_row, by_key = [c for c in checks if c.broken is not None], [c for c in checks if c.key]
+    chosen = lambda c: F.expr(c.where) if c.where else F.lit(True)
+    flags = [F.coalesce((chosen(c) & c.broken), F.lit(False)).cast("bigint").alias(f"_f{i}") for i, c in enumerate(by_row)]
+    entries = [F.struct(F.lit(-1).alias("_rule"), F.lit(None).cast("string").alias("_key"), *flags)]
+    for i, c in enumerate(by_key):
+        value = F.to_json(F.struct(*c.key), {"ignoreNullFields": "false"})
+        counted = chosen(c) if c.count_null else chosen(c) & reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in c.key])
+        zeros = [F.lit(0).cast("bigint").alias(f"_f{j}") for j in range(len(by_row))]
+        entries.append(F.when(counted, F.struct(F.lit(i).alias("_rule"), value.alias("_key"), *zeros)))
+    sent = table.select(F.explode(F.array_compact(F.array(*entries))).alias("_e")).select("_e.*")
+    sums = [F.sum(f"_f{j}").alias(f"_f{j}") for j in range(len(by_row))]
+    grouped = sent.groupBy("_rule", "_key").agg(F.count(F.lit(1)).alias("_n"), *sums)
+    several = [F.count_if((F.col("_rule") == i) & (F.col("_n") > 1)).alias(f"_k{i}") for i in range(len(by_key))]
+    counts = grouped.agg(*[F.coalesce(F.sum(f"_f{j}"), F.lit(0)).alias(f"_f{j}") for j in range(len(by_row))], *several)
+    named = [(c, f"_f{i}") for i, c in enumerate(by_row)] + [(c, f"_k{i}") for i, c in enumerate(by_key)]
+    rows = [F.struct(F.lit(c.name).alias("check_name"), F.lit(c.severity).alias("severity"), F.col(n).cast("bigint").alias("failures")) for c, n in named]
+    return counts.select(F.inline(F.array(*rows)))
 
 
 def run_checks(checks: Iterable[Check], tags: Sequence[str] | None = None) -> DataFrame:
     """One row per check: its severity, number of violating rows and status.
 
-    A check that groups its violations says how many rows a group has in
-    ``n_rows``; these are summed. The counts are one plan, so Spark runs the
-    checks in one job.
+    Row and key checks of a table share one scan of it. A check that groups its
+    violations says how many rows a group has in ``n_rows``; these are summed.
+    The counts are one plan, so Spark runs the checks in one job.
     """
     chosen = [c for c in checks if tags is None or set(tags) & set(c.tags)]
     if not chosen:
@@ -190,6 +237,11 @@ def run_checks(checks: Iterable[Check], tags: Sequence[str] | None = None) -> Da
             rows.cast("bigint").alias("failures"),
         )
 
-    results = reduce(DataFrame.unionByName, [counted(c) for c in chosen])
+    together: dict[int, list[Check]] = {}
+    for c in chosen:
+        if c.violations is None:
+            together.setdefault(id(c.table), []).append(c)
+    fused = [_fused(group[0].table, group) for group in together.values()]
+    results = reduce(DataFrame.unionByName, [*fused, *[counted(c) for c in chosen if c.violations is not None]])
     failed = F.when(F.col("severity") == "warn", "warn").otherwise("fail")
     return results.withColumn("status", F.when(F.col("failures") == 0, "pass").otherwise(failed))

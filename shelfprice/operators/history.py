@@ -104,6 +104,42 @@ def apply_snapshot(
     return kept.unionByName(_versioned(opened, key, attrs, F.lit(None)))
 
 
+def splice_history(history: DataFrame, late: DataFrame, key: str, attrs: Sequence[str], ts: str) -> DataFrame:
+    """``build_history`` of the log and the ``late`` observations, from the history of the log alone.
+
+    ``history`` has a version for every day a key was seen (``timestamp``).
+    Only versions around late dates change: the one that holds a late date is
+    closed there and the late one opened up to where it ended; one that starts
+    on that date takes the larger tuple of the two; a date before all versions
+    opens the first one. All other versions pass through. The order in which
+    observations arrive makes no difference, and repeating them none either.
+    Observations without a key or date are left out.
+    """
+    daily = late.filter(F.col(ts).isNotNull() & F.col(key).isNotNull()).groupBy(key, F.col(ts).alias("_day")).agg(F.max(F.struct(*attrs)).alias("_late"))
+    span = daily.agg(F.min("_day"), F.max("_day")).first()
+    held = as_of_join(daily, history, key, "_day", ["dbt_valid_from", "dbt_valid_to"], tuple(span) if span[0] else None)
+    same = F.col("_day") == F.col("dbt_valid_from")
+    before = F.col("dbt_valid_from").isNull() | (F.col("_day") < F.col("dbt_valid_from"))
+    # of the dates in one interval (or before the first version), each one's version ends at the next date or with the interval
+    ends = F.when(before, F.col("dbt_valid_from")).otherwise(F.col("dbt_valid_to"))
+    inside = held.filter(~F.coalesce(same, F.lit(False))).select(key, "_day", "_late", before.alias("_before"), "dbt_valid_from", ends.alias("_end"))
+    interval = Window.partitionBy(key, "_before", "dbt_valid_from").orderBy("_day")
+    opened = inside.withColumn("_next", F.coalesce(F.lead("_day").over(interval), "_end"))
+    opened = opened.select(key, *[F.col("_late")[a].alias(a) for a in attrs], F.col("_day").alias("updated_at"), "_next")
+
+    at = [F.col(key).alias("_key"), F.col("dbt_valid_from").alias("_start")]
+    touched = inside.filter(~F.col("_before")).select(*at, F.col("_day").alias("_closed"), F.lit(None).cast(daily.schema["_late"].dataType).alias("_late"))
+    touched = touched.unionByName(held.filter(same).select(*at, F.lit(None).cast("date").alias("_closed"), "_late"))
+    touched = touched.groupBy("_key", "_start").agg(F.min("_closed").alias("_closed"), F.max("_late").alias("_late"))
+    kept = history.join(touched, F.col(key).eqNullSafe(F.col("_key")) & (F.col("dbt_valid_from") == F.col("_start")), "left")
+    newest = F.greatest(F.struct(*attrs), F.col("_late"))
+    kept = kept.select(
+        *[F.when(F.col("_late").isNull(), F.col(c)).otherwise(newest[c]).alias(c) if c in attrs else F.col(c) for c in history.columns if c != "dbt_valid_to"],
+        F.coalesce("_closed", "dbt_valid_to").alias("dbt_valid_to"),
+    )
+    return kept.unionByName(_versioned(opened, key, attrs, F.col("_next")))
+
+
 def with_first_version(versions: DataFrame, key: str, valid_from: str = "dbt_valid_from") -> DataFrame:
     """Adds ``first_valid_from``: start of the key's first version."""
     return versions.withColumn("first_valid_from", F.min(valid_from).over(Window.partitionBy(key)))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,7 +15,7 @@ from shelfprice.sources.staging import delete, exists, write_through
 
 #: The folder column. Its values begin with a letter, so that no reader takes them for numbers or dates.
 PART = "_part"
-CREATED, UNCHANGED, MERGED = "created", "unchanged", "merged"
+CREATED, UNCHANGED, MERGED, APPENDED = "created", "unchanged", "merged", "appended"
 
 
 class Table:
@@ -140,7 +140,31 @@ def load(table: Table, batch: DataFrame, keys: Sequence[str]) -> Load:
     return _merge(table, source, keys, touched)
 
 
+def append(table: Table, batch: DataFrame) -> Load:
+    """Adds the rows of a batch, and creates the table if need be; nothing is read or rewritten."""
+    source = write_through(batch, "batch")
+    table.widen(source.schema)
+    placed = table.placed(source)
+    counts = {r[PART]: r["n"] for r in placed.groupBy(PART).agg(F.count(F.lit(1)).alias("n")).collect()}
+    if counts:
+        table.write(source)
+    return Load(APPENDED, sum(counts.values()), 0, tuple(sorted(counts)))
+
+
 def load_above_watermark(table: Table, batch: DataFrame, keys: Sequence[str], ts: str, lookback_days: int = 0) -> Load:
     """``load`` of the rows of a batch that are newer than the newest ``ts`` of the table, or little older."""
     newer = above_watermark(batch, table.read(), ts, lookback_days) if table.exists() else batch
     return load(table, newer, keys)
+
+
+def refresh(summary: Table, source: Table, done: Load, build: Callable[[DataFrame], DataFrame]) -> None:
+    """Brings a summary of a table up to date after a load: its touched partitions alone are read and summed again.
+
+    Both tables are laid out by the same period, and ``build`` makes from the
+    rows of a period the summary of that period. Sums, means and distinct counts
+    are exact, as they are taken over all rows of the period.
+    """
+    if done.written:
+        summary.write(build(source.read(done.written)), over=True)
+    for part in done.removed:
+        delete(summary.spark, f"{summary.path}/{PART}={part}")

@@ -1,5 +1,6 @@
 import datetime as dt
 import random
+from collections import Counter
 
 import pytest
 from conftest import values
@@ -7,7 +8,7 @@ from pyspark.sql import functions as F
 
 from shelfprice.operators import anomalies, checks
 from shelfprice.operators.dedup import duplicates, keep_latest, latest_per_group
-from shelfprice.operators.history import apply_snapshot, as_of_join, build_history, overlapping_versions
+from shelfprice.operators.history import apply_snapshot, as_of_join, build_history, overlapping_versions, splice_history
 from shelfprice.operators.joins import any_new, every_pair, lookup_join, not_in
 from shelfprice.operators.publish import AuditError, StagedTable, audit, ingest, publish, published, stage
 from shelfprice.operators.series import date_dimension, fill_weeks, forward_fill, month_dimension, price_points
@@ -346,3 +347,53 @@ def test_volume_and_freshness_anomalies(rows):
 def test_empty_bucket_counts_zero(rows):
     df = rows([(dt.datetime(2024, 1, 1),), (dt.datetime(2024, 1, 3),)], "ts timestamp")
     assert [r[1] for r in values(anomalies.volume_anomalies(df, "ts"), "bucket", "value")] == [1.0, 0.0, 1.0]
+
+
+def test_late_observations_in_any_order(rows):
+    import itertools
+    import random
+
+    random.seed(2)
+    log = [(random.choice("abc"), dt.date(2024, 1, 1) + dt.timedelta(days=random.randint(0, 70)), random.choice("xyz"), random.choice([None, 1, 2])) for _ in range(60)]
+    log += [(None, dt.date(2024, 1, 5), "x", 1), ("a", None, "x", 1)]
+    schema = "k string, day date, p string, q int"
+    want = values(build_history(rows(log, schema).filter("k IS NOT NULL"), "k", ["p", "q"], "day"))
+    parts = [log[0::3], log[1::3], log[2::3]]
+    for order in itertools.permutations(parts):
+        history = build_history(rows(order[0], schema).filter("k IS NOT NULL"), "k", ["p", "q"], "day")
+        for late in (order[1], order[2], order[2]):
+            history = splice_history(history, rows(late, schema).filter("k IS NOT NULL"), "k", ["p", "q"], "day")
+        assert values(history.select("k", "p", "q", "updated_at", "dbt_scd_id", "dbt_updated_at", "dbt_valid_from", "dbt_valid_to")) == want
+    empty = rows([], schema)
+    assert values(splice_history(build_history(empty, "k", ["p", "q"], "day"), rows(log, schema).filter("k IS NOT NULL"), "k", ["p", "q"], "day")) == want
+    assert values(splice_history(build_history(rows(log, schema).filter("k IS NOT NULL"), "k", ["p", "q"], "day"), empty, "k", ["p", "q"], "day")) == want
+
+
+def test_checks_of_a_table_share_a_scan(spark, rows, tmp_path):
+    data = [(i, None if i % 5 == 0 else i % 7, "x" if i < 3 else f"n{i}") for i in range(40)] + [(1, None, None), (1, None, None)]
+    rows(data, "id int, v int, name string").write.parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    made = [
+        checks.Check.of_rows("v known", table, F.col("v").isNull(), tags=["v"]),
+        checks.Check.of_rows("v small", table, F.col("v") > 5, severity="warn"),
+        checks.Check.of_rows("v small late", table, F.col("v") > 5, where="id >= 30"),
+        checks.Check.of_keys("id once", table, "id", tags=["keys"]),
+        checks.Check.of_keys("pair once", table, "v", "name"),
+        checks.Check.of_keys("pair of values once", table, "v", "name", count_null=False, where="id <> 2"),
+        checks.Check("any rows", table, lambda df: checks.not_null(df, "name")),
+    ]
+    got = {r.check_name: (r.failures, r.status) for r in checks.run_checks(made).collect()}
+    pairs = lambda keep: sum(n > 1 for n in Counter((v, n) for i, v, n in data if keep(i, v, n)).values())
+    assert got == {
+        "v known": (sum(v is None for _, v, _ in data), "fail"),
+        "v small": (sum(v is not None and v > 5 for _, v, _ in data), "warn"),
+        "v small late": (sum(v is not None and v > 5 and i >= 30 for i, v, _ in data), "fail"),
+        "id once": (1, "fail"),
+        "pair once": (pairs(lambda i, v, n: True), "fail"),
+        "pair of values once": (pairs(lambda i, v, n: v is not None and n is not None and i != 2), "pass" if not pairs(lambda i, v, n: v is not None and n is not None and i != 2) else "fail"),
+        "any rows": (2, "fail"),
+    }
+    plan = checks.run_checks(made[:6])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1
+    assert [r.check_name for r in checks.run_checks(made, tags=["keys"]).collect()] == ["id once"]
+    assert {r.failures for r in checks.run_checks([checks.Check.of_rows("none", table.limit(0), F.lit(True))]).collect()} == {0}

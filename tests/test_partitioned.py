@@ -6,7 +6,7 @@ import pytest
 from conftest import values
 from pyspark.sql import functions as F
 
-from shelfprice.operators.partitioned import CREATED, MERGED, PART, UNCHANGED, Table, load, load_above_watermark, merge
+from shelfprice.operators.partitioned import CREATED, MERGED, PART, UNCHANGED, Table, append, load, load_above_watermark, merge, refresh
 from shelfprice.operators.upsert import upsert
 
 SCHEMA = "k string, day date, v int"
@@ -84,3 +84,23 @@ def test_new_columns_and_watermarks(table, rows):
     assert (done.inserted, done.updated) == (1, 0)
     merge(made, wide, ["k"])
     assert values(made.read()) == values(upsert(upsert(old, wide.filter("k = 'z'"), ["k"]).drop("_op"), wide, ["k"]).drop("_op"))
+
+
+def test_a_summary_is_refreshed_where_a_load_wrote(spark, rows, tmp_path):
+    import datetime as dt
+
+    build = lambda df: df.groupBy(F.trunc("day", "month").alias("month")).agg(F.sum("v").alias("v"), F.count_distinct("k").alias("keys"))
+    data = [(f"k{i % 4}", dt.date(2024, 1 + i % 3, 1 + i % 20), i) for i in range(60)]
+    whole = rows(data, SCHEMA)
+    facts = Table(spark, str(tmp_path / "facts"), whole.schema, F.trunc("day", "month"))
+    months = Table(spark, str(tmp_path / "months"), build(whole).schema, F.col("month"))
+    for part in (data[:30], data[30:50]):
+        refresh(months, facts, append(facts, rows(part, SCHEMA)), build)
+    before = by_folder(months.path)
+    late = [r for r in data[50:] if r[1].month == 1]
+    done = append(facts, rows(late, SCHEMA))
+    refresh(months, facts, done, build)
+    assert done.written == ("p2024-01-01",) and append(facts, whole.limit(0)).written == ()
+    assert values(months.read()) == values(build(rows(data[:50] + late, SCHEMA)))
+    after = by_folder(months.path)
+    assert {p for p in after if after[p] != before[p]} == {"p2024-01-01"}
