@@ -22,8 +22,8 @@ from shelfprice.plans.demand import (
     naive_elasticity,
     TrainResult,
 )
-from shelfprice.plans.features import TARGET, build_features, latest_rows, prepare, price_features, time_split, training_frame
-from shelfprice.sources import read_table, shared_dir, write_json, write_table
+from shelfprice.plans.features import SERIES, TARGET, build_features, latest_rows, prepare, price_features, time_split, training_frame
+from shelfprice.sources import read_table, shared_dir, write_bucketed, write_json, write_table
 
 # demand model of the SQL-checked queries
 ELASTICITY = -4.0
@@ -59,6 +59,15 @@ def demand_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _features(spark, sf_dir)
 
 
+@query(_FEATURES, "SELECT * FROM features")
+def features_from_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The features of a mart that is kept in buckets by series, which are not shuffled again."""
+    name = f"mart_{uuid.uuid4().hex}"
+    mart = warehouse(spark, sf_dir).pricing_mart
+    path = f"{shared_dir(spark)}/shelfprice/{name}"
+    return build_features(prepare(write_bucketed(mart, name, path, SERIES, ["sales_week"], 32)))
+
+
 @query(_FEATURES, "SELECT * FROM latest")
 def latest_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _latest(spark, sf_dir)

@@ -9,6 +9,7 @@ not by a window over all buckets, so nothing is funnelled through one task.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -120,3 +121,49 @@ def column_anomalies(
         *[METRICS[m](column).cast("double").alias(m) for m in metrics]
     )
     return flag_anomalies(wide.unpivot("bucket", list(metrics), "metric", "value"), period, **limits)
+
+
+# What a bucket's state holds, and how states of one bucket are put together.
+STATE = {"n_rows": F.sum, "n_known": F.sum, "total": F.sum, "squares": F.sum, "lowest": F.min, "highest": F.max}
+
+
+def bucket_states(df: DataFrame, ts: str, column: str, period: str = "day") -> DataFrame:
+    """(bucket, state): counts, sums and extremes of a column, from which every metric follows.
+
+    States of different loads can be put together (``merge_states``), so a load
+    only reads its own rows, late ones included.
+    """
+    value = F.col(column).cast("double")
+    return df.filter(F.col(ts).isNotNull()).groupBy(_bucket(ts, period).alias("bucket")).agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count(value).alias("n_known"),
+        F.sum(value).alias("total"),
+        F.sum(value * value).alias("squares"),
+        F.min(value).alias("lowest"),
+        F.max(value).alias("highest"),
+    )
+
+
+def merge_states(states: DataFrame) -> DataFrame:
+    """One state per bucket from those of several loads."""
+    return states.groupBy("bucket").agg(*[how(c).alias(c) for c, how in STATE.items()])
+
+
+def state_anomalies(states: DataFrame, metrics: Sequence[str], period: str = "day", **limits) -> DataFrame:
+    """``column_anomalies`` from kept states; ``row_count`` stands for ``volume_anomalies``."""
+    whole, n = merge_states(states), F.col("n_known")
+    values = {
+        "sum": F.col("total"),
+        "average": F.try_divide(F.col("total"), n),
+        "min": F.col("lowest"),
+        "max": F.col("highest"),
+        "variance": F.try_divide(F.greatest(F.col("squares") - F.col("total") * F.col("total") / F.nullif(n, F.lit(0)), F.lit(0.0)), F.nullif(n - 1, F.lit(-1))),
+        "null_percent": (F.col("n_rows") - n) / F.col("n_rows") * 100,
+    }
+    columns = [m for m in metrics if m != "row_count"]
+    wide = whole.select("bucket", *[values[m].cast("double").alias(m) for m in columns])
+    parts = [wide.unpivot("bucket", columns, "metric", "value")] if columns else []
+    if "row_count" in metrics:
+        dense = _spine(whole, period).join(whole, "bucket", "left")
+        parts.append(dense.select("bucket", F.lit("row_count").alias("metric"), F.coalesce("n_rows", F.lit(0)).cast("double").alias("value")))
+    return flag_anomalies(reduce(DataFrame.unionByName, parts), period, **limits)

@@ -2,6 +2,7 @@ from shelfprice.sources.files import (
     read_raw_csv,
     read_seed,
     read_table,
+    write_bucketed,
     write_json,
     write_table,
 )
@@ -14,6 +15,7 @@ __all__ = [
     "read_seed",
     "read_table",
     "shared_dir",
+    "write_bucketed",
     "write_json",
     "write_table",
     "write_through",

@@ -38,3 +38,14 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
 def write_json(df: DataFrame, path: str) -> None:
     """One JSON record per row; NaN is written as null."""
     nan_to_null(df).write.mode("overwrite").option("ignoreNullFields", False).json(path)
+
+
+def write_bucketed(df: DataFrame, table: str, path: str, keys: Sequence[str], order: Sequence[str], buckets: int) -> DataFrame:
+    """A table in files by a hash of ``keys``, each sorted by keys and ``order``; its readers need not shuffle by the keys.
+
+    The rows are dealt out by the same hash first, so that a bucket is one file.
+    """
+    dealt = df.repartition(buckets, *keys)
+    writer = dealt.write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys, *order)
+    writer.option("path", path).saveAsTable(table)
+    return df.sparkSession.table(table)

@@ -21,7 +21,7 @@ from shelfprice.plans.marts import pricing_mart, weekly_sales
 from shelfprice.plans.measures import expected_uplift, top_opportunities
 from shelfprice.plans.silver import COMPANY_COLUMNS, silver_company, silver_sales
 from shelfprice.plans.warehouse import Warehouse
-from shelfprice.sources import product_mapping, read_raw_csv, read_table, write_json, write_table
+from shelfprice.sources import product_mapping, read_raw_csv, read_table, write_bucketed, write_json, write_table
 
 MONDAY = dt.date(2024, 1, 1)
 
@@ -267,6 +267,14 @@ def test_batch_scoring_reads_the_last_weeks_only(spark, rows, tmp_path):
     assert "sales_week" in filters
 
 
+def test_bucketed_layers_are_not_shuffled(spark, rows, tmp_path):
+    frame = series(rows, weeks=20).unionByName(series(rows, weeks=20, price=11.0, store="s1"))
+    saved = write_bucketed(prepare(frame), "mart_in_buckets", str(tmp_path / "mart"), ["product_id", "store_key"], ["sales_week"], 4)
+    features = latest_rows(build_features(saved))
+    assert "Exchange" not in features._jdf.queryExecution().executedPlan().toString()
+    assert values(features) == values(latest_rows(build_features(prepare(frame))).select(features.columns))
+
+
 def test_csv_and_json(spark, rows, tmp_path):
     (tmp_path / "raw.csv").write_text("a,b\n1,x\n02,\n")
     df = read_raw_csv(spark, str(tmp_path / "raw.csv"), ["a", "b"])
