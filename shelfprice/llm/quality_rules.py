@@ -193,7 +193,7 @@ def kept_documents(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id"
     """The documents that ``judge`` keeps, with all columns."""
     rules = _learned(document_stats(docs, doc_id=doc_id, text=text), labels, doc_id, label)
     name = "statistics"
-    while name in docs.columns:
+    while name in {c.lower() for c in docs.columns}:
         name += "_"
     schema = StructType([*docs.schema.fields, StructField(name, StructType([StructField(n, LongType()) for n in STATS]))])
     return docs.mapInArrow(lambda b: _with_stats(text, name, b), schema).filter(verdict(rules, f"{name}.")).drop(name)

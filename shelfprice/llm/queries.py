@@ -89,6 +89,59 @@ _SEARCH = f"""WITH d AS (SELECT doc_id, {_TERMS} AS terms FROM documents),
     FROM scored WHERE score > 0 QUALIFY rank <= 20"""
 
 
+def _plus(cell: str, cost: str, audit: str) -> str:
+    """A cell (cost in six digits, then the audit, so that the least text is the least cell) with one more edit."""
+    return f"CASE WHEN {cell} IS NOT NULL THEN lpad(CAST(CAST({cell}[1:6] AS INTEGER) + {cost} AS VARCHAR), 6, '0') || {cell}[7:] || '{audit}' END"
+
+
+def _if(condition: str, value: str) -> str:
+    return f"CASE WHEN {condition} THEN {value} END"
+
+
+_BITS = "list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: xor(x >> 1, 3988292384 * (x & 1)))"
+_CODE = f"xor(list_reduce(list_concat([4294967295], list_transform(range(1, length(name) + 1), lambda i: CAST(ascii(name[i]) AS BIGINT))), lambda c, b: {_BITS}), 4294967295) % 20"
+_KEPT = {r: [_if(f"i = '{r}' AND NOT gone", _plus(f"t{p}", "cut", "K")) for p in states] for r, states in {"s": (0,), "u": (0, 1, 3), "a": (2,)}.items()}
+_CHANGED = {p: _if("NOT gone", _plus(f"t{p}", "2 + cut", "R")) for p in range(4)}
+
+#: Row by row, the cheapest way to each state: nothing yet (0), after the system turn, a user, an assistant.
+_REPAIR = f"""WITH RECURSIVE named AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+        coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS name FROM conversations),
+    coded AS (SELECT conv_id, turn, role, text, {_CODE} AS code FROM named),
+    damaged AS (SELECT conv_id, turn, CASE WHEN code = 4 THEN 'user' ELSE role END AS role,
+        CASE code WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text, unnest(range(CASE WHEN code = 3 THEN 2 ELSE 1 END)) AS copy
+        FROM coded WHERE code <> 0),
+    placed AS (SELECT conv_id, turn, role, text, role[1:1] AS i, regexp_replace(text, '[\x20\x09-\x0D]+$', '') AS seen,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS n FROM damaged),
+    judged AS (SELECT *, seen = '' AS blank, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY n) > 1 AS again,
+        lag(i) OVER (PARTITION BY conv_id ORDER BY n) || i AS pair FROM placed),
+    rows AS (SELECT *, blank OR again AS gone, CAST(NOT blank AND NOT again AND seen[-1:] NOT IN ('.', '!', '?') AS INTEGER) AS cut FROM judged),
+    faults AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+        count(*) FILTER (again AND NOT blank) AS duplicate, CAST(sum(cut) AS BIGINT) AS truncated,
+        count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n FROM rows GROUP BY conv_id),
+    cells AS (SELECT conv_id, CAST(0 AS BIGINT) AS n, '000000' AS s0, CAST(NULL AS VARCHAR) AS s1, CAST(NULL AS VARCHAR) AS s2, CAST(NULL AS VARCHAR) AS s3 FROM faults
+        UNION ALL SELECT conv_id, n, {_plus('t0', '3', 'D')}, least({_plus('t1', '3', 'D')}, {', '.join(_KEPT['s'])}),
+            least({_plus('t2', '3', 'D')}, {', '.join([*_KEPT['u'], _CHANGED[0], _CHANGED[1], _CHANGED[3]])}),
+            least({_plus('t3', '3', 'D')}, {', '.join([*_KEPT['a'], _CHANGED[2]])})
+        FROM (SELECT r.conv_id, r.n, r.i, r.gone, r.cut, s0 AS t0, s1 AS t1,
+                least(s2, {_plus('s0', '2', 'I')}, {_plus('s1', '2', 'I')}, {_plus('s3', '2', 'I')}) AS t2,
+                least(s3, {_plus('s2', '2', 'I')}, {_plus('s0', '4', 'II')}, {_plus('s1', '4', 'II')}) AS t3
+            FROM cells c JOIN rows r ON r.conv_id IS NOT DISTINCT FROM c.conv_id AND r.n = c.n + 1)),
+    best AS (SELECT c.conv_id, least(s0, s3, {_plus('s2', '2', 'I')}, {_plus('s1', '4', 'II')}) AS cell
+        FROM cells c JOIN faults f ON f.conv_id IS NOT DISTINCT FROM c.conv_id AND f.n = c.n),
+    edits AS (SELECT conv_id, unnest(range(1, length(cell) - 5)) AS j, cell[7:] AS audit FROM best),
+    steps AS (SELECT conv_id, j, audit[j:j] AS edit, count(*) FILTER (audit[j:j] <> 'I') OVER w AS n, count(*) FILTER (audit[j:j] <> 'D') OVER w AS k,
+        count(*) FILTER (audit[j:j] <> 'D') OVER (PARTITION BY conv_id) % 2 AS odd FROM edits WINDOW w AS (PARTITION BY conv_id ORDER BY j)),
+    turns AS (SELECT s.conv_id, j, CASE WHEN edit = 'K' THEN r.role WHEN (k - odd) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' ||
+        CASE WHEN edit = 'I' THEN '' ELSE r.text END AS line
+        FROM steps s LEFT JOIN rows r ON r.conv_id IS NOT DISTINCT FROM s.conv_id AND r.n = s.n WHERE edit <> 'D'),
+    whole AS (SELECT conv_id, string_agg(line, chr(10) ORDER BY j) AS lines FROM turns GROUP BY conv_id),
+    every AS (SELECT DISTINCT conv_id FROM conversations)
+    SELECT e.conv_id, coalesce(f.gaps, 0) AS gaps, coalesce(f.blank, 0) AS blank, coalesce(f.duplicate, 0) AS duplicate, coalesce(f.truncated, 0) AS truncated,
+        coalesce(f.illegal, 0) AS illegal, CAST(coalesce(b.cell[1:6], '0') AS BIGINT) AS cost, coalesce(b.cell[7:], '') AS audit, sha256(coalesce(lines, '')) AS repaired_sha256
+    FROM every e LEFT JOIN faults f ON f.conv_id IS NOT DISTINCT FROM e.conv_id LEFT JOIN best b ON b.conv_id IS NOT DISTINCT FROM e.conv_id
+    LEFT JOIN whole w ON w.conv_id IS NOT DISTINCT FROM e.conv_id"""
+
+
 @query("op1_pii")
 def pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report(table(spark, sf_dir, "documents"))
@@ -150,7 +203,7 @@ def lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-@query("op13_conversation_repair")
+@query("op13_conversation_repair", _REPAIR)
 def conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations")
     return report_on_all(turns, damage(turns))
