@@ -232,8 +232,8 @@ def merge_above_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "sales_key transaction_id quantity:i gross_revenue:2",
-    """WITH target AS (SELECT * FROM fact_store_sales WHERE quantity < 25) SELECT * FROM fact_store_sales s
-        WHERE NOT EXISTS (SELECT 1 FROM target f WHERE f.transaction_id = s.transaction_id)""",
+    """SELECT * FROM fact_store_sales
+        QUALIFY transaction_id IS NULL OR NOT coalesce(bool_or(quantity < 25) OVER (PARTITION BY transaction_id), false)""",
 )
 def append_new_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = warehouse(spark, sf_dir)
