@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from functools import partial
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfprice.llm.blocks import document_digest
@@ -59,24 +59,51 @@ def _canonical(kind: str, value: Column) -> Column:
     return F.concat(F.lit(f"{kind}:"), F.lower(value) if kind == "email" else value if kind == "ip" else _digits(value))
 
 
-def _located(text: Column, pattern: str | Column, kind: str, valid, value) -> Column:
+def _let(value: Column, use) -> Column:
+    """``use(value)``, with the value computed once."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _run_up(values: Column, total) -> Column:
+    """For each entry, ``total`` of all entries before it, in steps of 128 so that the work is not that of all pairs."""
+    step, shift = 128, 7
+
+    def along(v: Column) -> Column:
+        parts = F.transform(F.sequence(F.lit(0), F.shiftright(F.size(v), shift)), lambda c: total(F.slice(v, c * step + 1, F.lit(step))))
+        ahead = lambda p: F.transform(p, lambda _, c: total(F.slice(p, F.lit(1), c)))
+        return _let(parts, lambda p: _let(ahead(p), lambda q: F.transform(v, lambda _, i: total(F.array(F.get(q, F.shiftright(i, shift)), total(F.slice(v, F.shiftright(i, shift) * step + 1, i % step)))))))
+
+    return _let(values, along)
+
+
+def _sum(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0), lambda a, x: a + x)
+
+
+def _largest(values: Column) -> Column:
+    return F.coalesce(F.array_max(values), F.lit(0))
+
+
+def _located(text: Column, pattern: str, kind: str, valid, value) -> Column:
     """The valid matches of a pattern with their places in code points, end exclusive.
 
     What lies between matches and the matches themselves alternate; their lengths add up to the places.
     """
-    pattern = F.lit(pattern) if isinstance(pattern, str) else pattern
-    zipped = F.zip_with(F.split(text, pattern, -1), F.regexp_extract_all(text, pattern, F.lit(0)), lambda g, m: F.struct(g.alias("gap"), m.alias("found")))
+    pattern = F.lit(pattern)
+    zipped = F.zip_with(F.split(text, pattern, -1), F.regexp_extract_all(text, pattern, F.lit(0)), lambda g, m: F.struct(F.length(g).alias("gap"), m.alias("found")))
+
+    def spans(pairs: Column) -> Column:
+        lengths = F.transform(pairs, lambda x: x["gap"] + F.coalesce(F.length(x["found"]), F.lit(0)))
+
+        def span(x: Column, before: Column) -> Column:
+            start = before + x["gap"]
+            at = F.struct(F.lit(kind).alias("kind"), start.alias("start"), (start + F.length(x["found"])).alias("end"), value(x["found"]).alias("value"))
+            return F.when(x["found"].isNotNull() & valid(x["found"]), at)
 
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + F.length(x["gap"])
-        end = start + F.length(x["found"])
-        span = F.struct(F.lit(kind).alias("kind"), start.alias("start"), end.alias("end"), value(x["found"]).alias("value"))
-        spans = F.when(x["found"].isNotNull() & valid(x["found"]), F.concat(acc["spans"], F.array(span))).otherwise(acc["spans"])
-        return F.struct(F.coalesce(end, acc["at"]).alias("at"), spans.alias("spans"))
+        return F.filter(F.zip_with(pairs, _run_up(lengths, _sum), span), lambda x: x.isNotNull())
 
     none = F.array().cast(_SPANS)
-    found = F.aggregate(zipped, F.struct(F.lit(0).alias("at"), none.alias("spans")), step, lambda a: a["spans"])
-    return F.when(F.rlike(text, pattern), found).otherwise(none)
+    return F.when(F.rlike(text, pattern), _let(zipped, spans)).otherwise(none)
 
 
 def base_spans(text: Column) -> Column:
@@ -84,46 +111,66 @@ def base_spans(text: Column) -> Column:
     return F.concat(*(_located(text, PATTERNS[k], k, partial(_valid, k), partial(_canonical, k)) for k in KINDS))
 
 
-def _marked(text: Column, terms: Column, spans: Column) -> Column:
-    """Every occurrence of the terms in a text that neither lies in a span nor touches one.
+def _held(found: DataFrame) -> DataFrame:
+    """(content, entity)"""
+    return found.select("content", F.explode(F.transform("spans", lambda s: s["value"])).alias("entity")).distinct()
 
-    The pattern lists the forms in which this text has its terms. They consist of letters and digits only.
-    """
-    forms = F.filter(F.array_distinct(F.regexp_extract_all(text, F.lit(TERM), F.lit(0))), lambda w: F.array_contains(terms, F.lower(w)))
-    pattern = F.concat(F.lit(r"(?<![\p{L}\p{N}_])(?:"), F.array_join(forms, "|"), F.lit(r")(?![\p{L}\p{N}_])"))
-    found = _located(text, pattern, "term", lambda v: F.lit(True), lambda v: F.lower(v))
-    outside = F.filter(found, lambda w: ~F.exists(spans, lambda s: (s["start"] <= w["end"]) & (w["start"] <= s["end"])))
-    return F.when(F.size(terms) > 0, F.when(F.size(forms) > 0, outside))
 
+def _disclosing(found: DataFrame, docs: DataFrame, alpha: float) -> tuple[DataFrame, DataFrame]:
+    """(content, held) of texts with entities, by the set of these; (held, term): the words that disclose one of a set.
 
-def _disclosing(found: DataFrame, docs: DataFrame, alpha: float) -> DataFrame:
-    """(entity, terms): the words that disclose each entity. ``docs`` has the content and text of all documents.
+    ``docs`` has the content and text of all documents.
 
     A word discloses if (n_pair - DISCOUNT) / n_term, the share of its texts that have the entity, reaches p(entity) to
     the power 1 - alpha, which is the rule on PMI. As n_pair is at most n_term and n_entity, that leaves out entities in
     too few texts, and words in too few or too many, before any pair is made. Words are counted by the set of such
-    entities that their text has, so that a common entity makes no row for each text.
+    entities that their text has, so that a common entity makes no row for each text; sets travel by their digests. The
+    words of an entity are never gathered: a text is joined with those that it holds itself.
     """
     contents = max(1, found.select("content").distinct().count())
     least = F.pow(F.col("n_entity") / F.lit(float(contents)), 1 - alpha)
-    held = found.select("content", F.explode(F.transform("spans", lambda s: s["value"])).alias("entity")).distinct()
-    entities = held.groupBy("entity").agg(F.count("*").alias("n_entity")).withColumn("least", least)
+    pairs_held = _held(found)
+    entities = pairs_held.groupBy("entity").agg(F.count("*").alias("n_entity")).withColumn("least", least)
     entities = entities.filter((F.col("n_entity") - DISCOUNT) / F.col("n_entity") >= F.col("least"))
     entities = entities.select("entity", "least", F.floor(F.col("n_entity") / F.col("least")).alias("most_texts"), F.ceil(F.lit(DISCOUNT) / (1 - F.col("least"))).alias("least_texts"))
     entities = write_through(entities, "pii-entities")
-    holders = held.join(entities, "entity").groupBy("content").agg(F.sort_array(F.collect_set("entity")).alias("entities"))
+    gathered = pairs_held.join(entities.select("entity"), "entity").groupBy("content").agg(F.sort_array(F.collect_set("entity")).alias("entities"))
+    holders = write_through(gathered.select("content", F.md5(F.to_json("entities").cast("binary")).alias("held"), "entities"), "pii-holders")
+    sets = holders.dropDuplicates(["held"]).select("held", F.explode("entities").alias("entity"))
 
-    texts = docs.dropDuplicates(["content"]).join(holders, "content", "left")
+    texts = docs.dropDuplicates(["content"]).join(holders.select("content", "held"), "content", "left")
     words = F.array_distinct(F.transform(F.regexp_extract_all("text", F.lit(TERM), F.lit(0)), lambda w: F.lower(w)))
-    counted = texts.select("entities", F.explode(words).alias("term")).groupBy("term", "entities").agg(F.count("*").alias("n"))
+    counted = texts.select("held", F.explode(words).alias("term")).groupBy("term", "held").agg(F.count("*").alias("n"))
     counted = write_through(counted, "pii-words")
 
     bounds = entities.agg(F.min("least_texts").alias("low"), F.max("most_texts").alias("high")).first()
-    terms = counted.groupBy("term").agg(F.sum("n").alias("n_term"), F.max(F.col("entities").isNotNull()).alias("beside"))
+    terms = counted.groupBy("term").agg(F.sum("n").alias("n_term"), F.max(F.col("held").isNotNull()).alias("beside"))
     terms = terms.filter(F.col("beside") & F.col("n_term").between(F.lit(bounds["low"]), F.lit(bounds["high"]))).select("term", "n_term")
-    pairs = counted.filter("entities is not null").join(terms, "term").select("term", "n_term", "n", F.explode("entities").alias("entity"))
-    pairs = pairs.groupBy("entity", "term").agg(F.sum("n").alias("n_pair"), F.first("n_term").alias("n_term")).join(entities, "entity")
-    return pairs.filter((F.col("n_pair") - DISCOUNT) / F.col("n_term") >= F.col("least")).groupBy("entity").agg(F.sort_array(F.collect_list("term")).alias("terms"))
+    beside = counted.filter("held is not null").join(terms, "term").join(sets, "held")
+    beside = write_through(beside.select("held", "term", "n_term", "n", "entity"), "pii-beside")
+    pairs = beside.groupBy("entity", "term").agg(F.sum("n").alias("n_pair"), F.first("n_term").alias("n_term")).join(entities, "entity")
+    told = pairs.filter((F.col("n_pair") - DISCOUNT) / F.col("n_term") >= F.col("least")).select("entity", "term")
+    return holders.select("content", "held"), beside.join(told, ["entity", "term"]).select("held", "term").distinct()
+
+
+def _marked(found: DataFrame, holders: DataFrame, told: DataFrame) -> DataFrame:
+    """(content, terms): every occurrence of a disclosing word that neither lies in a span of its text nor touches one.
+
+    Of the spans that start up to a word's end, the one that ends last tells; a text's words and spans are swept together.
+    """
+    told = write_through(told, "pii-told")
+    texts = found.filter(F.size("spans") > 0).dropDuplicates(["content"]).join(holders, "content").join(told.select("held").distinct(), "held", "left_semi")
+    places = _located(F.col("body"), TERM, "term", lambda v: F.lit(True), lambda v: F.lower(v))
+    words = texts.select("content", "held", F.explode(places).alias("w")).select("content", "held", F.col("w.value").alias("term"), "w.start", "w.end")
+    words = words.join(told, ["held", "term"]).select("content", F.col("end").alias("at"), F.lit(1).alias("turn"), "start", "end", "term")
+    spans = texts.select("content", F.explode("spans").alias("s"))
+    spans = spans.select("content", F.col("s.start").alias("at"), F.lit(0).alias("turn"), "s.start", "s.end", F.lit(None).cast("string").alias("term"))
+    so_far = Window.partitionBy("content").orderBy("at", "turn").rowsBetween(Window.unboundedPreceding, 0)
+    reached = F.max(F.when(F.col("turn") == 0, F.col("end"))).over(so_far)
+    outside = words.unionByName(spans).withColumn("reached", reached).filter((F.col("turn") == 1) & (F.coalesce("reached", F.lit(-1)) < F.col("start")))
+    span = F.struct(F.col("start"), F.col("end"), F.col("term"))
+    ordered = F.transform(F.sort_array(F.collect_list(span)), lambda x: F.struct(F.lit("term").alias("kind"), x["start"].alias("start"), x["end"].alias("end"), x["term"].alias("value")))
+    return outside.groupBy("content").agg(ordered.alias("terms"))
 
 
 def _texts(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -131,14 +178,14 @@ def _texts(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return own.select("doc_id", document_digest(F.col("doc_id"), F.col("text")).alias("doc"), F.md5(F.col("text").cast("binary")).alias("content"), "text")
 
 
-def _found(docs: DataFrame, doc_id: str, text: str, alpha: float) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, doc, content, spans, body) of every document, body where there are spans; (doc, terms) of some."""
+def _found(docs: DataFrame, doc_id: str, text: str, alpha: float) -> DataFrame:
+    """(doc_id, doc, spans, terms) of every document; terms are null where there are none."""
     own = _texts(docs, doc_id, text)
     based = own.select("doc_id", "doc", "content", base_spans(F.col("text")).alias("spans"), "text")
     found = write_through(based.select("doc_id", "doc", "content", "spans", F.when(F.size("spans") > 0, F.col("text")).alias("body")), "pii-base")
-    disclosing = _disclosing(found, own.select("content", "text"), alpha)
-    held = found.select("doc", F.explode(F.array_distinct(F.transform("spans", lambda s: s["value"]))).alias("entity"))
-    return found, held.join(disclosing, "entity").groupBy("doc").agg(F.array_distinct(F.flatten(F.collect_set("terms"))).alias("terms"))
+    holders, told = _disclosing(found, own.select("content", "text"), alpha)
+    marked = write_through(_marked(found, holders, told), "pii-marked")
+    return found.select("doc_id", "doc", "content", "spans").join(marked, "content", "left").select("doc_id", "doc", "spans", "terms")
 
 
 def _all(terms: Column, spans: Column) -> Column:
@@ -155,9 +202,7 @@ def find_personal_data(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "
     A null text is empty. Rows with a null or repeated id are documents of their own. Further columns are ignored. An
     empty table gives none.
     """
-    found, more = _found(docs, doc_id, text, alpha)
-    terms = _marked(F.col("body"), F.col("terms"), F.col("spans"))
-    return found.join(more, "doc", "left").select("doc_id", "doc", _all(terms, F.col("spans")).alias("spans"))
+    return _found(docs, doc_id, text, alpha).select("doc_id", "doc", _all(F.col("terms"), F.col("spans")).alias("spans"))
 
 
 def listed(spans: Column) -> Column:
@@ -178,30 +223,37 @@ def report(docs: DataFrame, **options) -> DataFrame:
 
 
 def redacted(text: Column, spans: Column) -> Column:
-    """The text with its values generalised to their kind (``<EMAIL>``) and its disclosing words removed."""
+    """The text with its values generalised to their kind (``<EMAIL>``) and its disclosing words removed.
+
+    A span that begins within earlier ones is left out. Texts are taken apart in pieces of 1024 code points, so that what
+    lies between two spans is found without going through the text from its start.
+    """
+    size, shift = 1024, 10
 
-    def step(acc: Column, s: Column) -> Column:
-        fresh = s["start"] >= acc["at"]
-        put = F.when(s["kind"] == "term", F.lit("")).otherwise(F.concat(F.lit("<"), F.upper(s["kind"]), F.lit(">")))
-        out = F.when(fresh, F.concat(acc["out"], F.substr(text, acc["at"] + 1, s["start"] - acc["at"]), put)).otherwise(acc["out"])
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), out.alias("out"))
+    def whole(parts: Column) -> Column:
+        def between(a: Column, b: Column) -> Column:
+            held = F.array_join(F.slice(parts, F.shiftright(a, shift) + 1, F.shiftright(b, shift) - F.shiftright(a, shift) + 1), "")
+            return F.when(b > a, F.substr(held, a % size + 1, b - a)).otherwise(F.lit(""))
 
-    ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
-    done = F.aggregate(ordered, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, lambda a: F.concat(a["out"], F.substr(text, a["at"] + 1, F.length(text))))
-    return F.when(F.size(spans) > 0, done).otherwise(text)
+        def cut(ordered: Column) -> Column:
+            def one(s: Column, reached: Column) -> Column:
+                put = F.when(s["kind"] == "term", F.lit("")).otherwise(F.concat(F.lit("<"), F.upper(s["kind"]), F.lit(">")))
+                return F.when(s["start"] >= reached, F.concat(between(reached, s["start"]), put)).otherwise(F.lit(""))
 
+            ends = F.transform(ordered, lambda s: s["end"])
+            rest = between(_largest(ends), F.length(text))
+            return F.concat(F.array_join(F.zip_with(ordered, _run_up(ends, _largest), one), ""), rest)
 
-def redact(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", alpha: float = 0.95) -> DataFrame:
-    """The documents, all columns as they are but for the text; see find_personal_data. A null text stays null.
+        return _let(F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))), cut)
 
-    Only documents with an entity are joined with the disclosing words; all others are passed on in place.
-    """
-    _, more = _found(docs, doc_id, text, alpha)
-    touched = F.size(base_spans(F.coalesce(F.col(text), F.lit("")))) > 0
+    return F.when(F.size(spans) > 0, _let(F.regexp_extract_all(text, F.lit(rf"(?s).{{1,{size}}}"), F.lit(0)), whole)).otherwise(text)
+
+
+def redact(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", alpha: float = 0.95) -> DataFrame:
+    """The documents, all columns as they are but for the text; see find_personal_data. A null text stays null."""
+    found = _found(docs, doc_id, text, alpha).filter(F.size("spans") > 0)
+    found = found.select("doc", _all(F.col("terms"), F.col("spans")).alias("spans")).dropDuplicates(["doc"])
     row = F.col("row")
-    body = F.coalesce(row[text], F.lit(""))
-    whole = docs.filter(touched).select(F.struct("*").alias("row")).withColumn("doc", document_digest(row[doc_id].cast("long"), body))
-    clean = redacted(body, _all(F.col("marked"), F.col("base")))
-    fields = [clean.alias(c) if c == text else row[c].alias(c) for c in docs.columns]
-    based = whole.join(more, "doc", "left").withColumn("base", base_spans(body))
-    return based.withColumn("marked", _marked(body, F.col("terms"), F.col("base"))).select(*fields).unionByName(docs.filter(~touched))
+    whole = docs.select(F.struct("*").alias("row")).withColumn("doc", document_digest(row[doc_id].cast("long"), F.coalesce(row[text], F.lit(""))))
+    clean = F.when(F.col("spans").isNull(), row[text]).otherwise(redacted(row[text], F.col("spans")))
+    return whole.join(found, "doc", "left").select(*[clean.alias(c) if c == text else row[c].alias(c) for c in docs.columns])

@@ -100,6 +100,66 @@ def test_words_far_from_the_entity_are_found_everywhere(spark):
     assert "widgetmaster " not in clean[3].lower() and "WIDGETMASTER" not in clean[3] and "xwidgetmaster3" in clean[3] and "while" in clean[3]
 
 
+def disclosed(data, alpha=0.95, discount=2 / 3):
+    """Spans of disclosing words, from the rule on all pairs of values and words of the distinct texts."""
+    canonical = lambda k, v: k + ":" + (v.lower() if k == "email" else v if k == "ip" else re.sub("[^0-9]", "", v))
+    texts_of = {t or "" for _, t in data}
+    values = {t: {canonical(k, t[a:b]) for k, a, b in expected_spans(t)} for t in texts_of}
+    words = {t: {w.lower() for w in re.findall(r"\w{3,}", t)} for t in texts_of}
+    n = len(texts_of)
+    told = set()
+    for v in set().union(*values.values()):
+        held = [t for t in texts_of if v in values[t]]
+        least = (len(held) / n) ** (1 - alpha)
+        for w in set().union(*(words[t] for t in held)):
+            if (sum(w in words[t] for t in held) - discount) / sum(w in words[t] for t in texts_of) >= least:
+                told.add((v, w))
+    out = {}
+    for i, t in data:
+        t = t or ""
+        spans = expected_spans(t)
+        mine = {w for v, w in told if v in values[t]}
+        out[i] = [(m.group().lower(), m.start()) for m in re.finditer(r"\w{3,}", t) if m.group().lower() in mine and not any(a <= m.end() and m.start() <= b for _, a, b in spans)]
+    return out
+
+
+def test_disclosing_words_equal_the_rule_on_all_pairs(spark):
+    rng = np.random.default_rng(11)
+    names = [f"name{i}" for i in range(12)]
+    filler = [f"word{i}" for i in range(60)]
+    data = []
+    for i in range(400):
+        parts = list(rng.choice(filler, 12))
+        if i % 3 == 0:
+            who = int(rng.integers(0, 8))
+            parts += [f"{names[who]}@x{who}.org", names[who].title() if rng.random() < 0.9 else "Nobody", "office", f"{names[who]}."]
+        if i % 11 == 0:
+            parts += ["10.0.0.7", "serverroom", "+1 234 567 8901"]
+        rng.shuffle(parts)
+        data.append((i, " ".join(parts)))
+    data += [(1000 + i, data[i][1]) for i in range(0, 60, 3)] + [(2000, None), (2001, "")]
+    frame = spark.createDataFrame(data, "doc_id long, text string")
+    want = disclosed(data)
+    assert sum(map(len, want.values())) > 100
+    assert terms_of(frame) == want
+
+
+def test_work_is_linear_in_a_text(spark):
+    """32,000 addresses in one text, and a line of contact with its own vocabulary in a third of all texts."""
+    import time
+
+    log = "\n".join(f"10.{i >> 8 & 255}.{i & 255}.7 ok user{i}" for i in range(32_000))
+    data = [(1, log), (2, "nothing")] + [(10 + i, f"mail desk@corp.org for unique{i} special{i * 7} " + " ".join(f"only{i}x{j}" for j in range(30))) for i in range(600)]
+    data += [(1000 + i, f"plain text {i}") for i in range(1200)]
+    frame = spark.createDataFrame(data, "doc_id long, text string")
+    start = time.time()
+    got = {r.doc_id: r for r in report(frame).collect()}
+    assert got[1].n_ip == 32_000 and got[10].n_email == 1 and got[1000].spans == ""
+    clean = dict(texts(redact(frame)))
+    assert clean[1].startswith("<IP> ok") and clean[1].count("<IP>") == 32_000 and "10." not in clean[1]
+    assert time.time() - start < 240
+
+
 def test_redacted_documents(docs, odd, empty):
     for frame in (docs, odd):
         got = redact(frame)

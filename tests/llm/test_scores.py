@@ -1,5 +1,6 @@
 """Classifiers and the language model against brute force and on held-out documents."""
 
+import math
 import re
 import zlib
 from collections import Counter
@@ -10,7 +11,7 @@ import pytest
 from corpus_cases import docs, empty, labels, odd, texts  # noqa: F401
 from pyspark.sql import functions as F
 
-from shelfprice.llm.language import identify_languages
+from shelfprice.llm.language import KernelModel, _grams, identify_languages
 from shelfprice.llm.lm_score import code_lengths, fit_contexts, score_documents
 from shelfprice.llm.quality_model import QuadraticDiscriminant, score_quality
 from shelfprice.llm.quality_rules import Condition, DecisionList, judge, learn_rules, measured
@@ -159,3 +160,31 @@ def test_column_and_array_forms_agree(spark, docs, labels):
     got = judge(docs, labels).select("*", rules.kept().alias("by_column")).toArrow()
     stats = {n: got[n].to_numpy() for n in got.column_names if n.startswith("n_") or n == "word_chars"}
     assert (~rules.rejects(measured(stats)) == got["by_column"].to_numpy()).all()
+
+
+def test_language_scores_equal_plain_kernel_ridge():
+    """With every text a landmark, the model is kernel ridge regression on the texts' sets of n-grams."""
+    rng = np.random.default_rng(4)
+    alphabets = ["abcdefgh  ", "efghijkl .", "éèàçab  -"]
+    words = lambda a: "".join(rng.choice(list(a), rng.integers(20, 60)))
+    train = [(k, words(a)) for k, a in enumerate(alphabets) for _ in range(12)]
+    tests = [words(a) for a in alphabets for _ in range(5)] + ["", "zzz"]
+
+    def grams(text):
+        c = [1 + (b | 32) - 97 if chr(b).isascii() and chr(b).isalpha() else 27 + (b - 128) % 37 if b > 127 else 0 for b in text.encode()]
+        return {tuple(c[i : i + n]) for n in (1, 2, 3) for i in range(len(c) - n + 1) if any(c[i : i + n])}
+
+    def kernel(a, b):
+        return len(a & b) / math.sqrt(max(len(a), 1) * max(len(b), 1))
+
+    sets, label = [grams(t) for _, t in train], np.array([k for k, _ in train])
+    gram = np.array([[kernel(a, b) for b in sets] for a in sets])
+    y, ridge = np.where(label[:, None] == np.arange(3), 1.0, -1.0), 0.05
+    dual = np.linalg.solve(gram + ridge * np.diag(np.bincount(label)[label].astype(float)), y)
+    known = set().union(*sets)  # n-grams of no landmark do not count in a text's number either
+    want = np.array([[kernel(grams(t) & known, b) for b in sets] for t in tests]) @ dual
+
+    encode = lambda t: (np.frombuffer(t.encode(), np.uint8), np.array([0, len(t.encode())]))
+    model = KernelModel.fit(["a", "b", "c"], label, [np.unique(_grams(*encode(t))[1]) for _, t in train], 12, ridge)
+    got = np.concatenate([model.scores(*encode(t)) for t in tests])
+    assert np.abs(got - want).max() < 2e-3
