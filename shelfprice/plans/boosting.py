@@ -258,11 +258,13 @@ class BoostedTrees:
 
     def transform(self, df: DataFrame, prediction: str) -> DataFrame:
         """``df`` with the model's prediction. Missing inputs and unknown levels go where training sent them."""
-        cuts, base, trees = self.cuts, self.base, self.trees
-        shared = df.sparkSession.sparkContext.broadcast((cuts, base, trees))
+        # plain arrays: what is broadcast is not pickled by value
+        arrays = [(t.feature, t.last_left, t.missing_left, t.value) for t in self.trees]
+        shared = df.sparkSession.sparkContext.broadcast((self.cuts, self.base, arrays))
 
         def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            cuts, base, trees = shared.value
+            cuts, base, arrays = shared.value
+            trees = [Tree(*a) for a in arrays]
             for batch in batches:
                 inputs = [batch.column(batch.num_columns - len(cuts) + i) for i in range(len(cuts))]
                 bins = binned(inputs, cuts)
