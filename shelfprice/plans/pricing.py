@@ -159,8 +159,11 @@ def train_and_save(spark: SparkSession, mart_path: str, model_path: str, **estim
 
 
 def write_mart(mart: DataFrame, path: str) -> None:
-    """The dense mart with a folder for each week, so that a reader of the last weeks opens those alone."""
-    mart.repartition("sales_week", F.pmod(F.xxhash64(*SERIES), F.lit(8))).write.mode("overwrite").partitionBy("sales_week").parquet(path)
+    """The dense mart with a folder for each week, so that a reader of the last weeks opens those alone.
+
+    Rows are dealt by week into tasks of like size: a week gets few files, however large it is.
+    """
+    mart.hint("rebalance", F.col("sales_week")).write.mode("overwrite").partitionBy("sales_week").parquet(path)
 
 
 def recent_weeks(mart: DataFrame) -> DataFrame:
