@@ -1,6 +1,7 @@
 """Classifiers and the language model against brute force and on held-out documents."""
 
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -73,6 +74,58 @@ def test_context_model_equals_a_plain_one():
     assert np.allclose((10.0 ** table.astype(float)).sum(1), 1, atol=1e-4)
 
 
+def deeply_blended(text, counts, depth):
+    """log10 probability of a text (bytes), symbol by symbol, in contexts of up to ``depth`` bytes."""
+    framed, total = bytes([255] * depth) + text + bytes([254]), 0.0
+    for at in range(depth, len(framed)):
+        excluded, p = set(), 1.0
+        for order in range(depth, -1, -1):
+            new = {s: n for s, n in counts.get(framed[at - order : at], {}).items() if s not in excluded}
+            if not new:
+                continue
+            n, kinds = sum(new.values()), len(new)
+            if framed[at] in new:
+                p *= new[framed[at]] / (n + kinds)
+                break
+            p *= kinds / (n + kinds)
+            excluded |= set(new)
+        else:
+            p /= 256 - len(excluded)
+        total += log10(p)
+    return total
+
+
+@pytest.mark.parametrize("depth", [2, 3, 5, 7])
+def test_deep_contexts_equal_a_plain_model(spark, docs, odd, depth):
+    both = odd.select("doc_id", "text").unionByName(docs.filter("length(text) < 1500").orderBy("doc_id").limit(60).select("doc_id", "text"))
+    rows, counts = [(i, (t or "").encode()) for i, t in texts(both)], {}
+    for i, t in rows:
+        framed = bytes([255] * depth) + t + bytes([254])
+        if fold(i, 10):
+            for at in range(depth, len(framed)):
+                for order in range(depth + 1):
+                    counts.setdefault(framed[at - order : at], Counter())[framed[at]] += 1
+    want = sorted((str(i), deeply_blended(t, counts, depth)) for i, t in rows)
+    got = score_documents(both, depth=depth, block_bytes=1 << 12, bucket_bytes=1 << 14).collect()
+    got = sorted((str(r.doc_id), r.score) for r in got)
+    assert [i for i, _ in got] == [i for i, _ in want]
+    assert np.allclose([s for _, s in got], [s for _, s in want], rtol=1e-5, atol=1e-3)
+
+
+def test_a_repeated_text_is_likelier_than_a_new_one(spark):
+    """What a document holds beyond three bytes counts: its second copy shortens it."""
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(8))
+    passages = [" ".join(word() for _ in range(60)) for _ in range(40)]
+    ids = [i for i in range(1, 400) if fold(i, 10)]
+    copies, train = passages[:20], ids[:20]
+    held = [i for i in range(1, 4000) if not fold(i, 10)][:40]
+    rows = list(zip(train, copies, strict=True)) + list(zip(held, passages, strict=True))
+    got = {r.doc_id: r.score for r in score_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    copied, new = [got[i] for i in held[:20]], [got[i] for i in held[20:]]
+    assert max(new) < min(copied) and np.mean(new) < 1.5 * np.mean(copied)
+
+
 def test_held_out_text_is_likelier_than_noise(docs):
     noise = docs.filter("doc_id < 20").select((F.col("doc_id") + 10_000_000).alias("doc_id"), F.sha2("text", 512).alias("text"))
     got = score_documents(docs.select("doc_id", "text").unionByName(noise)).collect()
