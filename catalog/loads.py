@@ -27,7 +27,7 @@ from shelfprice.operators.upsert import (
 from shelfprice.plans import silver
 from shelfprice.plans.dims import PRODUCT_ATTRIBUTES
 from shelfprice.plans.marts import weekly_sales
-from shelfprice.sources import shared_dir
+from shelfprice.sources import shared_dir, write_through
 
 _ATTRIBUTES = ", ".join(PRODUCT_ATTRIBUTES)
 _RUNS = ["1996-12-31", "1999-06-30", AS_OF]
@@ -279,7 +279,8 @@ def merged_store_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
 def published_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two ingest runs through staging, audit and publish; the counts are read back through the manifest."""
     root = f"{shared_dir(spark)}/shelfprice/bronze-{uuid.uuid4().hex}"
-    scrapes = keep_latest(raw_competitor(spark, sf_dir), silver.COMPETITOR_KEYS, "Scraped_At")
+    # both runs read the scrapes: they are deduplicated once
+    scrapes = write_through(keep_latest(raw_competitor(spark, sf_dir), silver.COMPETITOR_KEYS, "Scraped_At"), "scrapes")
     keys = {"company": silver.COMPANY_KEYS, "competitor": silver.COMPETITOR_KEYS}
     for i, batch in enumerate(_company_batches(spark, sf_dir)):
         ingest(spark, root, f"run{i}", {"company": batch, "competitor": scrapes}, keys)

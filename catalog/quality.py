@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog.bindings import AS_OF, line_items, raw_company, table
-from catalog.layers import warehouse
+from catalog.layers import company_read_once, warehouse
 from catalog.spec import REGISTRY, query
 from shelfprice.operators import anomalies, checks
 from shelfprice.operators.joins import lookup_join
@@ -80,7 +80,7 @@ def check_regex(spark: SparkSession, sf_dir: str) -> DataFrame:
         WHERE transaction_date < DATE '1995-06-01' OR transaction_date > DATE '{AS_OF}' GROUP BY ALL""",
 )
 def check_date_range(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return checks.valid_date_range(warehouse(spark, sf_dir).company, "transaction_date", "1995-06-01", AS_OF)
+    return checks.valid_date_range(company_read_once(spark, sf_dir), "transaction_date", "1995-06-01", AS_OF)
 
 
 @query(
@@ -230,13 +230,13 @@ def table_checks(df: DataFrame) -> list[checks.Check]:
 @query("check_name severity failures:i status", _table_sql({"cost", "sales", "store", "keys"}))
 def table_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Twelve checks of one table in one scan."""
-    return checks.run_checks(table_checks(warehouse(spark, sf_dir).company))
+    return checks.run_checks(table_checks(company_read_once(spark, sf_dir)))
 
 
 @query("check_name severity failures:i status", _table_sql({"cost", "keys"}))
 def tagged_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The checks with one of two tags."""
-    return checks.run_checks(table_checks(warehouse(spark, sf_dir).company), tags=["cost", "keys"])
+    return checks.run_checks(table_checks(company_read_once(spark, sf_dir)), tags=["cost", "keys"])
 
 
 _TYPE = "CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'VARCHAR' THEN 'string' WHEN 'DOUBLE' THEN 'double' ELSE lower(column_type) END"

@@ -194,23 +194,22 @@ class Check:
 def _fused(table: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """Failures of all row and key checks of one table, from one scan and one shuffle.
 
-    A row sends one entry for all row checks, which are summed before the
-    shuffle, and one for its key in each key check.
+    A row sends one entry for each row check that it breaks, which are counted
+    before the shuffle, and one for its key in each key check.
     """
     by_row, by_key = [c for c in checks if c.broken is not None], [c for c in checks if c.key]
     chosen = lambda c: F.expr(c.where) if c.where else F.lit(True)
-    flags = [F.coalesce((chosen(c) & c.broken), F.lit(False)).cast("bigint").alias(f"_f{i}") for i, c in enumerate(by_row)]
-    entries = [F.struct(F.lit(-1).alias("_rule"), F.lit(None).cast("string").alias("_key"), *flags)]
+    nothing = F.lit(None).cast("string").alias("_key")
+    entries = [F.when(chosen(c) & c.broken, F.struct(F.lit(-1 - i).alias("_rule"), nothing)) for i, c in enumerate(by_row)]
     for i, c in enumerate(by_key):
         value = F.to_json(F.struct(*c.key), {"ignoreNullFields": "false"})
         counted = chosen(c) if c.count_null else chosen(c) & reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in c.key])
-        zeros = [F.lit(0).cast("bigint").alias(f"_f{j}") for j in range(len(by_row))]
-        entries.append(F.when(counted, F.struct(F.lit(i).alias("_rule"), value.alias("_key"), *zeros)))
+        entries.append(F.when(counted, F.struct(F.lit(i).alias("_rule"), value.alias("_key"))))
     sent = table.select(F.explode(F.array_compact(F.array(*entries))).alias("_e")).select("_e.*")
-    sums = [F.sum(f"_f{j}").alias(f"_f{j}") for j in range(len(by_row))]
-    grouped = sent.groupBy("_rule", "_key").agg(F.count(F.lit(1)).alias("_n"), *sums)
+    grouped = sent.groupBy("_rule", "_key").agg(F.count(F.lit(1)).alias("_n"))
+    broken = [F.coalesce(F.sum(F.when(F.col("_rule") == -1 - j, F.col("_n"))), F.lit(0)).alias(f"_f{j}") for j in range(len(by_row))]
     several = [F.count_if((F.col("_rule") == i) & (F.col("_n") > 1)).alias(f"_k{i}") for i in range(len(by_key))]
-    counts = grouped.agg(*[F.coalesce(F.sum(f"_f{j}"), F.lit(0)).alias(f"_f{j}") for j in range(len(by_row))], *several)
+    counts = grouped.agg(*broken, *several)
     named = [(c, f"_f{i}") for i, c in enumerate(by_row)] + [(c, f"_k{i}") for i, c in enumerate(by_key)]
     rows = [F.struct(F.lit(c.name).alias("check_name"), F.lit(c.severity).alias("severity"), F.col(n).cast("bigint").alias("failures")) for c, n in named]
     return counts.select(F.inline(F.array(*rows)))

@@ -8,7 +8,8 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__ as driver
-from catalog import REGISTRY
+from catalog import REGISTRY, loads
+from shelfprice.sources import write_through
 
 duckdb = pytest.importorskip("duckdb")
 
@@ -57,3 +58,18 @@ def test_every_query_has_sql():
 
 def test_entry(spark):
     assert not driver.entry(spark).isEmpty()
+
+
+def test_a_company_layer_read_once_is_not_written(spark):
+    """Queries that read the cleaned transactions a single time clean only the columns they need."""
+    for name in ("average_own_price", "check_date_range"):
+        plan = REGISTRY[name].run(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+        assert "lineitem" in plan or "l_orderkey" in plan
+        assert "initcap" not in plan
+
+
+def test_scrapes_are_deduplicated_once(spark, monkeypatch):
+    calls = []
+    monkeypatch.setattr(loads, "write_through", lambda df, label: (calls.append(label), write_through(df, label))[1])
+    assert REGISTRY["published_tables"].run(spark, "/root/testdata/sf0.001").count() == 2
+    assert calls == ["scrapes"]

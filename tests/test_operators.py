@@ -6,6 +6,7 @@ import pytest
 from conftest import values
 from pyspark.sql import functions as F
 
+from shelfprice.functions import clean_with_pattern
 from shelfprice.operators import anomalies, checks
 from shelfprice.operators.dedup import duplicates, keep_latest, latest_per_group
 from shelfprice.operators.history import apply_snapshot, as_of_join, build_history, overlapping_versions, splice_history
@@ -20,6 +21,7 @@ from shelfprice.operators.upsert import (
     upsert,
     upsert_metrics,
 )
+from shelfprice.plans import silver
 
 
 def day(text):
@@ -397,3 +399,35 @@ def test_checks_of_a_table_share_a_scan(spark, rows, tmp_path):
     assert plan.count("FileScan parquet") == 1
     assert [r.check_name for r in checks.run_checks(made, tags=["keys"]).collect()] == ["id once"]
     assert {r.failures for r in checks.run_checks([checks.Check.of_rows("none", table.limit(0), F.lit(True))]).collect()} == {0}
+
+
+def test_keep_latest_limits_rows_before_the_shuffle(spark):
+    """One row per key leaves a map task, and no wide row goes through a sorted aggregate."""
+    df = spark.createDataFrame([("k", "2024-01-01", "a"), ("k", "2024-01-02", None), ("k", "2024-01-02", "b"), ("k", "x", "c"), (None, "2024-01-01", "d"), (None, None, "e")], "k string, at string, v string")
+    kept = keep_latest(df, ["k"], "at")
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2 and "SortAggregate" not in plan
+    assert sorted(map(tuple, kept.collect()), key=str) == [("k", "2024-01-02", "b"), (None, "2024-01-01", "d")]
+
+
+def test_checks_of_a_table_shuffle_no_flags(spark):
+    """A key's entry is its rule, its key and a count, however many row checks there are."""
+    df = spark.createDataFrame([(1, 1), (1, None), (None, -1), (2, -5)], "k int, v int")
+    found = checks.run_checks([
+        checks.Check.of_rows("positive", df, F.col("v") <= 0),
+        checks.Check.of_rows("known", df, F.col("v").isNull()),
+        checks.Check.of_rows("small", df, F.col("v") > 100),
+        checks.Check.of_keys("once", df, "k"),
+    ])
+    assert {r.check_name: r.failures for r in found.collect()} == {"positive": 2, "known": 1, "small": 0, "once": 1}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    by_key = next(line for line in plan.splitlines() if "Aggregate [_rule" in line)
+    assert "_f0" not in by_key and "count(1)" in by_key
+
+
+def test_ids_that_match_have_their_title_case(spark):
+    rows = [("Tx-12", "Branch_7", "Prod_3"), (" Tx-1 ", " Branch_0", "Prod_10 ")]
+    df = spark.createDataFrame(rows, "t string, b string, p string")
+    for name, pattern in (("t", silver.TRANSACTION_PATTERN), ("b", silver.STORE_PATTERN), ("p", silver.PRODUCT_PATTERN)):
+        got = df.select(clean_with_pattern(F.col(name), pattern), clean_with_pattern(F.col(name), pattern, F.trim(F.col(name)))).collect()
+        assert all(r[0] == r[1] is not None for r in got)
