@@ -431,3 +431,16 @@ def test_ids_that_match_have_their_title_case(spark):
     for name, pattern in (("t", silver.TRANSACTION_PATTERN), ("b", silver.STORE_PATTERN), ("p", silver.PRODUCT_PATTERN)):
         got = df.select(clean_with_pattern(F.col(name), pattern), clean_with_pattern(F.col(name), pattern, F.trim(F.col(name)))).collect()
         assert all(r[0] == r[1] is not None for r in got)
+
+
+def test_a_history_hashes_its_log_to_tuples_of_a_day(spark, rows):
+    """The planner keeps the distinct below the largest tuple, so the rows of the log are not sorted for it."""
+    seen = rows([("a", day("2024-01-01"), "x", None), ("a", day("2024-01-01"), "y", "n"), ("a", day("2024-01-01"), "y", "m")] * 3
+                + [("a", day("2024-01-02"), None, "n"), (None, day("2024-01-01"), "x", "n"), ("a", None, "z", "z")], "k string, d date, p string, q string")
+    history = build_history(seen, "k", ["p", "q"], "d")
+    assert values(history, "k", "p", "q", "updated_at") == [
+        (None, "x", "n", day("2024-01-01")), ("a", None, "n", day("2024-01-02")), ("a", "y", "n", day("2024-01-01"))
+    ]
+    plan = history._jdf.queryExecution().executedPlan().toString()
+    aggregates = [line for line in plan.splitlines() if "Aggregate" in line]
+    assert "HashAggregate" in aggregates[-1] and "SortAggregate" not in aggregates[-1]
