@@ -22,6 +22,7 @@ from shelfprice.operators.upsert import (
     upsert_metrics,
 )
 from shelfprice.plans import silver
+from shelfprice.sources import write_through
 
 
 def day(text):
@@ -444,3 +445,10 @@ def test_a_history_hashes_its_log_to_tuples_of_a_day(spark, rows):
     plan = history._jdf.queryExecution().executedPlan().toString()
     aggregates = [line for line in plan.splitlines() if "Aggregate" in line]
     assert "HashAggregate" in aggregates[-1] and "SortAggregate" not in aggregates[-1]
+
+
+def test_a_layer_is_not_written_a_second_time(rows):
+    layer = write_through(rows([(1, "a")], "k int, v string"), "layer")
+    assert write_through(layer, "copy") is layer
+    narrowed = write_through(layer.select("k"), "narrowed")
+    assert narrowed.inputFiles() != layer.inputFiles() and values(narrowed) == [(1,)]
