@@ -186,7 +186,7 @@ def merge_by_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The upsert into a table laid out by year, which rewrites the years that the batch touches."""
     target, source = _company_batches(spark, sf_dir)
     table = _by_year(spark, target)
-    table.write(target)
+    load(table, target, silver.COMPANY_KEYS)
     merge(table, source, silver.COMPANY_KEYS)
     return table.read()
 

@@ -15,6 +15,8 @@ from shelfprice.sources.staging import delete, exists, write_through
 
 #: The folder column. Its values begin with a letter, so that no reader takes them for numbers or dates.
 PART = "_part"
+#: Rows of up to so many partitions are written by the tasks that hold them; for more, that makes too many small files.
+FEW_PARTS = 16
 CREATED, UNCHANGED, MERGED, APPENDED = "created", "unchanged", "merged", "appended"
 
 
@@ -51,13 +53,16 @@ class Table:
         own = [F.col(f.name) if f.name in rows.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in self.columns.fields]
         return rows.select(*own, *extra).withColumn(PART, name)
 
-    def write(self, rows: DataFrame, over: bool = False) -> None:
+    def write(self, rows: DataFrame, over: bool = False, parts: int | None = None) -> None:
         """Adds rows; with ``over``, in place of all rows of the partitions that they belong to.
 
         Rows are dealt by partition into tasks of like size, so that a small
-        partition gets one file and a large one is split.
+        partition gets one file and a large one is split. If the caller knows
+        that they belong to few partitions (``parts``), they are not moved.
         """
-        spread = self.placed(rows).hint("rebalance", F.col(PART))
+        spread = self.placed(rows)
+        if parts is None or parts > FEW_PARTS:
+            spread = spread.hint("rebalance", F.col(PART))
         writer = spread.write.partitionBy(PART).mode("overwrite" if over else "append")
         writer.option("partitionOverwriteMode", "dynamic").parquet(self.path)
 
@@ -98,11 +103,11 @@ def _merge(table: Table, source: DataFrame, keys: Sequence[str], touched: Sequen
     written, removed = sorted((gains | losses) & left), sorted(losses - left)
     if losses:
         staying = merged.filter((F.col("_was") == F.col(PART)) & F.col(PART).isin(sorted(losses)))
-        table.write(staying, over=True)
+        table.write(staying, over=True, parts=len(losses))
         for part in losses - _parts(staying):
             delete(table.spark, f"{table.path}/{PART}={part}")
     if written:
-        table.write(merged.filter(F.col(PART).isin(written)), over=True)
+        table.write(merged.filter(F.col(PART).isin(written)), over=True, parts=len(written))
     counts = {r["_action"]: r["n"] for r in merged.groupBy("_action").agg(F.count(F.lit(1)).alias("n")).collect()}
     return Load(MERGED, counts.get(INSERTED, 0), counts.get(UPDATED, 0), tuple(written), tuple(removed))
 
@@ -130,8 +135,9 @@ def load(table: Table, batch: DataFrame, keys: Sequence[str]) -> Load:
     source = write_through(batch, "batch")
     table.widen(source.schema)
     if not table.exists():
-        table.write(source)
-        return Load(CREATED, source.count(), 0, tuple(sorted(_parts(table.with_part()))))
+        parts = _parts(table.placed(source))
+        table.write(source, parts=len(parts))
+        return Load(CREATED, source.count(), 0, tuple(sorted(parts)))
     touched = touched_partitions(table, source, keys)
     if not any_new(source, table.read(), keys):
         same = table.read(touched).select(*source.columns)
@@ -147,7 +153,7 @@ def append(table: Table, batch: DataFrame) -> Load:
     placed = table.placed(source)
     counts = {r[PART]: r["n"] for r in placed.groupBy(PART).agg(F.count(F.lit(1)).alias("n")).collect()}
     if counts:
-        table.write(source)
+        table.write(source, parts=len(counts))
     return Load(APPENDED, sum(counts.values()), 0, tuple(sorted(counts)))
 
 

@@ -104,3 +104,16 @@ def test_a_summary_is_refreshed_where_a_load_wrote(spark, rows, tmp_path):
     assert values(months.read()) == values(build(rows(data[:50] + late, SCHEMA)))
     after = by_folder(months.path)
     assert {p for p in after if after[p] != before[p]} == {"p2024-01-01"}
+
+
+def test_rows_of_few_partitions_are_written_where_they_are(spark, tmp_path):
+    """A shuffle by partition is for loads of many partitions, which would otherwise leave a file of each in every task."""
+    from shelfprice.operators.partitioned import FEW_PARTS
+
+    many = spark.range(0, 4000, 1, 4).selectExpr("CAST(id AS STRING) AS k", "CAST(id % 40 AS INT) AS v")
+    for parts, per_folder in ((2, 4), (FEW_PARTS, 4), (40, 1)):
+        made = Table(spark, str(tmp_path / f"t{parts}"), many.schema, F.col("v") % parts)
+        done = load(made, many, ["k"])
+        assert (done.action, done.inserted, len(done.written)) == (CREATED, 4000, parts)
+        assert {len(f) for f in by_folder(made.path).values()} == {per_folder}
+        assert values(made.read()) == values(many)
