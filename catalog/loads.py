@@ -152,18 +152,18 @@ _MERGED = f"""WITH t AS ({_latest_where('"Date" < ' + "'1999'")}), s AS ({_lates
         WHEN {_DIFFERS} THEN 'update' ELSE 'keep' END AS op, {_BOTH} FROM t FULL JOIN s ON {_MATCH})"""
 
 
-def _company_batches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Two overlapping extracts of the raw transactions, deduplicated."""
+def _company_batches(spark: SparkSession, sf_dir: str, read_once: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Two overlapping extracts of the raw transactions, deduplicated. What reads each of them once needs no copy on disk."""
     w = warehouse(spark, sf_dir)
     raw = w.save(w.raw_company, "bronze")
     batches = [raw.filter(F.col("Date") < "1999"), raw.filter(F.col("Date") >= "1997")]
-    target, source = [w.save(keep_latest(b, silver.COMPANY_KEYS, "Date"), "extract") for b in batches]
-    return target, source
+    target, source = [keep_latest(b, silver.COMPANY_KEYS, "Date") for b in batches]
+    return (target, source) if read_once else (w.save(target, "extract"), w.save(source, "extract"))
 
 
 @query(" ".join(silver.COMPANY_COLUMNS) + " op", f"{_MERGED} SELECT op, {_PICKED} FROM merged")
 def keyed_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return upsert(*_company_batches(spark, sf_dir), silver.COMPANY_KEYS).withColumnRenamed("_op", "op")
+    return upsert(*_company_batches(spark, sf_dir, read_once=True), silver.COMPANY_KEYS).withColumnRenamed("_op", "op")
 
 
 @query(
@@ -172,7 +172,7 @@ def keyed_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
         count(*) FILTER (op = 'update') AS num_updated_rows, 0 AS num_deleted_rows FROM merged""",
 )
 def upsert_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return upsert_metrics(upsert(*_company_batches(spark, sf_dir), silver.COMPANY_KEYS))
+    return upsert_metrics(upsert(*_company_batches(spark, sf_dir, read_once=True), silver.COMPANY_KEYS))
 
 
 def _by_year(spark: SparkSession, rows: DataFrame) -> Table:

@@ -6,13 +6,16 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfprice.operators.joins import not_in
 
 INSERTED, UPDATED, KEPT = "insert", "update", "keep"
 
+# Types of which equal values have equal hashes (floats and collated texts are left to the join).
+_HASHED = {"string", "tinyint", "smallint", "int", "bigint", "date", "timestamp", "boolean"}
+
 
 def _aligned(target: DataFrame, source: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Both frames with the union of their columns, the target's order first."""
@@ -25,6 +28,13 @@ def _aligned(target: DataFrame, source: DataFrame) -> tuple[DataFrame, DataFrame
     return widen(target), widen(source)
 
 
+def _key_hash(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> Column:
+    """Hash of the keys that have one type on both sides, else a constant; the join compares the keys all the same."""
+    kinds = [(k, target.schema[k].dataType, source.schema[k].dataType) for k in keys]
+    same = [k for k, a, b in kinds if a == b and a.simpleString() in _HASHED]
+    return F.xxhash64(*same) if same else F.lit(0).cast("bigint")
+
+
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``target`` after merging ``source`` on ``keys``, with the action per row in ``_op``.
 
@@ -32,9 +42,10 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFra
     NULL). A column present on one side only is kept and filled with NULL. A
     row without a key matches nothing and is inserted.
 
-    One full outer join. The batch is first brought to one row per key, which
-    shares the shuffle of the join; a key with several rows is ambiguous and
-    fails the job.
+    One full outer join. The rows of a key in the batch are numbered, which
+    shares the shuffle and the sort of the join; a key with several rows is
+    ambiguous and fails the job. The hash in front of the keys lets the sorts
+    compare numbers, not texts.
     """
     keys = list(keys)
     fresh_columns = set(source.columns)
@@ -42,22 +53,26 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFra
     columns = target.columns
     values = [c for c in columns if c not in keys and c in fresh_columns]
     keyless = reduce(or_, [F.col(k).isNull() for k in keys])
-    packed = F.struct(*[F.col(c).alias(f"_s_{c}") for c in values], F.lit(True).alias("_in"))
+    hashed = _key_hash(target, source, keys).alias("_hash")
+    in_batch = Window.partitionBy("_hash", *keys).orderBy("_hash")
     several = F.concat(F.lit("several source rows for one key: "), F.concat_ws(", ", *[F.col(k).cast("string") for k in keys]))
     incoming = (
         source.filter(~keyless)
-        .groupBy(*keys)
-        .agg(F.first(packed).alias("_s"), F.count(F.lit(1)).alias("_n"))
-        .withColumn("_in_source", F.when(F.col("_n") > 1, F.raise_error(several).cast("boolean")).otherwise(F.lit(True)))
-        .select(*keys, "_s.*", "_in_source")
-        .drop("_in")
+        .withColumn("_hash", hashed)
+        .withColumn("_n", F.row_number().over(in_batch))
+        .select(
+            "_hash",
+            *keys,
+            *[F.col(c).alias(f"_s_{c}") for c in values],
+            F.when(F.col("_n") > 1, F.raise_error(several).cast("boolean")).otherwise(F.lit(True)).alias("_in_source"),
+        )
     )
     changed = reduce(or_, [~F.col(c).eqNullSafe(F.col(f"_s_{c}")) for c in values], F.lit(False))
 
     def merged(c: str, replace: Column) -> Column:
         return (F.when(replace, F.col(f"_s_{c}")).otherwise(F.col(c)) if c in values else F.col(c)).alias(c)
 
-    both = target.withColumn("_in_target", F.lit(True)).join(incoming, keys, "full_outer")
+    both = target.withColumns({"_hash": hashed, "_in_target": F.lit(True)}).join(incoming, ["_hash", *keys], "full_outer")
     insert = F.col("_in_target").isNull()
     update = F.coalesce("_in_source", F.lit(False)) & ~insert & changed
     action = F.when(insert & F.col("_in_source"), INSERTED).when(update, UPDATED).otherwise(KEPT).alias("_op")
