@@ -205,7 +205,8 @@ def _fused(table: DataFrame, checks: Sequence[Check]) -> DataFrame:
         value = F.to_json(F.struct(*c.key), {"ignoreNullFields": "false"})
         counted = chosen(c) if c.count_null else chosen(c) & reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in c.key])
         entries.append(F.when(counted, F.struct(F.lit(i).alias("_rule"), value.alias("_key"))))
-    sent = table.select(F.explode(F.array_compact(F.array(*entries))).alias("_e")).select("_e.*")
+    # a filter after the explode is compiled with it; array_compact would evaluate all entries in interpreted code
+    sent = table.select(F.explode(F.array(*entries)).alias("_e")).filter(F.col("_e").isNotNull()).select("_e.*")
     grouped = sent.groupBy("_rule", "_key").agg(F.count(F.lit(1)).alias("_n"))
     broken = [F.coalesce(F.sum(F.when(F.col("_rule") == -1 - j, F.col("_n"))), F.lit(0)).alias(f"_f{j}") for j in range(len(by_row))]
     several = [F.count_if((F.col("_rule") == i) & (F.col("_n") > 1)).alias(f"_k{i}") for i in range(len(by_key))]

@@ -8,7 +8,7 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__ as driver
-from catalog import REGISTRY, loads
+from catalog import REGISTRY, bindings, layers, loads
 from shelfprice.sources import write_through
 
 duckdb = pytest.importorskip("duckdb")
@@ -73,3 +73,40 @@ def test_scrapes_are_deduplicated_once(spark, monkeypatch):
     monkeypatch.setattr(loads, "write_through", lambda df, label: (calls.append(label), write_through(df, label))[1])
     assert REGISTRY["published_tables"].run(spark, "/root/testdata/sf0.001").count() == 2
     assert calls == ["scrapes"]
+
+
+def line_items_under(spark, path, n=40):
+    """Tables of ``n`` line items under ``path``."""
+    lines = spark.range(n).selectExpr(
+        "id AS l_orderkey", "id % 5 AS l_partkey", "id % 3 AS l_suppkey", "1 AS l_linenumber", "2.0D AS l_quantity", "10.0D AS l_extendedprice",
+        "0.1D AS l_tax", "'A' AS l_returnflag", "timestamp'1998-03-04' + make_interval(0, 0, 0, int(id)) AS l_shipdate",
+    )
+    lines.write.parquet(f"{path}/lineitem.parquet")
+    spark.range(n).selectExpr("id AS o_orderkey", "id % 7 AS o_custkey").write.parquet(f"{path}/orders.parquet")
+    spark.range(7).selectExpr("id AS c_custkey", "int(id) AS c_nationkey").write.parquet(f"{path}/customer.parquet")
+    spark.range(5).selectExpr("id AS p_partkey", "'Brand#1' || id AS p_brand").write.parquet(f"{path}/part.parquet")
+    return str(path)
+
+
+def test_raw_transactions_are_derived_in_more_tasks_for_more_lines(spark, tmp_path, monkeypatch):
+    d = line_items_under(spark, tmp_path)
+    before = sorted(map(tuple, bindings.raw_company(spark, d).collect()), key=str)
+    monkeypatch.setattr(bindings, "LINES_PER_TASK", 2)
+    raw = bindings.raw_company(spark, d)
+    assert sorted(map(tuple, raw.collect()), key=str) == before and len(before) == 40
+    plan = raw._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression [l_orderkey" in plan and ", 20" in plan
+
+
+def test_an_extract_read_once_is_not_written(spark, tmp_path):
+    d = line_items_under(spark, tmp_path)
+    merged = REGISTRY["upsert_counts"].run(spark, d)
+    assert any("/bronze-" in f for f in merged.inputFiles()) and not any("/extract-" in f for f in merged.inputFiles())
+    assert merged.first().num_updated_rows == 0
+
+
+def test_scrapes_read_once_are_not_written(spark, tmp_path, monkeypatch):
+    d, labels = line_items_under(spark, tmp_path), []
+    monkeypatch.setattr(layers, "write_through", lambda df, label: (labels.append(label), write_through(df, label))[1], raising=False)
+    assert REGISTRY["quality_report"].run(spark, d).count() == 6
+    assert "company" in labels and "competitor" not in labels

@@ -194,6 +194,32 @@ def test_upsert_refuses_several_rows_of_a_key(rows):
     assert upsert(target, several_keyless, ["k"]).count() == 3
 
 
+def test_upsert_sorts_the_batch_by_hash_without_a_sorted_aggregate(rows):
+    target, source = rows([(1, "a"), (2, "b")], "k int, s string"), rows([(2, "x"), (3, "y")], "k int, s string")
+    plan = upsert(target, source, ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and plan.count("Exchange hashpartitioning(_hash") == 2
+
+
+@pytest.mark.parametrize("kind", ["bigint", "double", "string", "int"])
+def test_upsert_matches_keys_of_another_type(rows, kind):
+    target = rows([(1, "a"), (2, "b"), (None, "n")], "k int, s string")
+    source = rows([("2", "x"), ("3", "y"), (None, "m")], "k string, s string").withColumn("k", F.col("k").cast(kind))
+    assert tuple(upsert_metrics(upsert(target, source, ["k"])).first()) == (3, 2, 1, 0)
+
+
+def test_upsert_matches_floats_that_are_equal(rows):
+    target, source = rows([(0.0, "a"), (float("nan"), "b")], "k double, s string"), rows([(-0.0, "x"), (float("nan"), "y")], "k double, s string")
+    assert tuple(upsert_metrics(upsert(target, source, ["k"])).first()) == (2, 0, 2, 0)
+
+
+def test_fused_checks_are_compiled(rows):
+    table = rows([(1, "a"), (1, None), (2, "b")], "k int, s string")
+    made = [checks.Check.of_rows("s", table, F.col("s").isNull()), checks.Check.of_keys("k", table, "k")]
+    report = checks.run_checks(made)
+    assert values(report, "check_name", "failures") == [("k", 1), ("s", 1)]
+    assert "lambda" not in report._jdf.queryExecution().executedPlan().toString()
+
+
 def test_upsert_merges_schemas(rows):
     target = rows([(1, "a"), (2, "b")], "k int, s string")
     merged = upsert(target, rows([(1, 9), (3, 7)], "k int, n int"), ["k"])
