@@ -173,7 +173,8 @@ _REPORT = {
     ),
 )
 def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w = warehouse(spark, sf_dir)
+    """The scrapes are read once, for the span of their months."""
+    w = warehouse(spark, sf_dir, read_once={"competitor"})
     company, expenses = w.company, w.save(w.expenses_fact, "fact-expenses")
     grain = ["store_key", "expense_type_key", "month_date_key"]
     rules = {
