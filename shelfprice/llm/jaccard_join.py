@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from shelfprice.llm import blocks
 from shelfprice.llm.packed import U64, WORD_BASE, Hashes, Words, mixed, slices, utf8
-from shelfprice.sources.staging import write_through
+from shelfprice.sources.staging import TEXTS_A_FILE, in_few_files, write_through
 
 ROWS = 4
 _SKETCH = "doc_id long, doc string, node binary, n int, signature binary"
@@ -116,10 +116,10 @@ def _folded(homes: DataFrame) -> DataFrame:
     its classes. Two classes that share a bucket still do so under any names of their homes.
     """
     shares = homes.groupBy("band", "home").agg(F.count("*").alias("n"), F.first("size").alias("size"))
-    shares = write_through(shares, "shares")
+    shares = write_through(shares, "shares", homes.count())
     own = shares.select(F.col("home").alias("of")).distinct()
     moved = shares.filter("band != home").join(own, F.col("band") == F.col("of"), "left_semi").filter(F.col("n") >= FOLDED * F.col("size"))
-    into = write_through(moved.groupBy("band").agg(F.max(F.struct("n", "home"))["home"].alias("into")), "folded")
+    into = write_through(moved.groupBy("band").agg(F.max(F.struct("n", "home"))["home"].alias("into")), "folded", shares.count())
     once = into.select(F.col("band").alias("home"), F.col("into").alias("first"))
     twice = into.select(F.col("band").alias("first"), F.col("into").alias("second"))
     target = once.join(twice, "first", "left").select("home", F.coalesce("second", "first").alias("target"))
@@ -274,24 +274,26 @@ def components(edges: DataFrame) -> DataFrame:
     In each round a node takes the smallest label among its neighbours, then the label of its label, until none
     changes. Rounds are written to the shared folder.
     """
-    both = write_through(edges.filter("node != root").distinct().select(F.explode(F.array(F.struct("node", F.col("root").alias("to")), F.struct(F.col("root").alias("node"), F.col("node").alias("to")))).alias("e")).select("e.*"), "edges")
-    labels = write_through(both.groupBy("node").agg(F.min("to").alias("to")).select("node", F.least("node", "to").alias("label")), "labels")
+    edges = write_through(edges, "links")
+    both = write_through(edges.filter("node != root").distinct().select(F.explode(F.array(F.struct("node", F.col("root").alias("to")), F.struct(F.col("root").alias("node"), F.col("node").alias("to")))).alias("e")).select("e.*"), "edges", 2 * edges.count())
+    n = both.count()
+    labels = write_through(both.groupBy("node").agg(F.min("to").alias("to")).select("node", F.least("node", "to").alias("label")), "labels", n)
     while True:
         near = both.join(labels.select(F.col("node").alias("to"), "label"), "to").groupBy("node").agg(F.min("label").alias("near"))
         lower = labels.join(near, "node").select("node", F.col("label").alias("was"), F.least("label", "near").alias("label"))
         jump = labels.select(F.col("node").alias("label"), F.col("label").alias("further"))
-        new = write_through(lower.join(jump, "label", "left").select("node", "was", F.least("label", F.coalesce("further", "label")).alias("label")), "labels")
+        new = write_through(lower.join(jump, "label", "left").select("node", "was", F.least("label", F.coalesce("further", "label")).alias("label")), "labels", n)
         labels = new.select("node", "label")
         if new.filter("label != was").isEmpty():
             return labels
 
 
-def _tiled(homes: DataFrame, chunk: int, group: int) -> DataFrame:
+def _tiled(homes: DataFrame, n_homes: int, chunk: int, group: int) -> DataFrame:
     """(part, tile, side, alone, node): every class in each tile of each of its jobs."""
     met = homes.select("band", F.col("home").alias("other")).distinct()
     job = F.struct(F.least("home", "other").alias("low"), F.greatest("home", "other").alias("high"))
     members = homes.join(met, "band").select("node", "n", job.alias("job"), (F.col("home") > F.col("other")).cast("int").alias("side")).distinct()
-    members = write_through(members, "members")
+    members = write_through(members, "members", n_homes)
     weight = [F.sum(F.when(F.col("side") == i, F.col("n").cast("long") * 8).otherwise(0)).alias(f"w{i}") for i in (0, 1)]
     sizes = members.groupBy("job").agg(F.sum(1 - F.col("side")).alias("n0"), F.sum("side").alias("n1"), *weight)
     alone = F.col("job.low") == F.col("job.high")
@@ -305,26 +307,29 @@ def _tiled(homes: DataFrame, chunk: int, group: int) -> DataFrame:
     place = F.when(F.col("alone") | (F.col("side") == 0), F.concat_ws(":", F.when(F.col("alone"), low).otherwise(F.col("own")), F.when(F.col("alone"), high).otherwise(F.col("facing")))).otherwise(F.concat_ws(":", "facing", "own"))
     side = F.when(F.col("alone"), (F.col("own") > F.col("facing")).cast("int")).otherwise(F.col("side"))
     tile = F.concat_ws(":", F.col("job.low"), F.col("job.high"), place)
-    rows = write_through(rows.select(tile.alias("tile"), side.alias("side"), same.alias("alone"), "node", "n"), "tiles")
-    groups = 1 + rows.count() // group
+    per_job = F.when(alone, F.col("n0") * parts["n0"]).otherwise(F.col("n0") * parts["n1"] + F.col("n1") * parts["n0"])
+    n = sizes.agg(F.coalesce(F.sum(per_job), F.lit(0))).first()[0]
+    rows = write_through(rows.select(tile.alias("tile"), side.alias("side"), same.alias("alone"), "node", "n"), "tiles", n)
+    groups = 1 + n // group
     return rows.withColumn("part", F.pmod(F.xxhash64("tile"), F.lit(groups)).cast("int"))
 
 
-def _grouped(docs: DataFrame, doc_id: str, text: str, width: int, threshold: float, bands: int, tolerance: float, chunk: int, group: int) -> DataFrame:
-    """(doc_id, doc, label, n_copies, n_links); the label of a text without words is null."""
+def _grouped(docs: DataFrame, doc_id: str, text: str, width: int, threshold: float, bands: int, tolerance: float, chunk: int, group: int) -> tuple[DataFrame, int]:
+    """(doc_id, doc, label, n_copies, n_links) and the number of rows; the label of a text without words is null."""
     values = bands * ROWS
     own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), blocks.document_digest(F.col(doc_id).cast("long"), F.col(text)).alias("doc"), F.col(text).alias("text"))
     sketches = write_through(own.mapInArrow(lambda b: _sketch(width, values, b), _SKETCH), "sketches")
-    classes = write_through(sketches.filter("n > 0").groupBy("node").agg(F.min("doc").alias("doc"), F.count("*").alias("n_copies"), F.first("signature").alias("signature"), F.first("n").alias("n")), "classes")
+    n_docs = sketches.count()
+    classes = write_through(sketches.filter("n > 0").groupBy("node").agg(F.min("doc").alias("doc"), F.count("*").alias("n_copies"), F.first("signature").alias("signature"), F.first("n").alias("n")), "classes", n_docs, TEXTS_A_FILE)
     n = classes.count()
     buckets, n_blocks = 1 + n // (4 * BLOCK), 1 + n // BLOCK
     grouped = classes.select(F.pmod(F.xxhash64("node"), F.lit(n_blocks)).cast("int").alias("block"), "node", "signature", "n").groupBy("block")
     asked = grouped.applyInArrow(lambda key, t: _ask_bands(buckets, key, t), blocks.ASK)
     answers = asked.groupBy("bucket").applyInArrow(blocks.count_keys, blocks.ANSWER)
-    homes = _folded(write_through(grouped.cogroup(answers.groupBy("block")).applyInArrow(_homes, _HOMES), "homes"))
+    homes = write_through(grouped.cogroup(answers.groupBy("block")).applyInArrow(_homes, _HOMES), "homes")
 
     least = pruning_rule(values, threshold, tolerance)
-    tiles = _tiled(homes, chunk, group).join(classes.select("node", "signature"), "node").select("part", "tile", "side", "alone", "node", "n", "signature")
+    tiles = _tiled(_folded(homes), homes.count(), chunk, group).join(classes.select("node", "signature"), "node").select("part", "tile", "side", "alone", "node", "n", "signature")
     left = tiles.groupBy("part").applyInArrow(lambda t: _prune(least, t), "tile string, side int, alone boolean, node binary, n int")
     left = write_through(left, "candidates")
     rows, shingles = left.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
@@ -339,7 +344,7 @@ def _grouped(docs: DataFrame, doc_id: str, text: str, width: int, threshold: flo
     groups_of = classes.select("node", "n_copies").join(links, "node", "left").join(components(verified), "node", "left")
     groups_of = groups_of.select("node", "n_copies", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("label", "node").alias("label"))
     rows = sketches.select("doc_id", "doc", "node").join(groups_of, "node", "left")
-    return rows.select("doc_id", "doc", "label", F.coalesce("n_copies", F.lit(1)).cast("long").alias("n_copies"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    return rows.select("doc_id", "doc", "label", F.coalesce("n_copies", F.lit(1)).cast("long").alias("n_copies"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")), n_docs
 
 
 def similar_documents(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", width: int = 5, threshold: float = 0.8, bands: int = 28, tolerance: float = 1e-6, chunk: int = 512, group: int = 4096) -> DataFrame:
@@ -358,7 +363,8 @@ def similar_documents(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "t
     with a repeated id are documents of their own; a class whose ids are all null has a null id. ``doc`` is a digest
     of id and text. Further columns are ignored. An empty table gives none.
     """
-    rows = write_through(_grouped(docs, doc_id, text, width, threshold, bands, tolerance, chunk, group), "membership")
+    found, n_docs = _grouped(docs, doc_id, text, width, threshold, bands, tolerance, chunk, group)
+    rows = write_through(found, "membership", n_docs)
     first = rows.filter("label is not null").groupBy("label").agg(F.min("doc_id").alias("class_id"))
     return rows.join(first, "label", "left").select(
         "doc_id",
@@ -375,9 +381,9 @@ def first_of_each(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text"
     Documents without words all stay. Of rows that agree in id and text one stays. For the options and the groups see
     similar_documents.
     """
-    found = _grouped(docs, doc_id, text, width, threshold, bands, tolerance, chunk, group)
+    found, n_docs = _grouped(docs, doc_id, text, width, threshold, bands, tolerance, chunk, group)
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "doc")
     name = F.coalesce(F.hex("label"), F.concat(F.lit("alone:"), F.col("doc")))
     keep = found.groupBy(name.alias("name")).agg(F.min(order).alias("first")).select(F.col("first.doc").alias("doc"))
     whole = docs.select(F.struct("*").alias("row"), blocks.document_digest(F.col(doc_id).cast("long"), F.col(text)).alias("doc"))
-    return whole.join(keep, "doc").dropDuplicates(["doc"]).select("row.*")
+    return in_few_files(whole.join(keep, "doc").dropDuplicates(["doc"]).select("row.*"), n_docs, TEXTS_A_FILE)

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfprice.llm.blocks import document_digest
-from shelfprice.sources.staging import write_through
+from shelfprice.sources.staging import TEXTS_A_FILE, in_few_files, write_through
 
 KINDS = ["email", "ip", "card", "phone"]
 
@@ -127,15 +127,16 @@ def _disclosing(found: DataFrame, docs: DataFrame, alpha: float) -> tuple[DataFr
     entities that their text has, so that a common entity makes no row for each text; sets travel by their digests. The
     words of an entity are never gathered: a text is joined with those that it holds itself.
     """
-    contents = max(1, found.select("content").distinct().count())
+    distinct = found.groupBy("content").agg(F.max(F.size("spans")).alias("n"))
+    contents, n_held = distinct.agg(F.greatest(F.count("*"), F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
     least = F.pow(F.col("n_entity") / F.lit(float(contents)), 1 - alpha)
     pairs_held = _held(found)
     entities = pairs_held.groupBy("entity").agg(F.count("*").alias("n_entity")).withColumn("least", least)
     entities = entities.filter((F.col("n_entity") - DISCOUNT) / F.col("n_entity") >= F.col("least"))
     entities = entities.select("entity", "least", F.floor(F.col("n_entity") / F.col("least")).alias("most_texts"), F.ceil(F.lit(DISCOUNT) / (1 - F.col("least"))).alias("least_texts"))
-    entities = write_through(entities, "pii-entities")
+    entities = write_through(entities, "pii-entities", n_held)
     gathered = pairs_held.join(entities.select("entity"), "entity").groupBy("content").agg(F.sort_array(F.collect_set("entity")).alias("entities"))
-    holders = write_through(gathered.select("content", F.md5(F.to_json("entities").cast("binary")).alias("held"), "entities"), "pii-holders")
+    holders = write_through(gathered.select("content", F.md5(F.to_json("entities").cast("binary")).alias("held"), "entities"), "pii-holders", n_held)
     sets = holders.dropDuplicates(["held"]).select("held", F.explode("entities").alias("entity"))
 
     texts = docs.dropDuplicates(["content"]).join(holders.select("content", "held"), "content", "left")
@@ -147,10 +148,11 @@ def _disclosing(found: DataFrame, docs: DataFrame, alpha: float) -> tuple[DataFr
     terms = counted.groupBy("term").agg(F.sum("n").alias("n_term"), F.max(F.col("held").isNotNull()).alias("beside"))
     terms = terms.filter(F.col("beside") & F.col("n_term").between(F.lit(bounds["low"]), F.lit(bounds["high"]))).select("term", "n_term")
     beside = counted.filter("held is not null").join(terms, "term").join(sets, "held")
-    beside = write_through(beside.select("held", "term", "n_term", "n", "entity"), "pii-beside")
+    beside = write_through(beside.select("held", "term", "n_term", "n", "entity"), "pii-beside", counted.count())
     pairs = beside.groupBy("entity", "term").agg(F.sum("n").alias("n_pair"), F.first("n_term").alias("n_term")).join(entities, "entity")
     told = pairs.filter((F.col("n_pair") - DISCOUNT) / F.col("n_term") >= F.col("least")).select("entity", "term")
-    return holders.select("content", "held"), beside.join(told, ["entity", "term"]).select("held", "term").distinct()
+    told = write_through(beside.join(told, ["entity", "term"]).select("held", "term").distinct(), "pii-told", beside.count())
+    return holders.select("content", "held"), told
 
 
 def _marked(found: DataFrame, holders: DataFrame, told: DataFrame) -> DataFrame:
@@ -158,7 +160,6 @@ def _marked(found: DataFrame, holders: DataFrame, told: DataFrame) -> DataFrame:
 
     Of the spans that start up to a word's end, the one that ends last tells; a text's words and spans are swept together.
     """
-    told = write_through(told, "pii-told")
     texts = found.filter(F.size("spans") > 0).dropDuplicates(["content"]).join(holders, "content").join(told.select("held").distinct(), "held", "left_semi")
     places = _located(F.col("body"), TERM, "term", lambda v: F.lit(True), lambda v: F.lower(v))
     words = texts.select("content", "held", F.explode(places).alias("w")).select("content", "held", F.col("w.value").alias("term"), "w.start", "w.end")
@@ -178,14 +179,14 @@ def _texts(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return own.select("doc_id", document_digest(F.col("doc_id"), F.col("text")).alias("doc"), F.md5(F.col("text").cast("binary")).alias("content"), "text")
 
 
-def _found(docs: DataFrame, doc_id: str, text: str, alpha: float) -> DataFrame:
-    """(doc_id, doc, spans, terms) of every document; terms are null where there are none."""
+def _found(docs: DataFrame, doc_id: str, text: str, alpha: float) -> tuple[DataFrame, int]:
+    """(doc_id, doc, spans, terms) of every document, and their number; terms are null where there are none."""
     own = _texts(docs, doc_id, text)
     based = own.select("doc_id", "doc", "content", base_spans(F.col("text")).alias("spans"), "text")
     found = write_through(based.select("doc_id", "doc", "content", "spans", F.when(F.size("spans") > 0, F.col("text")).alias("body")), "pii-base")
     holders, told = _disclosing(found, own.select("content", "text"), alpha)
     marked = write_through(_marked(found, holders, told), "pii-marked")
-    return found.select("doc_id", "doc", "content", "spans").join(marked, "content", "left").select("doc_id", "doc", "spans", "terms")
+    return found.select("doc_id", "doc", "content", "spans").join(marked, "content", "left").select("doc_id", "doc", "spans", "terms"), found.count()
 
 
 def _all(terms: Column, spans: Column) -> Column:
@@ -202,7 +203,8 @@ def find_personal_data(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "
     A null text is empty. Rows with a null or repeated id are documents of their own. Further columns are ignored. An
     empty table gives none.
     """
-    return _found(docs, doc_id, text, alpha).select("doc_id", "doc", _all(F.col("terms"), F.col("spans")).alias("spans"))
+    found, _ = _found(docs, doc_id, text, alpha)
+    return found.select("doc_id", "doc", _all(F.col("terms"), F.col("spans")).alias("spans"))
 
 
 def listed(spans: Column) -> Column:
@@ -251,9 +253,9 @@ def redacted(text: Column, spans: Column) -> Column:
 
 def redact(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", alpha: float = 0.95) -> DataFrame:
     """The documents, all columns as they are but for the text; see find_personal_data. A null text stays null."""
-    found = _found(docs, doc_id, text, alpha).filter(F.size("spans") > 0)
-    found = found.select("doc", _all(F.col("terms"), F.col("spans")).alias("spans")).dropDuplicates(["doc"])
+    found, n_docs = _found(docs, doc_id, text, alpha)
+    found = found.filter(F.size("spans") > 0).select("doc", _all(F.col("terms"), F.col("spans")).alias("spans")).dropDuplicates(["doc"])
     row = F.col("row")
     whole = docs.select(F.struct("*").alias("row")).withColumn("doc", document_digest(row[doc_id].cast("long"), F.coalesce(row[text], F.lit(""))))
     clean = F.when(F.col("spans").isNull(), row[text]).otherwise(redacted(row[text], F.col("spans")))
-    return whole.join(found, "doc", "left").select(*[clean.alias(c) if c == text else row[c].alias(c) for c in docs.columns])
+    return in_few_files(whole.join(found, "doc", "left").select(*[clean.alias(c) if c == text else row[c].alias(c) for c in docs.columns]), n_docs, TEXTS_A_FILE)

@@ -421,3 +421,38 @@ def test_groups_of_near_copies_have_few_homes(spark, n):
     assert seen[0].select("home").distinct().count() <= 3
     assert {r for r in got if r[0] < 10_000} == {(i, 0, n - 1) for i in range(n)}
     assert {r for r in got if r[0] >= 10_000} == {(10_000 + i, 10_000 + i, 0) for i in range(40)}
+
+
+def test_small_layers_are_few_files(spark, tmp_path):
+    """The number of files follows from the rows, not from the partitions of a shuffle."""
+    from pathlib import Path
+
+    from shelfprice.llm.pii import redact
+    from shelfprice.sources import staging
+
+    words = [f"v{i * 31 % 997}" for i in range(240)]
+    data = [(i, " ".join(w if j != i else f"x{i}" for j, w in enumerate(words))) for i in range(60)]
+    data += [(100 + i, " ".join(f"y{i}z{j}" for j in range(50))) for i in range(40)]
+    data += [(200 + i, f"zebra{i % 4} wrote q{i} to mail{i % 4}@example.com") for i in range(40)]
+    frame = spark.createDataFrame(data, "doc_id long, text string")
+    settings = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in settings}
+    since = len(staging._written)
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        first_of_each(frame).write.parquet(f"{tmp_path}/first")
+        redact(frame).write.parquet(f"{tmp_path}/redact")
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    files = {}
+    for path in [*staging._written[since:], f"{tmp_path}/first-", f"{tmp_path}/redact-"]:
+        label = Path(path).name.rsplit("-", 1)[0]
+        files[label] = max(files.get(label, 0), len(list(Path(path.removesuffix("-")).glob("*.parquet"))))
+    small = {"classes", "shares", "folded", "members", "tiles", "edges", "labels", "pii-entities", "pii-holders", "pii-beside", "pii-told", "first", "redact"}
+    assert {label: files[label] for label in small} == dict.fromkeys(small, 1)
+    assert spark.read.parquet(f"{tmp_path}/first").count() == 1 + 40 + 40
+    got = dict(texts(spark.read.parquet(f"{tmp_path}/redact")))
+    assert sorted(got) == [i for i, _ in data] and all(got[i] == t for i, t in data if i < 200)
+    assert all("<EMAIL>" in got[i] and "example" not in got[i] for i, _ in data if i >= 200)
