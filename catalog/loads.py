@@ -27,7 +27,8 @@ from shelfprice.operators.upsert import (
 from shelfprice.plans import silver
 from shelfprice.plans.dims import PRODUCT_ATTRIBUTES
 from shelfprice.plans.marts import weekly_sales
-from shelfprice.sources import shared_dir, write_through
+from shelfprice.sources import shared_dir
+from shelfprice.sources import write_layer as write_through
 
 _ATTRIBUTES = ", ".join(PRODUCT_ATTRIBUTES)
 _RUNS = ["1996-12-31", "1999-06-30", AS_OF]

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from shelfprice.operators.upsert import INSERTED, UPDATED, upsert
-from shelfprice.sources.staging import write_through
+from shelfprice.sources.staging import write_layer
 
 MANIFEST_SCHEMA = "sequence bigint, run_id string, tables map<string,string>"
 
@@ -125,7 +125,7 @@ def ingest(
     published versions as they were. The staged folder stays for inspection; a
     run id cannot be reused. One run at a time may publish to a root.
     """
-    sources = {name: write_through(df, name) for name, df in sources.items()}
+    sources = {name: write_layer(df, name) for name, df in sources.items()}
     require_rows(sources)
     require_keys(sources, keys)
     staged = {name: stage(spark, root, run_id, name, df, keys[name]) for name, df in sources.items()}

@@ -7,7 +7,7 @@ from shelfprice.sources.files import (
     write_table,
 )
 from shelfprice.sources.seed import product_mapping
-from shelfprice.sources.staging import shared_dir, write_through
+from shelfprice.sources.staging import shared_dir, write_layer, write_through
 
 __all__ = [
     "product_mapping",
@@ -17,6 +17,7 @@ __all__ = [
     "shared_dir",
     "write_bucketed",
     "write_json",
+    "write_layer",
     "write_table",
     "write_through",
 ]
