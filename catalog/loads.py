@@ -29,6 +29,7 @@ from shelfprice.plans.dims import PRODUCT_ATTRIBUTES
 from shelfprice.plans.marts import weekly_sales
 from shelfprice.sources import shared_dir
 from shelfprice.sources import write_layer as write_through
+from shelfprice.sources.staging import drop
 
 _ATTRIBUTES = ", ".join(PRODUCT_ATTRIBUTES)
 _RUNS = ["1996-12-31", "1999-06-30", AS_OF]
@@ -159,7 +160,11 @@ def _company_batches(spark: SparkSession, sf_dir: str, read_once: bool = False)
     raw = w.save(w.raw_company, "bronze")
     batches = [raw.filter(F.col("Date") < "1999"), raw.filter(F.col("Date") >= "1997")]
     target, source = [keep_latest(b, silver.COMPANY_KEYS, "Date") for b in batches]
-    return (target, source) if read_once else (w.save(target, "extract"), w.save(source, "extract"))
+    if read_once:
+        return target, source
+    target, source = w.save(target, "extract"), w.save(source, "extract")
+    drop(raw)
+    return target, source
 
 
 @query(" ".join(silver.COMPANY_COLUMNS) + " op", f"{_MERGED} SELECT op, {_PICKED} FROM merged")
@@ -207,6 +212,8 @@ def repeated_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
         done = load(table, batch, silver.COMPANY_KEYS)
         counts = table.read().agg(F.count(F.lit(1)).alias("n_rows")).first()
         steps.append((i, done.action, done.inserted, done.updated, counts.n_rows))
+        if i > 1:
+            drop(batch)
     return spark.createDataFrame(steps, "step int, action string, n_inserted long, n_updated long, n_rows long")
 
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,7 +12,7 @@ from pyspark.sql import types as T
 
 from shelfprice.operators.joins import any_new
 from shelfprice.operators.upsert import INSERTED, KEPT, UPDATED, above_watermark, upsert
-from shelfprice.sources.staging import delete, exists, write_through
+from shelfprice.sources.staging import CODEC, delete, drop, exists, shuffles_dropped, write_layer
 
 #: The folder column. Its values begin with a letter, so that no reader takes them for numbers or dates.
 PART = "_part"
@@ -63,8 +64,9 @@ class Table:
         spread = self.placed(rows)
         if parts is None or parts > FEW_PARTS:
             spread = spread.hint("rebalance", F.col(PART))
-        writer = spread.write.partitionBy(PART).mode("overwrite" if over else "append")
-        writer.option("partitionOverwriteMode", "dynamic").parquet(self.path)
+        writer = spread.write.partitionBy(PART).mode("overwrite" if over else "append").option("compression", CODEC)
+        with shuffles_dropped(self.spark):
+            writer.option("partitionOverwriteMode", "dynamic").parquet(self.path)
 
 
 @dataclass
@@ -79,7 +81,8 @@ class Load:
 
 
 def _parts(rows: DataFrame, column: str = PART) -> set[str]:
-    return {r[0] for r in rows.select(column).distinct().collect()}
+    with shuffles_dropped(rows.sparkSession):
+        return {r[0] for r in rows.select(column).distinct().collect()}
 
 
 def touched_partitions(table: Table, source: DataFrame, keys: Sequence[str]) -> list[str]:
@@ -92,10 +95,25 @@ def touched_partitions(table: Table, source: DataFrame, keys: Sequence[str]) ->
     return sorted(_parts(held) | _parts(table.placed(source)))
 
 
+@contextmanager
+def _written_aside(batch: DataFrame) -> Iterator[DataFrame]:
+    """A batch that is read several times, as a layer; if it was not one, the layer is deleted at the end.
+
+    Nothing that is run inside leaves its shuffle files.
+    """
+    source = write_layer(batch, "batch")
+    try:
+        with shuffles_dropped(batch.sparkSession):
+            yield source
+    finally:
+        if source is not batch:
+            drop(source)
+
+
 def _merge(table: Table, source: DataFrame, keys: Sequence[str], touched: Sequence[str]) -> Load:
     target = table.with_part(touched).withColumnRenamed(PART, "_was")
     result = upsert(target, source, keys).withColumnRenamed("_op", "_action")
-    merged = write_through(table.placed(result, "_action", "_was"), "merged")
+    merged = write_layer(table.placed(result, "_action", "_was"), "merged")
     moved = F.col("_was").isNull() | (F.col("_was") != F.col(PART))
     changed = merged.filter((F.col("_action") != KEPT) | moved)
     gains, left = _parts(changed), _parts(merged)
@@ -109,6 +127,7 @@ def _merge(table: Table, source: DataFrame, keys: Sequence[str], touched: Sequen
     if written:
         table.write(merged.filter(F.col(PART).isin(written)), over=True, parts=len(written))
     counts = {r["_action"]: r["n"] for r in merged.groupBy("_action").agg(F.count(F.lit(1)).alias("n")).collect()}
+    drop(merged)
     return Load(MERGED, counts.get(INSERTED, 0), counts.get(UPDATED, 0), tuple(written), tuple(removed))
 
 
@@ -121,9 +140,9 @@ def merge(table: Table, source: DataFrame, keys: Sequence[str]) -> Load:
     are taken out of all old ones before they stand in a new one: a merge that
     was broken off leaves no row twice, and is simply run again.
     """
-    source = write_through(source, "batch")
-    table.widen(source.schema)
-    return _merge(table, source, keys, touched_partitions(table, source, keys))
+    with _written_aside(source) as source:
+        table.widen(source.schema)
+        return _merge(table, source, keys, touched_partitions(table, source, keys))
 
 
 def load(table: Table, batch: DataFrame, keys: Sequence[str]) -> Load:
@@ -132,28 +151,28 @@ def load(table: Table, batch: DataFrame, keys: Sequence[str]) -> Load:
     A batch brings nothing if its keys are all there and none of its rows
     differs; that is seen from the keys first, then from the touched partitions.
     """
-    source = write_through(batch, "batch")
-    table.widen(source.schema)
-    if not table.exists():
-        parts = _parts(table.placed(source))
-        table.write(source, parts=len(parts))
-        return Load(CREATED, source.count(), 0, tuple(sorted(parts)))
-    touched = touched_partitions(table, source, keys)
-    if not any_new(source, table.read(), keys):
-        same = table.read(touched).select(*source.columns)
-        if source.subtract(same).isEmpty():
-            return Load(UNCHANGED)
-    return _merge(table, source, keys, touched)
+    with _written_aside(batch) as source:
+        table.widen(source.schema)
+        if not table.exists():
+            parts = _parts(table.placed(source))
+            table.write(source, parts=len(parts))
+            return Load(CREATED, source.count(), 0, tuple(sorted(parts)))
+        touched = touched_partitions(table, source, keys)
+        if not any_new(source, table.read(), keys):
+            same = table.read(touched).select(*source.columns)
+            if source.subtract(same).isEmpty():
+                return Load(UNCHANGED)
+        return _merge(table, source, keys, touched)
 
 
 def append(table: Table, batch: DataFrame) -> Load:
     """Adds the rows of a batch, and creates the table if need be; nothing is read or rewritten."""
-    source = write_through(batch, "batch")
-    table.widen(source.schema)
-    placed = table.placed(source)
-    counts = {r[PART]: r["n"] for r in placed.groupBy(PART).agg(F.count(F.lit(1)).alias("n")).collect()}
-    if counts:
-        table.write(source, parts=len(counts))
+    with _written_aside(batch) as source:
+        table.widen(source.schema)
+        placed = table.placed(source)
+        counts = {r[PART]: r["n"] for r in placed.groupBy(PART).agg(F.count(F.lit(1)).alias("n")).collect()}
+        if counts:
+            table.write(source, parts=len(counts))
     return Load(APPENDED, sum(counts.values()), 0, tuple(sorted(counts)))
 
 

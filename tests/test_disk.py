@@ -84,6 +84,40 @@ def test_a_stamp_in_the_key_is_not_shuffled_twice(rows):
     assert keep_latest(rows([("a",), ("a",)], "k string"), ["k"], "k").count() == 1
 
 
+def test_loads_leave_only_their_table(spark, rows, tmp_path):
+    old = rows([(f"k{i}", i % 3, i) for i in range(12)], "k string, p int, v int")
+    made = Table(spark, str(tmp_path / "t"), old.schema, F.col("p"))
+    before, shuffled = layers_now(spark), shuffles(spark)
+    assert load(made, old, ["k"]).inserted == 12
+    assert append(made, rows([("z", 7, 1)], "k string, p int, v int")).written == ("p7",)
+    new = rows([("k1", 1, 50), ("n", 2, 1), (None, 0, 2)], "k string, p int, v int")
+    done = merge(made, new, ["k"])
+    assert (done.action, done.inserted, done.updated) == (MERGED, 2, 1)
+    assert not {f for f in shuffles(spark) - shuffled if f.endswith(".data")}
+    assert load(made, new.filter("k IS NOT NULL"), ["k"]).action == UNCHANGED
+    assert load(made, rows([(None, 0, 2)], "k string, p int, v int"), ["k"]).inserted == 1
+    assert layers_now(spark) == before
+    assert made.read().count() == 16
+
+
+def test_a_layer_given_to_a_load_stays(spark, tmp_path):
+    layer = write_layer(spark.range(4).selectExpr("id AS k", "CAST(id % 2 AS INT) AS p"), "given")
+    made = Table(spark, str(tmp_path / "t"), layer.schema, F.col("p"))
+    before = layers_now(spark)
+    assert append(made, rows_of(layer, F.col("p") == 1)).inserted == 2 and load(made, layer, ["k"]).inserted == 2
+    assert layers_now(spark) == before and layer.count() == 4 == made.read().count()
+
+
+@pytest.mark.parametrize(
+    "name, left",
+    [("repeated_loads", {"by-year"})],
+)
+def test_loads_keep_no_layer_that_nothing_reads(spark, tmp_path, name, left):
+    d, before = line_items_under(spark, tmp_path), layers_now(spark)
+    assert REGISTRY[name].run(spark, d).count() > 0
+    assert labels(layers_now(spark) - before) == left
+
+
 def test_scrapes_of_many_splits_are_dealt_out_once(spark, tmp_path, monkeypatch):
     d = line_items_under(spark, tmp_path)
     few = values(bindings.raw_competitor(spark, d))
