@@ -193,7 +193,9 @@ def merge_by_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     target, source = _company_batches(spark, sf_dir)
     table = _by_year(spark, target)
     load(table, target, silver.COMPANY_KEYS)
+    drop(target)
     merge(table, source, silver.COMPANY_KEYS)
+    drop(source)
     return table.read()
 
 
