@@ -159,17 +159,17 @@ def _company_batches(spark: SparkSession, sf_dir: str, read_once: bool = False)
     w = warehouse(spark, sf_dir)
     raw = w.save(w.raw_company, "bronze")
     batches = [raw.filter(F.col("Date") < "1999"), raw.filter(F.col("Date") >= "1997")]
-    target, source = [keep_latest(b, silver.COMPANY_KEYS, "Date") for b in batches]
     if read_once:
+        target, source = [keep_latest(b, silver.COMPANY_KEYS, "Date", hashed=True) for b in batches]
         return target, source
-    target, source = w.save(target, "extract"), w.save(source, "extract")
+    target, source = [w.save(keep_latest(b, silver.COMPANY_KEYS, "Date"), "extract") for b in batches]
     drop(raw)
     return target, source
 
 
 @query(" ".join(silver.COMPANY_COLUMNS) + " op", f"{_MERGED} SELECT op, {_PICKED} FROM merged")
 def keyed_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return upsert(*_company_batches(spark, sf_dir, read_once=True), silver.COMPANY_KEYS).withColumnRenamed("_op", "op")
+    return upsert(*_company_batches(spark, sf_dir, read_once=True), silver.COMPANY_KEYS, hashed=True).withColumnRenamed("_op", "op")
 
 
 @query(
@@ -178,7 +178,7 @@ def keyed_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
         count(*) FILTER (op = 'update') AS num_updated_rows, 0 AS num_deleted_rows FROM merged""",
 )
 def upsert_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return upsert_metrics(upsert(*_company_batches(spark, sf_dir, read_once=True), silver.COMPANY_KEYS))
+    return upsert_metrics(upsert(*_company_batches(spark, sf_dir, read_once=True), silver.COMPANY_KEYS, hashed=True))
 
 
 def _by_year(spark: SparkSession, rows: DataFrame) -> Table:

@@ -9,6 +9,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from shelfprice.operators.dedup import HASH
 from shelfprice.operators.joins import not_in
 
 INSERTED, UPDATED, KEPT = "insert", "update", "keep"
@@ -28,14 +29,19 @@ def _aligned(target: DataFrame, source: DataFrame) -> tuple[DataFrame, DataFrame
     return widen(target), widen(source)
 
 
-def _key_hash(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> Column:
-    """Hash of the keys that have one type on both sides, else a constant; the join compares the keys all the same."""
+def _hashable(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> list[str]:
+    """The keys that have one type on both sides, of which equal values have equal hashes."""
     kinds = [(k, target.schema[k].dataType, source.schema[k].dataType) for k in keys]
-    same = [k for k, a, b in kinds if a == b and a.simpleString() in _HASHED]
+    return [k for k, a, b in kinds if a == b and a.simpleString() in _HASHED]
+
+
+def _key_hash(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> Column:
+    """Hash of the keys that allow it, else a constant; the join compares the keys all the same."""
+    same = _hashable(target, source, keys)
     return F.xxhash64(*same) if same else F.lit(0).cast("bigint")
 
 
-def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], hashed: bool = False) -> DataFrame:
     """``target`` after merging ``source`` on ``keys``, with the action per row in ``_op``.
 
     A matched row is replaced only when a non-key column differs (NULL equals
@@ -45,23 +51,26 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFra
     One full outer join. The rows of a key in the batch are numbered, which
     shares the shuffle and the sort of the join; a key with several rows is
     ambiguous and fails the job. The hash in front of the keys lets the sorts
-    compare numbers, not texts.
+    compare numbers, not texts. ``hashed`` tells that both sides bring it from
+    ``keep_latest`` on these keys in this order; they are not shuffled again.
     """
     keys = list(keys)
+    if hashed and _hashable(target, source, keys) != keys:
+        raise ValueError("hashes can be compared for keys of one type on both sides, and not for every type")
+    brought = F.col(HASH) if hashed else _key_hash(target, source, keys)
+    target, source = target.withColumn(HASH, brought), source.withColumn(HASH, brought)
     fresh_columns = set(source.columns)
     target, source = _aligned(target, source)
-    columns = target.columns
+    columns = [c for c in target.columns if c != HASH]
     values = [c for c in columns if c not in keys and c in fresh_columns]
     keyless = reduce(or_, [F.col(k).isNull() for k in keys])
-    hashed = _key_hash(target, source, keys).alias("_hash")
-    in_batch = Window.partitionBy("_hash", *keys).orderBy("_hash")
+    in_batch = Window.partitionBy(HASH, *keys).orderBy(HASH)
     several = F.concat(F.lit("several source rows for one key: "), F.concat_ws(", ", *[F.col(k).cast("string") for k in keys]))
     incoming = (
         source.filter(~keyless)
-        .withColumn("_hash", hashed)
         .withColumn("_n", F.row_number().over(in_batch))
         .select(
-            "_hash",
+            HASH,
             *keys,
             *[F.col(c).alias(f"_s_{c}") for c in values],
             F.when(F.col("_n") > 1, F.raise_error(several).cast("boolean")).otherwise(F.lit(True)).alias("_in_source"),
@@ -72,12 +81,12 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFra
     def merged(c: str, replace: Column) -> Column:
         return (F.when(replace, F.col(f"_s_{c}")).otherwise(F.col(c)) if c in values else F.col(c)).alias(c)
 
-    both = target.withColumns({"_hash": hashed, "_in_target": F.lit(True)}).join(incoming, ["_hash", *keys], "full_outer")
+    both = target.withColumn("_in_target", F.lit(True)).join(incoming, [HASH, *keys], "full_outer")
     insert = F.col("_in_target").isNull()
     update = F.coalesce("_in_source", F.lit(False)) & ~insert & changed
     action = F.when(insert & F.col("_in_source"), INSERTED).when(update, UPDATED).otherwise(KEPT).alias("_op")
     joined = both.select(*[merged(c, insert | update) for c in columns], action)
-    return joined.unionByName(source.filter(keyless).withColumn("_op", F.lit(INSERTED)))
+    return joined.unionByName(source.filter(keyless).drop(HASH).withColumn("_op", F.lit(INSERTED)))
 
 
 def upsert_metrics(merged: DataFrame) -> DataFrame:

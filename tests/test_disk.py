@@ -76,6 +76,38 @@ def test_rows_of_a_layer_are_not_written_again(spark):
     assert write_through(rows_of(plain, F.col("id") < 3), "copy").count() == 3
 
 
+KEYED = "k string, j int, at string, v string"
+
+
+def extracts(rows):
+    old = rows([("a", 1, "2024-01-01", "x"), ("a", 1, "2024-01-02", "y"), ("b", 1, "bad", "z"), (None, 1, "2024-01-01", "n"), ("c", 2, "2024-01-01", "c")], KEYED)
+    new = rows([("a", 1, "2024-01-03", "new"), ("b", 1, "bad", "z"), ("d", 1, "2024-01-01", "d"), (None, 1, "2024-02-01", "m"), (None, 1, "2024-02-02", "o")], KEYED)
+    return old, new
+
+
+def test_extracts_are_merged_where_they_were_deduplicated(rows):
+    old, new = extracts(rows)
+    keys = ["k", "j"]
+    plain = upsert(*[keep_latest(b, keys, "at") for b in (old, new)], keys)
+    shared = upsert(*[keep_latest(b, keys, "at", hashed=True) for b in (old, new)], keys, hashed=True)
+    assert shared.columns == plain.columns and values(shared) == values(plain)
+    assert [r["_op"] for r in shared.filter("k = 'a'").collect()] == ["update"]
+
+    def exchanges(df):
+        return df.select("*")._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+    # one for each extract, and one for the rows without a key
+    assert exchanges(shared) == 3 and exchanges(plain) == 5
+
+
+def test_hashes_of_unlike_keys_are_refused(rows):
+    old, new = rows([(1, "a")], "k int, at string"), rows([(1, "a")], "k bigint, at string")
+    with pytest.raises(ValueError, match="one type"):
+        upsert(*[keep_latest(b, ["k"], "at", hashed=True) for b in (old, new)], ["k"], hashed=True)
+    kept = keep_latest(old, ["k"], "at", hashed=True)
+    assert kept.columns == ["k", "at", HASH] and values(kept, "k", "at") == [(1, "a")]
+
+
 def test_a_stamp_in_the_key_is_not_shuffled_twice(rows):
     data = [("2024-01-01", "a", 1), ("2024-01-01", "a", 3), ("2024-01-01", "b", None), ("bad", "a", 2), ("bad", "a", None), (None, "a", 5), (None, "a", 6)]
     latest = keep_latest(rows(data, "at string, k string, v int"), ["at", "k"], "at")
@@ -110,7 +142,7 @@ def test_a_layer_given_to_a_load_stays(spark, tmp_path):
 
 @pytest.mark.parametrize(
     "name, left",
-    [("repeated_loads", {"by-year"}), ("merge_by_partition", {"by-year"})],
+    [("repeated_loads", {"by-year"}), ("merge_by_partition", {"by-year"}), ("keyed_upsert", {"bronze"})],
 )
 def test_loads_keep_no_layer_that_nothing_reads(spark, tmp_path, name, left):
     d, before = line_items_under(spark, tmp_path), layers_now(spark)
