@@ -29,7 +29,7 @@ from shelfprice.plans.dims import PRODUCT_ATTRIBUTES
 from shelfprice.plans.marts import weekly_sales
 from shelfprice.sources import shared_dir
 from shelfprice.sources import write_layer as write_through
-from shelfprice.sources.staging import drop
+from shelfprice.sources.staging import drop, rows_of, short_lived_layers
 
 _ATTRIBUTES = ", ".join(PRODUCT_ATTRIBUTES)
 _RUNS = ["1996-12-31", "1999-06-30", AS_OF]
@@ -92,16 +92,19 @@ _WEEK = "product_key store_key sales_week:d avg_unit_retail:4 avg_unit_cost:4 to
 @query(_WEEK, "SELECT * RENAME (quantity AS total_quantity_sold, transactions AS total_transactions) FROM weekly_sales")
 def weekly_sales_in_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three loads of the fact, the last one late: only the weeks that a load touches are summed again."""
-    fact = warehouse(spark, sf_dir).sales_fact
-    fact = warehouse(spark, sf_dir).save(fact, "fact-sales")
+    w = warehouse(spark, sf_dir)
+    with short_lived_layers(spark) as kept:
+        fact = w.save(w.sales_fact, "fact-sales")
+        kept.append(fact)
     root = f"{shared_dir(spark)}/shelfprice/weeks-{uuid.uuid4().hex}"
     rows = Table(spark, f"{root}/fact", fact.schema, week_start(F.col("full_date")))
     build = lambda df: weekly_sales(df, "product_key", "store_key")
     weeks = Table(spark, f"{root}/weekly", build(fact).schema, F.col("sales_week"))
     day = F.coalesce(F.col("full_date"), F.lit("1990-01-01").cast("date"))
     late = (F.year(day) == 1994) & (F.col("quantity") % 7 == 0)
-    for batch in (fact.filter((day < "1996-01-01") & ~late), fact.filter(day >= "1996-01-01"), fact.filter((day < "1996-01-01") & late)):
-        refresh(weeks, rows, append(rows, batch), build)
+    for picked in ((day < "1996-01-01") & ~late, day >= "1996-01-01", (day < "1996-01-01") & late):
+        refresh(weeks, rows, append(rows, rows_of(fact, picked)), build)
+    drop(fact)
     return weeks.read()
 
 

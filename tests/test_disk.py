@@ -142,7 +142,7 @@ def test_a_layer_given_to_a_load_stays(spark, tmp_path):
 
 @pytest.mark.parametrize(
     "name, left",
-    [("repeated_loads", {"by-year"}), ("merge_by_partition", {"by-year"}), ("keyed_upsert", {"bronze"})],
+    [("repeated_loads", {"by-year"}), ("merge_by_partition", {"by-year"}), ("keyed_upsert", {"bronze"}), ("weekly_sales_in_loads", {"weeks"})],
 )
 def test_loads_keep_no_layer_that_nothing_reads(spark, tmp_path, name, left):
     d, before = line_items_under(spark, tmp_path), layers_now(spark)
