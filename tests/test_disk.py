@@ -150,6 +150,15 @@ def test_loads_keep_no_layer_that_nothing_reads(spark, tmp_path, name, left):
     assert labels(layers_now(spark) - before) == left
 
 
+def test_a_fitted_model_keeps_no_layer_of_the_mart(spark):
+    from catalog import pricing
+
+    before = layers_now(spark)
+    root, _ = pricing._fitted(spark, "/root/testdata/sf0.001", trees=1)
+    assert not labels(layers_now(spark) - before) & {"company", "competitor", "weekly-sales", "weekly-market", "dim-products"}
+    assert {p.name for p in Path(root).glob("*")} == {"mart", "model"}
+
+
 def test_scrapes_of_many_splits_are_dealt_out_once(spark, tmp_path, monkeypatch):
     d = line_items_under(spark, tmp_path)
     few = values(bindings.raw_competitor(spark, d))
